@@ -5,17 +5,36 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from gristmill.llm import mixing, packing, secrets, warc
 from gristmill.llm.common import table
 from gristmill.llm.near_dedup import near_duplicates
 
 
+def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.packed(table(spark, sf_dir, "documents"), capacity=1024)
+
+
 def op2_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), shingle=3, percent=85)
 
 
+def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.report(table(spark, sf_dir, "documents"))
+
+
+def op6_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mix = mixing.mixed(table(spark, sf_dir, "documents"), weights=(3, 1, 2), share=1.5, cap=2.0)
+    return mix.select("doc_id", "size", F.col("source_size").cast("long").alias("source_size"), "target", "taken")
+
+
+def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(table(spark, sf_dir, "pages"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op2_near_dedup": op2_near_dedup}
+    return {f.__name__: f for f in (op1_best_fit_packing, op2_near_dedup, op4_secret_scan, op6_source_mixing, op8_warc)}
 
 
 def oracle_sql() -> dict[str, str]:
