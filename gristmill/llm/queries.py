@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gristmill.llm import mixing, packing, secrets, warc
+from gristmill.llm import mixing, packing, secrets, subword, toxicity, warc
 from gristmill.llm.common import table
 from gristmill.llm.near_dedup import near_duplicates
 
@@ -20,10 +20,18 @@ def op2_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), shingle=3, percent=85)
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.report(table(spark, sf_dir, "documents"))
 
 
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return subword.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op6_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mix = mixing.mixed(table(spark, sf_dir, "documents"), weights=(3, 1, 2), share=1.5, cap=2.0)
     return mix.select("doc_id", "size", F.col("source_size").cast("long").alias("source_size"), "target", "taken")
@@ -34,7 +42,7 @@ def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_best_fit_packing, op2_near_dedup, op4_secret_scan, op6_source_mixing, op8_warc)}
+    return {f.__name__: f for f in (op1_best_fit_packing, op2_near_dedup, op3_toxicity, op4_secret_scan, op5_quality, op6_source_mixing, op8_warc)}
 
 
 def oracle_sql() -> dict[str, str]:
