@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gristmill.llm import mixing, packing, secrets, subword, toxicity, warc
+from gristmill.llm import mixing, ngram_lm, packing, secrets, subword, toxicity, vectors, warc
 from gristmill.llm.common import table
 from gristmill.llm.near_dedup import near_duplicates
 
@@ -37,12 +37,24 @@ def op6_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix.select("doc_id", "size", F.col("source_size").cast("long").alias("source_size"), "target", "taken")
 
 
+def op7_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vectors.exact_topk(table(spark, sf_dir, "embeddings"), every=50, k=5)
+
+
 def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(table(spark, sf_dir, "pages"))
 
 
+def op9_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_lm.report(table(spark, sf_dir, "documents"))
+
+
+def op10_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vectors.nearest(table(spark, sf_dir, "embeddings"), every=100, k=10)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_best_fit_packing, op2_near_dedup, op3_toxicity, op4_secret_scan, op5_quality, op6_source_mixing, op8_warc)}
+    return {f.__name__: f for f in (op1_best_fit_packing, op2_near_dedup, op3_toxicity, op4_secret_scan, op5_quality, op6_source_mixing, op7_exact_topk, op8_warc, op9_lm_scoring, op10_nearest)}
 
 
 def oracle_sql() -> dict[str, str]:
