@@ -32,6 +32,7 @@ from gristmill.llm.subword import labelled_sample
 SAMPLE, BUCKETS, CACHE = 3000, 1 << 20, 300_000
 #: Lengths of the beginnings of a word; least documents of a feature; least |z| for the classifier, and for a learned lexicon.
 PREFIXES, LEAST_DOCS, EVIDENCE, LEXICON_EVIDENCE, LEARNED = (4, 5, 6), 5, 4.0, 6.0, 6
+COPY = 0.8
 
 #: The insult lexicon, a voter for each group.
 LEXICON = {
@@ -68,16 +69,24 @@ def votes(text: str) -> list[int]:
 def label_model(seen: np.ndarray, rounds: int = 50, prior: float = 0.5) -> tuple[np.ndarray, np.ndarray]:
     """Posterior probability of class 1 for each row of votes (1, -1, 0), and each voter's weight.
 
-    Voters are independent given the class at first. Then what the class leaves unexplained is measured: with S the sum of
-    a voter's absolute residual correlations with the others above what chance gives, its log odds count 1 / (1 + S) times.
+    Correlated voters share their weight: with S the sum of a voter's absolute correlations with the others that stand out,
+    its log odds count 1 / (1 + S) times. At first these are plain correlations of COPY and more; after each fit, what the
+    class leaves unexplained, beyond chance.
     """
     n, v = seen.shape
-    weight = np.ones(v)
+
+    def shared(rest: np.ndarray, least: float) -> np.ndarray:
+        scaled = rest / (np.sqrt((rest**2).mean(0)) + 1e-9)
+        linked = np.abs(scaled.T @ scaled / max(n, 1))
+        np.fill_diagonal(linked, 0)
+        return 1 / (1 + np.where(linked >= least, linked, 0).sum(1))
+
+    weight = shared(seen - seen.mean(0), COPY) if n else np.ones(v)
     rates = np.empty((2, v, 3))
     own = np.stack([(seen == x) for x in (-1, 0, 1)], -1).astype(float)
-    start = 1 / (1 + np.exp(-2 * (seen.sum(1) - 0.5)))
+    start = 1 / (1 + np.exp(-2 * (seen @ weight - 0.5)))
     posterior = np.clip(start, 0.02, 0.98)
-    for step in range(2):
+    for step in range(3):
         for _ in range(rounds):
             for y, p in ((0, 1 - posterior), (1, posterior)):
                 rates[y] = (np.einsum("n,nvk->vk", p, own) + 0.5) / (p.sum() + 1.5)
@@ -87,13 +96,9 @@ def label_model(seen: np.ndarray, rounds: int = 50, prior: float = 0.5) -> tuple
             moved, posterior = np.abs(fresh - posterior).max() if n else 0, fresh
             if moved < 1e-4:
                 break
-        if step == 0 and n:
+        if step < 2 and n:
             expected = np.stack([(rates[y, :, 2] - rates[y, :, 0]) for y in (0, 1)])
-            rest = seen - (np.outer(1 - posterior, expected[0]) + np.outer(posterior, expected[1]))
-            scale = np.sqrt((rest**2).mean(0)) + 1e-9
-            linked = np.abs((rest / scale).T @ (rest / scale) / n)
-            np.fill_diagonal(linked, 0)
-            weight = 1 / (1 + np.where(linked > 3 / np.sqrt(n), linked, 0).sum(1))
+            weight = shared(seen - (np.outer(1 - posterior, expected[0]) + np.outer(posterior, expected[1])), 3 / np.sqrt(n))
     return posterior, weight
 
 

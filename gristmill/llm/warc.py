@@ -102,7 +102,7 @@ def _member(source: pa.NativeFile, buffer: bytes, start: int, place: int) -> tup
     try:
         while not decode.eof:
             data = buffer[place - start : place - start + piece]
-            if not data:
+            if len(data) < piece:  # the member goes on beyond the range
                 source.seek(place)
                 data = source.read(piece)
                 if not data:

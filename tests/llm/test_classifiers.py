@@ -41,8 +41,8 @@ def test_odd_rows(spark, module):
 def test_label_model_finds_accurate_voters():
     rng = np.random.default_rng(0)
     y = rng.random(4000) < 0.3
-    votes = [np.where(rng.random(4000) < right, y, ~y) * 2 - 1 for right in (0.95, 0.8, 0.6)]
-    votes.append(votes[2])  # a copy of the weakest voter
+    votes = [np.where(rng.random(4000) < right, y, ~y) * 2 - 1 for right in (0.95, 0.85, 0.8, 0.7, 0.6)]
+    votes.append(votes[4])  # a copy of the weakest voter
     posterior, weight = toxicity.label_model(np.array(votes).T)
     assert ((posterior >= 0.5) == y).mean() >= 0.93
-    assert weight[3] < 0.7 and weight[0] > weight[3]
+    assert weight[5] < 0.7 and weight[0] > weight[5]
