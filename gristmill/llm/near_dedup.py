@@ -10,8 +10,9 @@ close to the Jaccard similarity. The steps:
    for each band, so a bucket of any size costs one pair a member.
 3. Pairs pass if their joint likelihood (register comparisons given both set sizes) doesn't rule the threshold out.
 4. Full sets, hashed to 64 bits, confirm pairs exactly: 100 * shared >= percent * union.
-5. Buckets whose members aren't all connected yet are compared block by block, members of unlike components only,
-   so that no link hides behind a leader.
+5. Buckets whose other members aren't all connected yet are compared block by block, members of unlike components only,
+   so that no link hides behind a leader. First the registers tell which members have a plausible partner; then, with
+   the full sets of those, each block gives the links that join components, never more than it has members.
 
 Defined results: null text counts as empty; an empty or blank text has an empty set and links with nothing; a row whose
 id is null takes no part (component_id null, kept true); rows that repeat an id with the same text share a class, so
@@ -35,13 +36,13 @@ from gristmill.llm.common import mix, save, shared_dir, text_chunks, word_hashes
 from gristmill.llm.components import components
 
 #: Registers of a band; the probability that a pair at the threshold meets in no band; SetSketch base, rate and top.
-BAND = 4
+BAND = 5
 MISS = 1e-6
 SKETCH_BASE, SKETCH_RATE, SKETCH_TOP = 1.001, 20.0, 65534
 #: A pair stays a candidate unless its likelihood ratio against the threshold passes this many squared sigmas.
-SIGMAS = 5.0
+SIGMAS = 4.0
 #: Members of a bucket that are compared at once with as many others.
-BLOCK = 256
+BLOCK = 2048
 
 
 def bands_for(percent: int) -> int:
@@ -155,10 +156,14 @@ def likely(pairs: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
     return pairs.join(side("a"), "a").join(side("b"), "b").where(sizes).mapInPandas(run, "a binary, b binary")
 
 
-def confirmed(pairs: DataFrame, docs: DataFrame, reps: DataFrame, k: int, percent: int, id_col: str, text_col: str, folder: str) -> DataFrame:
-    """The pairs whose full sets meet the threshold. Sets are computed again, for the classes in pairs only."""
-    wanted = save(pairs.select(F.explode(F.array("a", "b")).alias("digest")).distinct().join(reps.select("digest", "doc_id", "mark"), "digest"), f"{folder}/wanted")
-    texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text_col).alias("mark"), F.col(text_col).cast("string").alias("text")).join(wanted, ["doc_id", "mark"]).select("digest", "text")
+def full_sets(wanted: DataFrame, docs: DataFrame, reps: DataFrame, k: int, id_col: str, text_col: str, folder: str) -> DataFrame:
+    """(digest, set) of the classes wanted. Sets are computed again, from one row of each, and written.
+
+    The merge join is asked for, as what is wanted grows with the input: the plan is the same at any size.
+    """
+    wanted = save(wanted.join(reps.select("digest", "doc_id", "mark"), "digest"), f"{folder}-wanted")
+    texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text_col).alias("mark"), F.col(text_col).cast("string").alias("text"))
+    texts = texts.join(wanted.hint("merge"), ["doc_id", "mark"]).groupBy("doc_id", "mark").agg(F.min("digest").alias("digest"), F.first("text").alias("text")).select("digest", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -166,22 +171,31 @@ def confirmed(pairs: DataFrame, docs: DataFrame, reps: DataFrame, k: int, percen
                 sets, begin = shingle_sets(*word_hashes(raw, offsets), k)
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), pa.array([sets[x:y].tobytes() for x, y in zip(begin[:-1], begin[1:], strict=True)], pa.binary())], ["digest", "set"])
 
-    sets = save(texts.mapInArrow(run, "digest binary, set binary").groupBy("digest").agg(F.min("set").alias("set")), f"{folder}/sets")
+    return save(texts.mapInArrow(run, "digest binary, set binary"), f"{folder}-sets")
+
+
+def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs whose full sets meet the threshold."""
 
     def check(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for p in parts:
-            keep = []
-            for x, y in zip(p.s_a, p.s_b, strict=True):
-                x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-                both = np.sort(np.concatenate([x, y]))
-                shared = int((both[1:] == both[:-1]).sum())
-                keep.append(100 * shared >= percent * (len(x) + len(y) - shared))
+            keep = [bool(linked(np.frombuffer(x, np.uint64), [np.frombuffer(y, np.uint64)], percent)[0]) for x, y in zip(p.s_a, p.s_b, strict=True)]
             yield p.loc[np.array(keep, bool), ["a", "b"]]
 
     side = lambda x: sets.select(F.col("digest").alias(x), F.col("set").alias(f"s_{x}"))
     return pairs.join(side("a"), "a").join(side("b"), "b").mapInPandas(check, "a binary, b binary")
 
 
+def linked(one: np.ndarray, others: list[np.ndarray], percent: int) -> np.ndarray:
+    """Which of the sorted sets, none empty, meet the threshold with the first."""
+    size = np.array([len(x) for x in others])
+    flat = np.concatenate(others)
+    place = np.searchsorted(one, flat)
+    place[place == len(one)] = 0
+    shared = np.add.reduceat((one[place] == flat).astype(np.int64), np.r_[0, np.cumsum(size)[:-1]])
+    return 100 * shared >= percent * (len(one) + size - shared)
+
+
 def _bucket_rows(reps: DataFrame, bands: int) -> DataFrame:
     """(bucket, digest, n): a class in each of its bands."""
     width = 2 * BAND
@@ -189,33 +203,73 @@ def _bucket_rows(reps: DataFrame, bands: int) -> DataFrame:
     return reps.where("n > 0").select("digest", "n", F.posexplode(keys).alias("band", "key")).select(F.xxhash64("band", "key").alias("bucket"), "band", "digest", "n")
 
 
-def _leftover_pairs(buckets: DataFrame, roots: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
-    """Plausible pairs of unlike components that meet in a bucket, from blocks of at most about BLOCK members a side."""
-    placed = buckets.join(roots.select(F.col("node").alias("digest"), "root"), "digest", "left").withColumn("root", F.coalesce("root", "digest"))
+def _partners(i: int, p: pd.DataFrame, regs: np.ndarray, n: np.ndarray, root: np.ndarray, right: np.ndarray, percent: int) -> np.ndarray:
+    """Rows of right that may link member i to another component, likeliest first, but for pairs that are compared elsewhere."""
+    band, m = int(p.band.iloc[0]), regs.shape[1]
+    t = percent / 100
+    js = right[(root[right] != root[i]) & (np.minimum(n[right], n[i]) * 100 >= np.maximum(n[right], n[i]) * percent)]
+    same = regs[js] == regs[i]
+    agree = same.sum(1)
+    # so many equal registers at least, if the similarity is t; then the joint likelihood decides
+    some = agree >= m * t - SIGMAS * math.sqrt(m * t * (1 - t))
+    if band:  # pairs that meet in an earlier band are compared there
+        some &= ~same[:, : band * BAND].reshape(len(js), band, BAND).all(-1).any(-1)
+    js, agree = js[some], agree[some]
+    if len(js):
+        good = plausible(regs[js], regs[i][None, :], n[js], np.full(len(js), n[i]), percent)
+        js = js[good][np.argsort(-agree[good], kind="stable")]
+    return js
+
+
+def _tiles(buckets: DataFrame, roots: DataFrame, reps: DataFrame) -> DataFrame:
+    """Members of open buckets, without their leaders, once for each pair of blocks that their own block is part of."""
+    placed = buckets.where("digest <> leader").join(roots.select(F.col("node").alias("digest"), "root"), "digest", "left").withColumn("root", F.coalesce("root", "digest"))
     open_ = placed.groupBy("bucket").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count(F.lit(1)).alias("size")).where("lo <> hi").select("bucket", F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks"))
-    members = placed.join(open_, "bucket").join(reps.select("digest", "regs"), "digest").withColumn("own", F.pmod(F.xxhash64("digest"), F.col("blocks")).cast("int"))
-    # a member goes to each pair of blocks that its own block is part of; pairs of a block with itself hold it once
-    tiles = members.withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)"))).select("bucket", "band", F.least("own", "other").alias("row"), F.greatest("own", "other").alias("col"), "own", "digest", "root", "n", "regs")
+    members = placed.select("bucket", "band", "digest", "n", "root").join(open_, "bucket").join(reps.select("digest", "regs"), "digest").withColumn("own", F.pmod(F.xxhash64("digest"), F.col("blocks")).cast("int"))
+    return members.withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)"))).select("bucket", "band", F.least("own", "other").alias("row"), F.greatest("own", "other").alias("col"), "own", "digest", "root", "n", "regs")
+
+
+def _sides(p: pd.DataFrame) -> tuple[np.ndarray, np.ndarray, bool]:
+    row, col, own = int(p["row"].iloc[0]), int(p["col"].iloc[0]), p.own.to_numpy()
+    return np.flatnonzero(own == row), np.flatnonzero(own == col), row == col
+
+
+def _hopeful(tiles: DataFrame, percent: int) -> DataFrame:
+    """(digest) of the members that have a plausible partner."""
+
+    def run(key: tuple, p: pd.DataFrame) -> pd.DataFrame:
+        regs, n, (left, right, alone) = _regs(p.regs), p.n.to_numpy(), _sides(p)
+        root, _ = pd.factorize(p.root)
+        hope = np.zeros(len(p), bool)
+        for i in left:
+            js = _partners(i, p, regs, n, root, right[right > i] if alone else right, percent)
+            hope[js] = True
+            hope[i] |= len(js) > 0
+        return p.loc[hope, ["digest"]]
+
+    return tiles.groupBy("bucket", "row", "col").applyInPandas(run, "digest binary").distinct()
+
+
+def _missing_links(tiles: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """(a, b): links that join components which a tile holds."""
 
     def run(key: tuple, p: pd.DataFrame) -> pd.DataFrame:
-        band, row, col = int(p.band.iloc[0]), int(p["row"].iloc[0]), int(p["col"].iloc[0])
-        regs, n, own = _regs(p.regs), p.n.to_numpy(), p.own.to_numpy()
+        regs, n, (left, right, alone) = _regs(p.regs), p.n.to_numpy(), _sides(p)
         root, _ = pd.factorize(p.root)
-        left = np.flatnonzero(own == row)
-        right = np.flatnonzero(own == col)
+        sets_ = [np.frombuffer(x, np.uint64) for x in p["set"]]
         found = []
         for i in left:
-            js = right[(root[right] != root[i]) & (np.minimum(n[right], n[i]) * 100 >= np.maximum(n[right], n[i]) * percent)]
-            js = js[js > i] if row == col else js
-            if band and len(js):  # pairs that meet in an earlier band are found there
-                met = (regs[js, : band * BAND] == regs[i, : band * BAND]).reshape(len(js), band, BAND).all(-1).any(-1)
-                js = js[~met]
-            if len(js):
-                js = js[plausible(regs[js], regs[i][None, :], n[js], np.full(len(js), n[i]), percent)]
-            found += [(p.digest.iloc[i], p.digest.iloc[j]) for j in js]
+            js = _partners(i, p, regs, n, root, right[right > i] if alone else right, percent)
+            while len(js):
+                some, js = js[:64], js[64:]
+                for j in some[linked(sets_[i], [sets_[j] for j in some], percent)]:
+                    if root[j] != root[i]:
+                        found.append((p.digest.iloc[i], p.digest.iloc[j]))
+                        root[root == root[j]] = root[i]
+                js = js[root[js] != root[i]]
         return pd.DataFrame(found, columns=["a", "b"])
 
-    return tiles.groupBy("bucket", "row", "col").applyInPandas(run, "a binary, b binary")
+    return tiles.join(sets, "digest").groupBy("bucket", "row", "col").applyInPandas(run, "a binary, b binary")
 
 
 def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -231,12 +285,15 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, id_col
     buckets = save(buckets.join(lead, "bucket"), f"{folder}/buckets")
     stars = buckets.where("digest <> leader").select(F.least("digest", "leader").alias("a"), F.greatest("digest", "leader").alias("b")).distinct()
     stars = save(likely(stars, reps, percent), f"{folder}/stars")
-    links = save(confirmed(stars, docs, reps, shingle, percent, id_col, text_col, f"{folder}/1"), f"{folder}/links1")
+    sets = full_sets(stars.select(F.explode(F.array("a", "b")).alias("digest")).distinct(), docs, reps, shingle, id_col, text_col, f"{folder}/1")
+    links = save(confirmed(stars, sets, percent), f"{folder}/links1")
     roots = components(links, f"{folder}/cc1")
 
-    left = save(_leftover_pairs(buckets.select("bucket", "band", "digest", "n"), roots, reps, percent), f"{folder}/left")
-    if not left.isEmpty():
-        more = save(confirmed(left, docs, reps, shingle, percent, id_col, text_col, f"{folder}/2"), f"{folder}/links2")
+    tiles = _tiles(buckets, roots, reps)
+    hope = save(_hopeful(tiles, percent), f"{folder}/hope")
+    if not hope.isEmpty():
+        sets = full_sets(hope, docs, reps, shingle, id_col, text_col, f"{folder}/2")
+        more = save(_missing_links(tiles, sets, percent), f"{folder}/links2")
         if not more.isEmpty():
             roots = components(links.union(more), f"{folder}/cc2")
 
