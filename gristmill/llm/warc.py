@@ -31,6 +31,8 @@ from gristmill.llm.common import save, shared_dir
 MAGIC = b"\x1f\x8b\x08"
 #: Bytes of an archive after which a writer begins another, and of the range that a reader's task scans.
 ARCHIVE_BYTES, RANGE_BYTES = 256 << 20, 4 << 20
+#: Ranges that a reading task is given, and tasks at most: beyond that each gets more ranges.
+TASK_RANGES, MOST_TASKS = 4, 50_000
 DATE = "1970-01-01T00:00:00Z"
 PROFILE = "http://netpreserve.org/warc/1.0/revisit/identical-payload-digest"
 
@@ -149,7 +151,9 @@ def read(archives: DataFrame, range_bytes: int = RANGE_BYTES, payloads: bool = T
     """
     ranges = archives.where("bytes > 0").withColumn("start", F.explode(F.expr(f"sequence(0L, bytes - 1, {range_bytes}L)")))
     ranges = ranges.select("path", "start", F.least(F.col("start") + range_bytes, "bytes").alias("end"))
-    ranges = ranges.repartition(F.col("path"), F.col("start"))
+    # rows of ranges are tiny, so Spark can't tell from their size how much work they are: the number of tasks is stated
+    some = archives.agg(F.sum(F.ceil(F.col("bytes") / range_bytes)).alias("n")).first().n or 0
+    ranges = ranges.repartition(min(MOST_TASKS, max(1, -(-some // TASK_RANGES))), "path", "start")
     names = ["page_id", "url", "payload_bytes", "payload_digest", "record_type", "refers_to", "html"]
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
