@@ -143,29 +143,39 @@ def _collision_search(k: int) -> Callable:
     def prepare(ids: np.ndarray, x: np.ndarray) -> Callable:
         n, dim = x.shape
         axes = np.random.default_rng(dim).standard_normal((dim, PROJECTIONS))
-        order = np.argsort(x @ axes, axis=0, kind="stable").T.astype(np.int32)  # one sorted array a projection
-        line = np.take_along_axis((x @ axes).T, order, 1)
+        line = (x @ axes).T
+        order = np.argsort(line, axis=1, kind="stable")  # one sorted array a projection, one after the other
+        line = np.take_along_axis(line, order, 1)
         first = 0.05 * float(np.median(line.std(1))) + 1e-12
+        order, lengths, squares = order.ravel(), np.full(PROJECTIONS, n), (x * x).sum(1)
+        # the arrays lie side by side on one scale, so that one search finds a window's end on all of them
+        reach = float(np.abs(line).max(initial=0)) + 1.0
+        shift = np.arange(PROJECTIONS) * 4 * reach
+        line = (line + shift[:, None]).ravel()
+        begin = np.arange(PROJECTIONS) * n
+
+        def ends(at: np.ndarray, side: str) -> np.ndarray:
+            return np.clip(np.searchsorted(line, np.clip(at, -2 * reach, 2 * reach) + shift, side), begin, begin + lengths)
 
         def search(own: int, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
             centre = y @ axes
-            met = np.zeros(n, np.int32)
+            met = np.zeros(n, np.int64)
             met[ids == own] = -2 * PROJECTIONS  # never enough
-            lo = hi = np.array([np.searchsorted(row, c) for row, c in zip(line, centre, strict=True)])
-            seen, far = np.zeros(n, bool), np.full(n, np.inf)
-            left, half = int((ids != own).sum()), first
+            lo = hi = ends(centre, "left")
+            seen, far, near = np.zeros(n, bool), np.full(n, np.inf), float(y @ y)
+            left, half, found = int((ids != own).sum()), first, 0
             while left:
-                a = np.array([np.searchsorted(row, c) for row, c in zip(line, centre - half, strict=True)])
-                b = np.array([np.searchsorted(row, c, "right") for row, c in zip(line, centre + half, strict=True)])
-                a, b = np.minimum(a, lo), np.maximum(b, hi)
-                ring = [row[s:t] for row, s, t in zip(order, a, lo, strict=True)] + [row[s:t] for row, s, t in zip(order, hi, b, strict=True)]
-                met += np.bincount(np.concatenate(ring), minlength=n).astype(np.int32)
+                a, b = np.minimum(ends(centre - half, "left"), lo), np.maximum(ends(centre + half, "right"), hi)
+                ring = [order[s:t] for s, t in zip(a.tolist(), lo.tolist(), strict=True) if s < t] + [order[s:t] for s, t in zip(hi.tolist(), b.tolist(), strict=True) if s < t]
+                if ring:
+                    met += np.bincount(np.concatenate(ring), minlength=n)
                 lo, hi = a, b
                 fresh = np.flatnonzero((met >= enough) & ~seen)
-                seen[fresh] = True
-                far[fresh] = np.sqrt(((x[fresh] - y) ** 2).sum(1))
-                left -= len(fresh)
-                if int(seen.sum()) >= k:
+                if len(fresh):
+                    seen[fresh] = True
+                    far[fresh] = np.sqrt(np.maximum(np.nan_to_num(squares[fresh] + near - 2 * (x[fresh] @ y), nan=np.inf), 0))
+                    left, found = left - len(fresh), found + len(fresh)
+                if found >= k:
                     last = REACH * float(np.partition(far, k - 1)[k - 1])
                     if half >= last:
                         break
@@ -173,8 +183,11 @@ def _collision_search(k: int) -> Callable:
                 else:
                     half *= GROWTH
             at = np.flatnonzero(seen)
-            best = at[np.lexsort((ids[at], far[at]))[:k]]
-            return ids[best], far[best]
+            if len(at) > k:  # what rounding of the quick distance may let in stays for the exact one
+                at = at[far[at] <= np.partition(far[at], k - 1)[k - 1] * (1 + 1e-6) + 1e-6 * np.sqrt(near + 1e-300)]
+            exact = np.sqrt(((x[at] - y) ** 2).sum(1))
+            best = np.lexsort((ids[at], exact))[:k]
+            return ids[at[best]], exact[best]
 
         return search
 
