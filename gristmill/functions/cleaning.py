@@ -152,10 +152,12 @@ def cleaned(df: DataFrame, column: str, into: str = "body_clean", without: tuple
             if diagnose:
                 df = df.withColumn(f"_lost{k}", F.col(f"_was{k}") - F.length("_clean")).drop(f"_was{k}")
                 lengths.append((name, f"_lost{k}"))
+    # one row in, one row out; a filter on the result stops here instead of being rewritten in terms of all the steps
+    df = df.withColumn("_clean", F.explode(F.array(F.col("_clean"))))
     df = df.withColumn(into, F.when(strip(F.col("_clean")) == "", "").otherwise(F.col("_clean"))).drop("_clean")
     if diagnose:
         pairs = [x for n, c in lengths[1:] for x in (F.lit(n), F.col(c))]
-        df = df.withColumn("lost", F.map_filter(F.create_map(*pairs), lambda _, n: n > 0)).drop(*[c for _, c in lengths[1:]])
+        df = df.withColumn("lost", F.explode(F.array(F.map_filter(F.create_map(*pairs), lambda _, n: n > 0)))).drop(*[c for _, c in lengths[1:]])
     return df
 
 

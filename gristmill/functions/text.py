@@ -7,6 +7,7 @@ from functools import reduce
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 #: Query keys that only track.
 TRACKING = tuple("utm_source utm_medium utm_campaign utm_term utm_content fbclid gclid igshid spm ref referer referrer from sid cid s_kwcid n_media n_query n_rank".split())
@@ -68,7 +69,14 @@ def strip_tags(html: Column) -> Column:
     return strip(reduce(lambda c, e: F.replace(c, F.lit(e[0]), F.lit(e[1])), _ENTITIES.items(), bare))
 
 
-@F.pandas_udf("string")
+def body_of(html: Column, least: int = 250) -> Column:
+    """The text of the article element; of the whole page without scripts and styles if that is short and the page has more."""
+    precise = strip_tags(F.regexp_extract(html, r"(?s)<article[^>]*>(.*)</article>", 1))
+    loose = strip_tags(F.regexp_replace(html, r"(?s)<(script|style)[^>]*>.*?</(script|style)>", ""))
+    return F.when((F.length(precise) < least) & (F.length(loose) > F.length(precise)), loose).otherwise(precise)
+
+
+@F.pandas_udf(StringType())
 def unescape(s: pd.Series) -> pd.Series:
     """All named and numeric entities, where the usual ones aren't enough."""
     import html
@@ -76,7 +84,7 @@ def unescape(s: pd.Series) -> pd.Series:
     return s.map(html.unescape, na_action="ignore")
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def decode_bytes(data: pd.Series) -> pd.Series:
     """The decoding with the most Hangul syllables of UTF-8, CP949 and EUC-KR; the first of equals, at once above ten."""
 

@@ -54,29 +54,25 @@ def components(edges: DataFrame) -> DataFrame:
             return label
 
 
-def conflict_edges(df: DataFrame, keys: list[str]) -> DataFrame:
-    """(a, b): rows that share a non-null key. A key of any size gives each row one edge to each earlier row of it, so keys
-    must be selective; callers deal with constant keys first."""
-    out = None
-    for k in keys:
-        side = df.where(F.col(k).isNotNull()).select("id", F.col(k).alias("k"))
-        e = side.select(F.col("id").alias("a"), "k").join(side.select(F.col("id").alias("b"), "k"), "k").where("a < b").select("a", "b")
-        out = e if out is None else out.union(e)
-    return out
-
-
 def two_key_dedupe(df: DataFrame, seq: str, first: str, second: str) -> DataFrame:
     """Rows of df kept when each row is dropped if either key was registered by an earlier kept row. Null keys are no keys.
 
-    Of rows that share both keys only the first can win, so they are thinned before the conflict join; what is left has
-    one row for each pair of keys.
+    In each round a row wins that is the earliest open one of both its keys; then all open rows with a key of a winner are
+    out. Rounds aggregate by key, so a key of any size costs one row a task and no pairs are made.
     """
-    null_safe = df.withColumn("_both", F.struct(first, second))
-    heads = null_safe.groupBy("_both").agg(F.min(seq).alias("id"))
-    single = df.where(F.col(first).isNull() & F.col(second).isNull()).select(F.col(seq).alias("id"))
-    keyed = cut(heads.where(F.col(f"_both.{first}").isNotNull() | F.col(f"_both.{second}").isNotNull()).select("id", F.col(f"_both.{first}").alias("k1"), F.col(f"_both.{second}").alias("k2")))
-    kept = first_independent(keyed, conflict_edges(keyed, ["k1", "k2"])).union(single)
-    return df.join(kept.withColumnRenamed("id", seq), seq, "left_semi")
+    alone = df.where(F.col(first).isNull() & F.col(second).isNull()).select(F.col(seq).alias("id"))
+    keyed = df.where(F.col(first).isNotNull() | F.col(second).isNotNull()).select(F.col(seq).alias("id"), F.col(first).alias("k1"), F.col(second).alias("k2"))
+    open_ = cut(keyed.groupBy("k1", "k2").agg(F.min("id").alias("id")))  # of rows with equal keys only the first can win
+    kept = alone
+    while not open_.isEmpty():
+        lead = lambda k: open_.where(F.col(k).isNotNull()).groupBy(k).agg(F.min("id").alias(f"first_{k}"))
+        placed = open_.join(lead("k1"), "k1", "left").join(lead("k2"), "k2", "left")
+        own = lambda k: F.coalesce(F.col(f"first_{k}") == F.col("id"), F.lit(True))
+        won = cut(placed.where(own("k1") & own("k2")).select("id", "k1", "k2"))
+        kept = kept.union(won.select("id"))
+        taken = lambda k: won.where(F.col(k).isNotNull()).select(k)
+        open_ = cut(open_.join(taken("k1"), "k1", "left_anti").join(taken("k2"), "k2", "left_anti").join(won.select("id"), "id", "left_anti").select("id", "k1", "k2"))
+    return df.join(kept.select(F.col("id").alias(seq)), seq, "left_semi")
 
 
 def leaders(nodes: DataFrame, edges: DataFrame) -> DataFrame:

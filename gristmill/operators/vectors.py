@@ -61,15 +61,16 @@ def neighbours(queries: DataFrame, anchors: DataFrame, k: int, least: float | No
     """
     a, na = _blocks(anchors.select("id", "label", "v"))
     q, nq = _blocks(queries.select("id", "v"))
+    q = q.select(F.col("id").alias("asked"), F.col("v").alias("asked_v"), "block")
     a = a.withColumn("with", F.explode(F.sequence(F.lit(0), F.lit(nq - 1))))
     q = q.withColumnRenamed("block", "with").withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(na - 1))))
 
     def run(x: pd.DataFrame, y: pd.DataFrame) -> pd.DataFrame:
         out = []
         if len(x) and len(y):
-            sims = np.stack(x.v).astype(float) @ np.stack(y.v).astype(float).T
+            sims = np.stack(x.asked_v).astype(float) @ np.stack(y.v).astype(float).T
             ids, labels = y.id.to_numpy(), y.label.to_numpy()
-            for own, row in zip(x.id.to_numpy(), sims, strict=True):
+            for own, row in zip(x.asked.to_numpy(), sims, strict=True):
                 at = np.flatnonzero(ids != own) if k else np.flatnonzero((ids > own) & (row > least))
                 if k:
                     at = at[np.lexsort((ids[at], -row[at]))[:k]]
