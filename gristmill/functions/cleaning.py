@@ -41,24 +41,31 @@ def _chars(lines: Column) -> Column:
     return F.aggregate(lines, F.lit(0), lambda a, x: a + F.length(strip(x)))
 
 
+def _where(text: Column, hint: str, out: Column) -> Column:
+    """out, but for a text that holds nothing the step looks for: that one is spared the walk over its lines."""
+    return F.when(text.rlike(hint), out).otherwise(text)
+
+
 def caption_lines(text: Column) -> Column:
     """Out with lines that begin or end with a pipe, unless less than a third or so of the text would stay."""
     lines = F.split(text, "\n")
     kept = F.filter(lines, lambda x: ~(F.startswith(strip(x), F.lit("|")) | F.endswith(strip(x), F.lit("|"))))
-    return F.when((_chars(lines) > 0) & (_chars(kept) < _chars(lines) * CAPTION_KEPT), text).otherwise(F.array_join(kept, "\n"))
+    few = (_chars(lines) > 0) & (_chars(kept) < _chars(lines) * CAPTION_KEPT)
+    return _where(text, r"\|", F.when(few, text).otherwise(F.array_join(kept, "\n")))
 
 
 def agency_lines(text: Column) -> Column:
     """A line with an agency prefix goes if it ends with a date, else it loses the prefix."""
     kept = F.filter(F.split(text, "\n"), lambda x: ~(x.rlike(AGENCY) & x.rlike(DATE_TAIL)))
-    return F.array_join(F.transform(kept, lambda x: F.regexp_replace(x, AGENCY, "")), "\n")
+    return _where(text, "기자|특파원", F.array_join(F.transform(kept, lambda x: F.regexp_replace(x, AGENCY, "")), "\n"))
 
 
 def boilerplate_lines(text: Column) -> Column:
     """Short copyright lines, bylines and screen texts go; long lines lose the notice alone."""
     kept = F.filter(F.split(text, "\n"), lambda x: ~(x.rlike(COPYRIGHT) & (F.length(x) <= COPYRIGHT_CHARS)))
     cut = F.transform(kept, lambda x: F.when(x.rlike(COPYRIGHT), F.regexp_replace(x, COPYRIGHT_NOTICE, " ")).otherwise(x))
-    return F.array_join(F.filter(cut, lambda x: ~x.rlike(BYLINE) & ~((F.length(strip(x)) <= UI_CHARS) & x.rlike(UI_LINE))), "\n")
+    out = F.array_join(F.filter(cut, lambda x: ~x.rlike(BYLINE) & ~((F.length(strip(x)) <= UI_CHARS) & x.rlike(UI_LINE))), "\n")
+    return _where(text, "기자|기사|읽어주기|브라우저|" + COPYRIGHT, out)
 
 
 def bracket_bylines(text: Column) -> Column:
@@ -66,14 +73,14 @@ def bracket_bylines(text: Column) -> Column:
 
 
 def plain_captions(text: Column) -> Column:
-    return _lines(text, lambda x: ~((strip(x) != "") & (F.length(strip(x)) <= CAPTION_CHARS) & strip(x).rlike(CAPTION_TAIL)))
+    return _where(text, "모습|장면", _lines(text, lambda x: ~((strip(x) != "") & (F.length(strip(x)) <= CAPTION_CHARS) & strip(x).rlike(CAPTION_TAIL))))
 
 
 def cut_at_terminator(text: Column) -> Column:
     lines = F.split(text, "\n")
     marks = F.transform(lines, lambda x: x.rlike(TERMINATOR))
     place = F.array_position(marks, True)
-    return F.when(place > 0, F.array_join(F.slice(lines, F.lit(1), (place - 1).cast("int")), "\n")).otherwise(text)
+    return _where(text, r"\(끝\)", F.when(place > 0, F.array_join(F.slice(lines, F.lit(1), (place - 1).cast("int")), "\n")).otherwise(text))
 
 
 def cut_at_section(text: Column) -> Column:
@@ -97,7 +104,7 @@ def cut_at_inline_header(text: Column) -> Column:
     pieces = F.split(text, r"(?<=\S)(?=(?:" + any_of(INLINE_HEADERS) + "))")
     heads = F.transform(F.sequence(F.lit(1), F.size(pieces)), lambda i: F.array_join(F.slice(pieces, F.lit(1), i), ""))
     first = F.get(F.filter(heads, lambda h: F.length(strip(h)) >= BODY_BEFORE_HEADER), F.lit(0))
-    return F.when(F.size(pieces) > 1, F.when(first == text, text).otherwise(F.regexp_replace(F.coalesce(first, text), r"(?U)\s+$", ""))).otherwise(text)
+    return F.when(text.rlike(any_of(INLINE_HEADERS)) & (F.size(pieces) > 1), F.when(first == text, text).otherwise(F.regexp_replace(F.coalesce(first, text), r"(?U)\s+$", ""))).otherwise(text)
 
 
 def edge_lists(text: Column) -> Column:

@@ -1,4 +1,7 @@
-"""Trend keywords, record scores and BM25 retrieval."""
+"""Trend keywords, record scores and BM25 retrieval.
+
+Token lists are unnested by explode_outer: from a plain explode Spark infers a filter that computes the list once more.
+"""
 
 from __future__ import annotations
 
@@ -14,7 +17,7 @@ def trend_keywords(df: DataFrame, tokens: Column, words: Vocabulary, trend: Tren
     """(token, df, weight): the keywords that most records hold, domain words doubled; ties go by token."""
     t = trend or Trend()
     total = df.select(F.count(F.lit(1)).alias("total"))
-    often = df.select("id", F.explode(F.array_distinct(tokens)).alias("token")).groupBy("token").agg(F.count(F.lit(1)).alias("df")).where(F.col("df") >= t.least_documents)
+    often = df.select("id", F.explode_outer(F.array_distinct(tokens)).alias("token")).where("token is not null").groupBy("token").agg(F.count(F.lit(1)).alias("df")).where(F.col("df") >= t.least_documents)
     domain = F.col("token").rlike(any_of(words.core + words.generic))
     weight = F.col("df") / F.col("total") * F.when(domain, t.domain_weight).otherwise(1.0)
     return often.join(F.broadcast(total)).select("token", "df", weight.alias("weight")).orderBy(F.desc("weight"), "token").limit(t.keywords)
@@ -23,7 +26,7 @@ def trend_keywords(df: DataFrame, tokens: Column, words: Vocabulary, trend: Tren
 def record_scores(df: DataFrame, title_tokens: Column, body_tokens: Column, weights: DataFrame, trend: Trend | None = None) -> DataFrame:
     """(id, score, matched): each keyword of the record counts its weight, more if it is in the title. weights is short by its limit."""
     t = trend or Trend()
-    both = df.select("id", F.explode(F.array_union(title_tokens, body_tokens)).alias("token"), title_tokens.alias("_t")).withColumn("titled", F.array_contains("_t", F.col("token"))).drop("_t")
+    both = df.select("id", F.explode_outer(F.array_union(title_tokens, body_tokens)).alias("token"), title_tokens.alias("_t")).withColumn("titled", F.array_contains("_t", F.col("token"))).drop("_t")
     gain = both.join(F.broadcast(weights.select("token", "weight").limit(t.keywords)), "token").withColumn("gain", F.col("weight") * F.when(F.col("titled"), t.title_bonus).otherwise(1.0))
     ordered = F.transform(F.array_sort(F.collect_list(F.struct((-F.col("gain")).alias("g"), "token"))), lambda x: x["token"])
     return gain.groupBy("id").agg(F.sum("gain").alias("score"), ordered.alias("matched"))
@@ -39,7 +42,7 @@ def bm25(documents: DataFrame, queries: DataFrame, k: int, k1: float = 1.5, b: f
     stats = sized.agg(F.count(F.lit(1)).alias("n"), F.avg("length").alias("mean"))
     asked = queries.select("query_id", F.explode(F.array_distinct("tokens")).alias("term"))
     terms = asked.select("term").distinct()
-    postings = sized.select("id", "length", F.explode("tokens").alias("term")).join(terms, "term", "left_semi").groupBy("id", "length", "term").agg(F.count(F.lit(1)).alias("tf"))
+    postings = sized.select("id", "length", F.explode_outer("tokens").alias("term")).join(terms, "term", "left_semi").groupBy("id", "length", "term").agg(F.count(F.lit(1)).alias("tf"))
     often = postings.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
     idf = F.log(1 + (F.col("n") - F.col("df") + 0.5) / (F.col("df") + 0.5))
     part = idf * F.col("tf") * (k1 + 1) / (F.col("tf") + k1 * (1 - b + b * F.col("length") / F.col("mean")))

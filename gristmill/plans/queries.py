@@ -297,13 +297,11 @@ def signature_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def event_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return events.similar_pairs(greedy.cut(_signatures(spark, sf_dir)), TABLES.events).where(events.same_event(TABLES.events))
+    return events.similar_pairs(_signatures(spark, sf_dir), TABLES.events).where(events.same_event(TABLES.events))
 
 
 def near_miss_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Pairs below the first limit whose overlap alone is high: they may share few tokens, so no prefix can be left out."""
-    sig = greedy.cut(_signatures(spark, sf_dir))
-    return events.near_misses(events.all_overlaps(sig, sig).where("a < b"), TABLES.events)
+    return events.near_misses(events.similar_pairs(_signatures(spark, sf_dir), TABLES.events), TABLES.events)
 
 
 def history_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -313,7 +311,7 @@ def history_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def event_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pairs = events.similar_pairs(greedy.cut(_signatures(spark, sf_dir)), TABLES.events)
+    pairs = events.similar_pairs(_signatures(spark, sf_dir), TABLES.events)
     return events.clusters(records(spark, sf_dir), pairs, TABLES.events)
 
 

@@ -75,7 +75,7 @@ def search_results(responses: DataFrame, keywords: list[str]) -> DataFrame:
 
 def read_corpus(spark: SparkSession, path: str) -> DataFrame:
     """(id, title, text) of .md and .txt files below path."""
-    raw = spark.read.option("wholetext", True).option("recursiveFileLookup", True).option("pathGlobFilter", "*.{md,txt}").text(path)
+    raw = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.{md,txt}").text(path, wholetext=True)
     return raw.select(F.regexp_replace("_metadata.file_name", r"\.(md|txt)$", "").alias("id"), first_title(F.col("value")).alias("title"), F.col("value").alias("text"))
 
 
@@ -84,7 +84,7 @@ STATE = "last_collected_at string, processed_urls array<string>, written_events
 
 def read_state(spark: SparkSession, path: str) -> dict[str, DataFrame]:
     """The state as tables; a file that can't be read gives empty ones, and broken entries are left out one by one."""
-    raw = spark.read.option("wholetext", True).text(path).select(F.from_json("value", STATE).alias("s")).where("s is not null")
+    raw = spark.read.text(path, wholetext=True).select(F.from_json("value", STATE).alias("s")).where("s is not null")
     events = raw.select(F.explode("s.written_events").alias("e")).where("e is not null and e.at is not null and e.tokens is not null")
     held = raw.select(F.explode("s.held").alias("h")).where("h is not null and h.lane is not null and h.article.url is not null")
     return {
