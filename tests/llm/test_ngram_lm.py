@@ -31,18 +31,19 @@ def plain(rows):
     high, low = of(pairs.values()), of(before.values())
     d = lambda c, x: 0 if not c else x[min(c, 3) - 1]
 
+    low_spare = sum(d(c, low) for c in before.values()) / len(pairs) if pairs else 0
+    spare = {a: sum(d(c, high) for c in seen.values()) / sum(seen.values()) for a, seen in after.items()}
+
     def p_low(w):
         if not pairs:
             return 1 / (v + 1)
-        spare = sum(d(c, low) for c in before.values()) / len(pairs)
-        return max(before[w] - d(before[w], low), 0) / len(pairs) + spare / (v + 1)
+        return max(before[w] - d(before[w], low), 0) / len(pairs) + low_spare / (v + 1)
 
     def p(a, w):
         seen = after.get(a)
         if not seen:
             return p_low(w)
-        total = sum(seen.values())
-        return max(seen[w] - d(seen[w], high), 0) / total + sum(d(c, high) for c in seen.values()) / total * p_low(w)
+        return max(seen[w] - d(seen[w], high), 0) / sum(seen.values()) + spare[a] * p_low(w)
 
     out = []
     for i, t in rows:
