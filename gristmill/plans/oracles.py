@@ -153,6 +153,17 @@ BANNED_PLACES = f"""
 SELECT id, category, severity, x.start::bigint AS start, (x.start + length(x.w))::bigint AS finish, x.w AS matched
 FROM ({_places('claims', 'block', 'the best|ation|eaux')} UNION ALL {_places('filler', 'warn', 'and the|de la|und')})"""
 
+_FOLDED = r"regexp_replace(lower(text), '[^\p{L}\p{N}]', '', 'g')"
+FOLDED_COUNTS = f"""
+WITH c AS (SELECT doc_id, unnest([{{'word': 'eaux', 'n': {_count(_FOLDED, 'eaux')}}}, {{'word': 'The Re', 'n': {_count(_FOLDED, 'there')}}}]) AS x FROM documents)
+SELECT doc_id, x.word AS word, x.n AS n FROM c WHERE x.n > 0"""
+
+SENTIMENT_REPORT = rf"""
+WITH l AS (SELECT conv_id, unnest({_lines('text')}) AS line FROM conversations), w AS (SELECT conv_id, regexp_extract_all(lower(line), '\p{{L}}+') AS words FROM l),
+s AS (SELECT conv_id, len(list_filter(words, lambda x: x IN ('de', 'und'))) - len(list_filter(words, lambda x: x IN ('the', 'que'))) AS score FROM w),
+g AS (SELECT conv_id, count(*) AS sentences, count(*) FILTER (score > 0.5) AS up, count(*) FILTER (score < -0.5) AS down, sum(score)::double AS total FROM s GROUP BY conv_id)
+SELECT conv_id, sentences, round(up / sentences, 4) AS positive, round(down / sentences, 4) AS negative, round((sentences - up - down) / sentences, 4) AS neutral, round(total / sentences, 4) AS mean, up / nullif(up + down, 0) AS binary FROM g"""
+
 IMAGE_SLOTS = """
 WITH l AS (SELECT conv_id AS id, turn, role, length(text)::varchar AS head, (turn % 90 + 1)::varchar AS slot FROM conversations),
 s AS (SELECT *, regexp_matches(head, '^[0-9]{1,2}$')::int AS h FROM l),

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from gristmill.functions import cleaning, matching, structure, text
+from gristmill.functions import cleaning, matching, sentiment, structure, text, wording
 from gristmill.operators import evaluation, events, greedy, ordering, scoring, sets, vectors
 from gristmill.plans.flagship import TABLES, facts, records, selected
 from gristmill.sources.shared import shared_folder
@@ -133,6 +133,20 @@ def banned_places(spark: SparkSession, sf_dir: str) -> DataFrame:
     return structure.banned_places(d, "text", BANNED)
 
 
+def folded_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How often words stand in the texts if blanks, punctuation and case don't count."""
+    d = _table(spark, sf_dir, "documents").select("doc_id", F.explode(wording.folded_places(F.col("text"), ("eaux", "The Re"))).alias("p"))
+    return d.groupBy("doc_id", F.col("p.word").alias("word")).agg(F.count(F.lit(1)).alias("n"))
+
+
+def sentiment_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of the turns as sentences, with a small lexicon of Latin words."""
+    lines = _table(spark, sf_dir, "conversations").select("conv_id", F.explode(F.split("text", "\n")).alias("line"))
+    lexicon = sentiment.Lexicon({"de": 1, "und": 1, "the": -1, "que": -1}, negations=())
+    scored = lines.select("conv_id", sentiment.sentence_scores(sentiment.simple_units(F.col("line")), lexicon)["score"].alias("score"))
+    return sentiment.document_sentiment(scored, "conv_id", "score", 0.5)
+
+
 def image_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Turns as paragraphs of a draft, each followed by a slot line; the images of odd slots are there."""
     c = _table(spark, sf_dir, "conversations").withColumn("line", F.concat(F.length("text").cast("string"), F.lit("\n"), (F.col("turn") % 90 + 1).cast("string")))
@@ -431,7 +445,7 @@ def flagship_select(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 ALL: tuple[Callable[[SparkSession, str], DataFrame], ...] = (
     url_keys, page_bodies, title_keys, dates, text_chunks, topic_crosstab, clean_bodies, clean_losses, home_records, plain_markdown, excluded_lines,
-    draft_lengths, within_length, draft_structure, rewrites, banned_counts, banned_places, image_slots, gate_facts, gate_trace, gate_scores, gate_misses,
+    draft_lengths, within_length, draft_structure, rewrites, banned_counts, banned_places, folded_counts, sentiment_report, image_slots, gate_facts, gate_trace, gate_scores, gate_misses,
     gate_sweep, dedupe_two_key, pool_of_users, unprocessed, held_over, per_user_cap, last_keys, lane_route, written_over, since_cutoff, retention,
     held_status, stream_first_seen, trend_keywords, record_scores, bm25_topk, round_robin, packs_of_four, lowest_quarter, signature_sizes, event_pairs,
     near_miss_pairs, history_matches, event_clusters, cluster_bonus, topic_components, bundles, centroid_labels, centroid_labels_loo, knn_labels,
