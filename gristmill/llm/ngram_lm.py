@@ -41,7 +41,9 @@ _LEFT, _RIGHT = np.uint64(0xD1342543DE82EF95), np.uint64(0xA3B195354A39B70D)
 
 
 def pair_keys(left: np.ndarray, right: np.ndarray) -> np.ndarray:
-    return mix(left * _LEFT + right * _RIGHT)
+    keys = left * _LEFT
+    keys += right * _RIGHT
+    return mix(keys)
 
 
 def sequences(hashes: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -66,7 +68,7 @@ def _summed(left: np.ndarray, right: np.ndarray, count: np.ndarray | None) -> tu
     order = np.argsort(keys)
     keys = keys[order]
     first = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]]) if len(keys) else np.zeros(0, int)
-    counts = np.add.reduceat(count[order], first) if count is not None and len(first) else np.diff(np.r_[first, len(keys)])
+    counts = np.add.reduceat(count[order], first, dtype=np.int64) if count is not None and len(first) else np.diff(np.r_[first, len(keys)])
     return keys[first], left[order[first]], right[order[first]], counts.astype(np.int64)
 
 
@@ -85,7 +87,9 @@ def _dealt(train: DataFrame, hot: list[int], shards: int) -> DataFrame:
         size = 0
 
         def deal() -> pa.RecordBatch:
-            _, left, right, count = _summed(np.concatenate([x for x, _ in held]), np.concatenate([y for _, y in held]), None)
+            left, right = np.concatenate([x for x, _ in held]), np.concatenate([y for _, y in held])
+            held.clear()  # the joined arrays are all that is needed while they are sorted
+            _, left, right, count = _summed(left, right, None)
             shard = _shards(left, right, often, shards)
             # by shard, then by context: contexts repeat and pack well
             order = np.lexsort((left, shard))
@@ -102,7 +106,7 @@ def _dealt(train: DataFrame, hot: list[int], shards: int) -> DataFrame:
                 size += len(left)
                 if size >= GATHER:
                     yield deal()
-                    held, size = [], 0
+                    size = 0
         if size:
             yield deal()
 
@@ -136,8 +140,11 @@ FIELDS = ("count", "before", "total", "once", "twice", "more")
 
 
 def _count_shard(p: pd.DataFrame, folder: str, ranges: int) -> pd.DataFrame:
-    keys, left, right, count = _summed(_joined(p.lefts, np.uint64), _joined(p.rights, np.uint64), _joined(p.counts, np.uint32).astype(np.int64))
-    _write(folder, f"bi-{int(p.shard.iloc[0]):06d}", keys=keys, counts=count)
+    shard = int(p.shard.iloc[0])
+    # each column is given up as it is joined, so that no shard is held twice
+    left, right, count = _joined(p.pop("lefts"), np.uint64), _joined(p.pop("rights"), np.uint64), _joined(p.pop("counts"), np.uint32)
+    keys, left, right, count = _summed(left, right, count)
+    _write(folder, f"bi-{shard:06d}", keys=keys, counts=count)
     one = np.ones(len(keys), np.int64)
     word, occurs, before = _group_sums(right, count, one)
     context, total, n1, n2, n3 = _group_sums(left, count, (count == 1).astype(np.int64), (count == 2).astype(np.int64), (count > 2).astype(np.int64))
