@@ -2,8 +2,9 @@
 
 Every source gets a target number of words; a document's expected copies are its source's target over its size. Whole
 copies are certain. For the rest, documents are ranked by random odds over inclusion odds (Pareto order sampling) and
-taken in that order until the words of the sample are reached; the last gap is closed by the documents whose sizes come
-nearest to it, FILLS times at most. Ranks come from a hash of the id, so reruns agree.
+taken in that order as long as they fit what is left of the sample's words; one that doesn't fit is set aside and the next
+are tried, in rounds, each a written table, until nothing fits. At last the smallest one left is taken if that comes nearer
+to the target, so a source ends within half of its smallest document left. Ranks come from a hash of the id, so reruns agree.
 
 Cumulated words come from two levels: sums per source and slice of the rank scale, then running sums inside a slice. So a
 source with a third of all rows is dealt over SLICES groups. Words are runs of anything but ASCII white space.
@@ -16,6 +17,7 @@ target 0; an empty table gives an empty result. Other columns are ignored.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -24,7 +26,6 @@ from pyspark.sql import functions as F
 from gristmill.llm.common import WORD, save, shared_dir
 
 SLICES = 4096
-FILLS = 3
 
 
 def targets(sources: DataFrame, weights: Sequence[float], share: float, cap: float) -> DataFrame:
@@ -48,6 +49,11 @@ def _uniform(key: Column, seed: int) -> Column:
     return (F.conv(digits, 16, 10).cast("double") + 0.5) / float(2**52)
 
 
+def _without(rows: DataFrame, got: DataFrame) -> DataFrame:
+    g = got.select(F.col("source").alias("s"), F.col("slice").alias("l"), F.col("order").alias("o"))
+    return rows.join(g, rows["source"].eqNullSafe(g["s"]) & (rows["slice"] == g["l"]) & (rows["order"] == g["o"]), "left_anti")
+
+
 def mixed(docs: DataFrame, weights: Sequence[float] = (3, 1, 2), share: float = 1.5, cap: float = 2.0, seed: int = 0, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
     """(doc_id, size, source_size, target, taken, copies, source, mark) of each row of docs; mark is a hash of its text."""
     spark, folder = docs.sparkSession, shared_dir(docs.sparkSession, "mix")
@@ -71,19 +77,35 @@ def mixed(docs: DataFrame, weights: Sequence[float] = (3, 1, 2), share: float =
     base = sliced.withColumn("base", F.coalesce(F.sum("words").over(W.partitionBy("source").orderBy("slice").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))).select(F.col("source").alias("s"), F.col("slice").alias("l"), "base")
     ranked = save(ranked.join(base, ranked["source"].eqNullSafe(base["s"]) & (ranked["slice"] == base["l"])).withColumn("sampled", F.col("base") + F.col("run") <= F.col("need")).drop("s", "l"), f"{folder}/placed")
 
-    # the gap that the prefix leaves, and the best document of each size to close it
-    gap = ranked.groupBy("source").agg((F.max("need") - F.coalesce(F.sum(F.when(F.col("sampled"), F.col("size"))), F.lit(0))).alias("gap"))
-    left = save(ranked.where(~F.col("sampled")).groupBy("source", "size").agg(F.min(F.struct("rank", "slice", "order")).alias("best")), f"{folder}/left")
-    picks = None
-    for k in range(FILLS):
+    # what doesn't fit is set aside; the prefix step is repeated over what fits the gap that is left, until nothing does
+    gap = save(ranked.groupBy("source").agg((F.max("need") - F.coalesce(F.sum(F.when(F.col("sampled"), F.col("size"))), F.lit(0))).alias("gap")), f"{folder}/gap")
+    left = save(ranked.where(~F.col("sampled")).select("source", "slice", "order", "size"), f"{folder}/left")
+    opened, rounds = left, []
+    while True:
+        at = f"{folder}/round{len(rounds)}"
         g = gap.select(F.col("source").alias("s"), "gap")
-        near = left.join(g, left["source"].eqNullSafe(g["s"])).where((F.col("gap") > 0) & (F.abs(F.col("gap") - F.col("size")) < F.col("gap")))
-        pick = save(near.groupBy("source").agg(F.min(F.struct(F.abs(F.col("gap") - F.col("size")).alias("off"), "best", "size")).alias("p")).select("source", "p.best.slice", "p.best.order", "p.size"), f"{folder}/pick{k}")
-        picks = pick if picks is None else picks.union(pick)
-        used = pick.select(F.col("source").alias("s2"), F.col("size").alias("got"))
-        gap = gap.join(used, gap["source"].eqNullSafe(used["s2"]), "left").select("source", (F.col("gap") - F.coalesce("got", F.lit(0))).alias("gap"))
-        drop = used.withColumnRenamed("got", "used_size")
-        left = left.join(drop, left["source"].eqNullSafe(drop["s2"]) & (left["size"] == drop["used_size"]), "left_anti")
+        fits = save(opened.join(g, opened["source"].eqNullSafe(g["s"])).where(F.col("size") <= F.col("gap")).drop("s"), f"{at}/fits")
+        # only the slices that begin inside the gap can hold documents to take
+        words = fits.groupBy("source", "slice").agg(F.sum("size").alias("words"), F.max("gap").alias("room"))
+        start = F.coalesce(F.sum("words").over(W.partitionBy("source").orderBy("slice").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+        base = words.withColumn("base", start).where("base < room").select(F.col("source").alias("s"), F.col("slice").alias("l"), "base")
+        near = fits.join(base, fits["source"].eqNullSafe(base["s"]) & (fits["slice"] == base["l"])).drop("s", "l")
+        run = F.sum("size").over(W.partitionBy("source", "slice").orderBy("order").rowsBetween(W.unboundedPreceding, 0))
+        got = save(near.withColumn("run", run).where(F.col("base") + F.col("run") <= F.col("gap")).select("source", "slice", "order", "size"), f"{at}/got")
+        if got.isEmpty():
+            break
+        rounds.append(got)
+        used = got.groupBy(F.col("source").alias("s")).agg(F.sum("size").alias("used"))
+        gap = save(gap.join(used, gap["source"].eqNullSafe(used["s"]), "left").select("source", (F.col("gap") - F.coalesce("used", F.lit(0))).alias("gap")), f"{at}/gap")
+        opened = _without(fits.drop("gap"), got)
+
+    # all that is left is larger than its gap: the smallest is taken if that comes nearer
+    if rounds:
+        left = _without(left, reduce(DataFrame.union, rounds))
+    g = gap.select(F.col("source").alias("s"), "gap")
+    last = left.groupBy("source").agg(F.min(F.struct("size", "slice", "order")).alias("p"))
+    last = last.join(g, last["source"].eqNullSafe(g["s"])).where((F.col("gap") > 0) & (F.col("p.size") - F.col("gap") < F.col("gap"))).select("source", "p.slice", "p.order", "p.size")
+    picks = save(reduce(DataFrame.union, rounds, last), f"{folder}/picks")
     picks = picks.select(F.col("source").alias("s"), F.col("slice").alias("l"), F.col("order").alias("o"), F.lit(True).alias("picked"))
     chosen = ranked.join(picks, ranked["source"].eqNullSafe(picks["s"]) & (ranked["slice"] == picks["l"]) & (ranked["order"] == picks["o"]), "left")
     of_rank = chosen.withColumn("copies", F.col("whole") + (F.col("sampled") | F.coalesce("picked", F.lit(False))).cast("int"))

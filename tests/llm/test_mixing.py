@@ -1,5 +1,6 @@
 """Mixing: targets against repeated resharing, words near targets."""
 
+import hashlib
 import random
 
 from pyspark.sql import functions as F
@@ -61,3 +62,27 @@ def test_nulls_ties_and_empty(spark):
     assert {(r.source, r.target) for r in got if r.source is None} == {(None, 0.0)}
     assert mixing.mixed(spark.createDataFrame([], DOCS)).count() == 0
     assert mixing.take(spark.createDataFrame([], DOCS)).count() == 0
+
+
+def test_long_documents_are_set_aside(spark):
+    """Sources with one very long document among short ones end as a loop down the ranks does, near their targets."""
+    rng = random.Random(4)
+    rows = [(1000 * s + i, " ".join(["w"] * (20000 if i == 0 else rng.randint(50, 300))), "en", f"s{s:02d}", 1) for s in range(12) for i in range(401)]
+    got = mixing.mixed(spark.createDataFrame(rows, DOCS).repartition(4), weights=(1,), share=1.5, cap=2.0).collect()
+    by_source = {}
+    for r in got:
+        by_source.setdefault(r.source, []).append(r)
+    for mine in by_source.values():
+        whole = int(mine[0].target // mine[0].source_size)
+        gap, taken = mine[0].target - whole * mine[0].source_size, set()
+        mine.sort(key=lambda r: int(hashlib.md5(f"{r.doc_id}:0".encode()).hexdigest()[:13], 16))
+        for r in mine:
+            if r.size <= gap:
+                gap -= r.size
+                taken.add(r.doc_id)
+        least = min((r for r in mine if r.doc_id not in taken), key=lambda r: r.size)
+        assert gap < least.size
+        if least.size - gap < gap:
+            taken.add(least.doc_id)
+        assert {r.doc_id for r in mine if r.copies > whole} == taken
+        assert abs(sum(r.taken for r in mine) - mine[0].target) <= least.size / 2
