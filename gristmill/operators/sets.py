@@ -68,7 +68,7 @@ def route(df: DataFrame, verdicts: DataFrame, key: str, seq: str, organisation:
     v = last_wins(verdicts.withColumn("_s", F.monotonically_increasing_id()), key, "_s").select(key, "verdict") if verdicts.columns != [key, "verdict"] else verdicts
     r = df.join(v, key, "left")
     target = F.when(F.col("verdict") == organisation, F.lit(organisation)).when(F.col("lane") == organisation, F.col("verdict")).otherwise(F.col("lane"))
-    r = r.withColumn("moved_from", F.col("lane")).withColumn("lane", target).join(F.broadcast(lanes.limit(1000)), "lane")
+    r = r.withColumn("moved_from", F.col("lane")).withColumn("lane", target).join(lanes, "lane")
     fresh = (F.col("lane") == F.col("moved_from")) | F.col(published).isNull() | (F.col(published) >= now - F.make_dt_interval(F.col("lookback_days")))
     r = r.where(fresh).drop("verdict", "lookback_days")
     w = W.partitionBy("lane", key).orderBy(seq)
@@ -85,5 +85,4 @@ def upsert(old: DataFrame, new: DataFrame, key: str) -> DataFrame:
 
 def retained(df: DataFrame, policy: DataFrame, created: str, now: Column) -> DataFrame:
     """df without what is older than its status allows (status, days); unknown times and statuses never expire."""
-    p = F.broadcast(policy.limit(1000))
-    return df.join(p, "status", "left").where(F.col("days").isNull() | F.col(created).isNull() | (F.col(created) >= now - F.make_dt_interval(F.col("days")))).drop("days")
+    return df.join(policy, "status", "left").where(F.col("days").isNull() | F.col(created).isNull() | (F.col(created) >= now - F.make_dt_interval(F.col("days")))).drop("days")

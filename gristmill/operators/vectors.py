@@ -28,17 +28,17 @@ def class_sums(df: DataFrame) -> DataFrame:
 def _best(df: DataFrame, id_col: str = "id") -> DataFrame:
     """(id, label, score, margin): the class with the highest similarity, and how far the second is."""
     w = W.partitionBy(id_col).orderBy(F.desc("sim"), "candidate")
-    r = df.withColumn("rn", F.row_number().over(w)).withColumn("next", F.lead("sim").over(w))
+    r = df.withColumn("rn", F.row_number().over(w)).where("rn <= 2").withColumn("next", F.lead("sim").over(w))
     return r.where("rn = 1").select(id_col, F.col("candidate").alias("label"), F.col("sim").alias("score"), (F.col("sim") - F.coalesce("next", F.lit(0.0))).alias("margin"))
 
 
 def centroid_predict(df: DataFrame, leave_out: bool = False) -> DataFrame:
     """Predicted class of (id, label, v) by the renormalised class means; with leave_out, a vector isn't part of its own mean.
 
-    The class table has one row a label and is sent to all tasks (its size is that of the label set, 1,000 rows at most).
+    Every vector meets every class, however many there are; of each part of the pairs only the best two classes of a vector move.
     """
-    sums = class_sums(df).select(F.col("label").alias("candidate"), "n", "total").orderBy("candidate").limit(1000)
-    pair = df.join(F.broadcast(sums))
+    sums = class_sums(df).select(F.col("label").alias("candidate"), "n", "total")
+    pair = df.crossJoin(sums)
     own = F.lit(leave_out) & (F.col("label") == F.col("candidate"))
     mean = F.when(own, F.when(F.col("n") > 1, F.zip_with("total", "v", lambda s, x: (s - x) / (F.col("n") - 1)))).otherwise(F.transform("total", lambda s: s / F.col("n")))
     pair = pair.withColumn("mean", mean).withColumn("sim", dot(F.col("mean"), F.col("v")) / F.nullif(norm(F.col("mean")), F.lit(0.0)))

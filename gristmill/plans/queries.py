@@ -401,7 +401,7 @@ def _probes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(q, i, sim): the class means as probes against all vectors."""
     v = _vectors(spark, sf_dir)
     means = vectors.class_sums(v).select(F.col("label").alias("q"), F.transform("total", lambda x: x / F.col("n")).alias("m"))
-    return v.join(F.broadcast(means.orderBy("q").limit(1000))).select("q", F.col("id").alias("i"), F.round(vectors.dot(F.col("m"), F.col("v")), 6).alias("sim"))
+    return v.crossJoin(means).select("q", F.col("id").alias("i"), F.round(vectors.dot(F.col("m"), F.col("v")), 6).alias("sim"))
 
 
 def probe_assignment(spark: SparkSession, sf_dir: str) -> DataFrame:

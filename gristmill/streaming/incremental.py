@@ -65,7 +65,7 @@ def live_events(events: DataFrame, at: str, now: Column, keep_days: int) -> Data
 
 def held_status(held: DataFrame, processed: DataFrame, lanes: DataFrame, key: str, published: str, now: Column, days: int) -> DataFrame:
     """held with status: processed, no lane, expired or kept, in that order. Each is counted by grouping on it."""
-    h = held.join(processed.select(key).distinct().withColumn("_p", F.lit(True)), key, "left").join(F.broadcast(lanes.select("lane").distinct().limit(1000).withColumn("_l", F.lit(True))), "lane", "left")
+    h = held.join(processed.select(key).distinct().withColumn("_p", F.lit(True)), key, "left").join(lanes.select("lane").distinct().withColumn("_l", F.lit(True)), "lane", "left")
     old = F.col(published).isNotNull() & (F.col(published) < now - F.make_dt_interval(F.lit(days)))
     return h.withColumn("status", F.when(F.col("_p"), "processed").when(F.col("_l").isNull(), "no lane").when(old, "expired").otherwise("kept")).drop("_p", "_l")
 
