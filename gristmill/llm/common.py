@@ -28,6 +28,18 @@ def fold(key: str, n: int) -> Column:
     return F.crc32(F.col(key).cast("string").cast("binary")) % n
 
 
+def fresh(df: DataFrame, *names: str) -> tuple[str, ...]:
+    """Names for helper columns that no column of df has, in whatever case."""
+    taken = {c.lower() for c in df.columns}
+
+    def free(name: str) -> str:
+        while name in taken:
+            name = f"_{name}"
+        return name
+
+    return tuple(free(f"_{n}") for n in names)
+
+
 def shared_dir(spark: SparkSession, name: str) -> str:
     """A new folder under spark.checkpoint.dir. Only a local session without that setting gets a temporary one."""
     top = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)

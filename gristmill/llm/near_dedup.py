@@ -6,11 +6,12 @@ truncated to an exponentially spaced scale (base b): such registers merge by max
 close to the Jaccard similarity. The steps:
 
 1. One pass over the texts gives each row its sequence digest, set size and registers. Rows of one digest form a class.
-2. Bands of registers deal the classes into buckets. Every member is paired with a leader of its bucket, another one
-   for each band, so a bucket of any size costs one pair a member.
+2. Bands of registers deal the classes into buckets. The leader of a bucket is its smallest digest, so the buckets of a
+   group of near copies elect the same few leaders. Every member is paired once, with the smallest of its leaders.
 3. Pairs pass if their joint likelihood (register comparisons given both set sizes) doesn't rule the threshold out.
 4. Full sets, hashed to 64 bits, confirm pairs exactly: 100 * shared >= percent * union.
-5. Buckets whose other members aren't all connected yet are compared block by block, members of unlike components only,
+5. Members that aren't connected with a leader of some bucket of theirs yet are compared with that leader in the same way.
+6. Buckets whose other members aren't all connected yet are compared block by block, members of unlike components only,
    so that no link hides behind a leader. First the registers tell which members have a plausible partner; then, with
    the full sets of those, each block gives the links that join components, never more than it has members.
 
@@ -32,15 +33,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gristmill.llm.common import mix, save, shared_dir, text_chunks, word_hashes
+from gristmill.llm.common import discard, fresh, mix, save, shared_dir, text_chunks, word_hashes
 from gristmill.llm.components import components
 
 #: Registers of a band; the probability that a pair at the threshold meets in no band; SetSketch base, rate and top.
 BAND = 5
 MISS = 1e-6
 SKETCH_BASE, SKETCH_RATE, SKETCH_TOP = 1.001, 20.0, 65534
-#: A pair stays a candidate unless its likelihood ratio against the threshold passes this many squared sigmas.
-SIGMAS = 4.0
+#: A pair stays a candidate unless its likelihood ratio against the threshold passes this many squared sigmas; at 5 a pair at
+#: the threshold is given up less often than MISS.
+SIGMAS = 5.0
 #: Members of a bucket that are compared at once with as many others.
 BLOCK = 2048
 
@@ -272,32 +274,55 @@ def _missing_links(tiles: DataFrame, sets: DataFrame, percent: int) -> DataFrame
     return tiles.join(sets, "digest").groupBy("bucket", "row", "col").applyInPandas(run, "a binary, b binary")
 
 
-def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, n_shingles, component_id, kept) of each row of docs; component_id is the smallest id reachable by links."""
+def _starred(pairs: DataFrame, docs: DataFrame, reps: DataFrame, shingle: int, percent: int, id_col: str, text_col: str, folder: str) -> DataFrame:
+    """The confirmed of pairs (a, b), written."""
+    pairs = save(likely(pairs, reps, percent), f"{folder}/pairs")
+    sets = full_sets(pairs.select(F.explode(F.array("a", "b")).alias("digest")).distinct(), docs, reps, shingle, id_col, text_col, f"{folder}/full")
+    return save(confirmed(pairs, sets, percent), f"{folder}/links")
+
+
+def _classes(docs: DataFrame, shingle: int, percent: int, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
+    """rows (doc_id, mark, digest, n) of docs, and the classes linked (digest, doc_id, mark, root): root names the component."""
     spark, folder = docs.sparkSession, shared_dir(docs.sparkSession, "near")
-    bands = bands_for(percent)
+    bands, work = bands_for(percent), f"{folder}/work"
     rows = save(sketches(docs, shingle, bands * BAND, id_col, text_col), f"{folder}/rows")
     named = rows.where("doc_id is not null")
-    reps = save(named.where("n > 0").groupBy("digest").agg(F.min(F.struct("doc_id", "mark", "n", "regs")).alias("r")).select("digest", "r.*"), f"{folder}/reps")
+    reps = save(named.where("n > 0").groupBy("digest").agg(F.min(F.struct("doc_id", "mark", "n", "regs")).alias("r")).select("digest", "r.*"), f"{work}/reps")
 
     buckets = _bucket_rows(reps, bands)
-    lead = buckets.groupBy("bucket").agg(F.min(F.struct(F.xxhash64("band", "digest").alias("rank"), "digest")).alias("lead"), F.count(F.lit(1)).alias("size")).where("size > 1").select("bucket", F.col("lead.digest").alias("leader"))
-    buckets = save(buckets.join(lead, "bucket"), f"{folder}/buckets")
-    stars = buckets.where("digest <> leader").select(F.least("digest", "leader").alias("a"), F.greatest("digest", "leader").alias("b")).distinct()
-    stars = save(likely(stars, reps, percent), f"{folder}/stars")
-    sets = full_sets(stars.select(F.explode(F.array("a", "b")).alias("digest")).distinct(), docs, reps, shingle, id_col, text_col, f"{folder}/1")
-    links = save(confirmed(stars, sets, percent), f"{folder}/links1")
-    roots = components(links, f"{folder}/cc1")
+    lead = buckets.groupBy("bucket").agg(F.min("digest").alias("leader"), F.count(F.lit(1)).alias("size")).where("size > 1").select("bucket", "leader")
+    buckets = save(buckets.join(lead, "bucket"), f"{work}/buckets")
+    once = buckets.groupBy(F.col("digest").alias("b")).agg(F.min("leader").alias("a")).where("a < b").select("a", "b")
+    star = lambda pairs, at: _starred(pairs, docs, reps, shingle, percent, id_col, text_col, f"{work}/{at}")
+    links = star(once, "1")
+    roots = components(links, f"{work}/1/cc")
+
+    # leaders that a member isn't connected with: a distinct pair each, but for those that were compared
+    of = lambda x: roots.select(F.col("node").alias(x), F.col("root").alias(f"root_{x}"))
+    apart = buckets.where("digest <> leader").select(F.col("leader").alias("a"), F.col("digest").alias("b")).join(of("a"), "a", "left").join(of("b"), "b", "left")
+    apart = apart.where(F.coalesce("root_a", "a") != F.coalesce("root_b", "b")).select("a", "b").distinct()
+    more = star(apart.join(once, ["a", "b"], "left_anti"), "2")
+    if not more.isEmpty():
+        links = save(links.union(more), f"{work}/2/all")
+        roots = components(links, f"{work}/2/cc")
 
     tiles = _tiles(buckets, roots, reps)
-    hope = save(_hopeful(tiles, percent), f"{folder}/hope")
+    hope = save(_hopeful(tiles, percent), f"{work}/hope")
     if not hope.isEmpty():
-        sets = full_sets(hope, docs, reps, shingle, id_col, text_col, f"{folder}/2")
-        more = save(_missing_links(tiles, sets, percent), f"{folder}/links2")
+        sets = full_sets(hope, docs, reps, shingle, id_col, text_col, f"{work}/3")
+        more = save(_missing_links(tiles, sets, percent), f"{work}/3/links")
         if not more.isEmpty():
-            roots = components(links.union(more), f"{folder}/cc2")
+            roots = components(links.union(more), f"{work}/3/cc")
+
+    ids = reps.select("digest", "doc_id", "mark").join(roots.select(F.col("node").alias("digest"), "root"), "digest", "left").withColumn("root", F.coalesce("root", "digest"))
+    ids = save(ids, f"{folder}/classes")
+    discard(spark, work)
+    return rows.select("doc_id", "mark", "digest", "n"), ids
 
-    ids = reps.select("digest", "doc_id").join(roots.select(F.col("node").alias("digest"), "root"), "digest", "left").withColumn("root", F.coalesce("root", "digest"))
+
+def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(doc_id, n_shingles, component_id, kept) of each row of docs; component_id is the smallest id reachable by links."""
+    rows, ids = _classes(docs, shingle, percent, id_col, text_col)
     least = ids.groupBy("root").agg(F.min("doc_id").alias("component_id"))
     of_class = ids.join(least, "root").select("digest", "component_id")
     joined = rows.select("doc_id", "digest", F.col("n").alias("n_shingles")).join(of_class, "digest", "left")
@@ -306,7 +331,18 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, id_col
 
 
 def one_of_each(docs: DataFrame, shingle: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of docs of which one stays for each group; of rows that repeat the smallest id, one. Texts stay as they were."""
-    kept = near_duplicates(docs, shingle, percent, id_col, text_col).where("kept").select(F.col("doc_id").alias("_kept")).distinct()
-    stay = docs.join(kept.where("_kept is not null"), docs[id_col].cast("long") == F.col("_kept"), "left_semi")
-    return stay.dropDuplicates([id_col]).unionByName(docs.where(F.col(id_col).isNull()))
+    """The rows of docs of which one stays for each component: the one with the smallest id. Texts stay as they were.
+
+    Rows are told apart by id and text, so unlike texts under one id all stay; of rows that repeat both, the first by the
+    JSON of all their columns does. Rows without an id stay.
+    """
+    rows, ids = _classes(docs, shingle, percent, id_col, text_col)
+    first = ids.groupBy("root").agg(F.min(F.struct("doc_id", "mark")).alias("r"))
+    blank = rows.where("n = 0 and doc_id is not null").select("doc_id", "mark").distinct()
+    kept = first.select("r.doc_id", "r.mark").union(blank)
+    key, mark, row = fresh(docs, "key", "mark", "row")
+    keyed = docs.withColumn(key, F.col(f"`{id_col}`").cast("long")).withColumn(mark, F.xxhash64(f"`{text_col}`"))
+    stay = keyed.join(kept.select(F.col("doc_id").alias(key), F.col("mark").alias(mark)), [key, mark], "left_semi")
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    stay = stay.groupBy(key, mark).agg(F.min_by(whole, F.to_json(whole)).alias(row)).select(f"{row}.*")
+    return stay.unionByName(docs.where(F.col(f"`{id_col}`").isNull()))

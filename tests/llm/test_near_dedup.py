@@ -84,6 +84,14 @@ def test_nulls_repeats_and_other_columns(spark):
     assert near_dedup.near_duplicates(df.limit(0)).count() == 0
 
 
+def test_unlike_texts_under_one_id_stay_and_names_may_clash(spark):
+    rows = [(1, "a b c d e f g", "s", 1), (1, "p q r s t u v", "t", 2), (1, "p q r s t u v", "t", 3), (2, "P q r s t u v", "u", 4), (3, "", None, 5)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, _kept string, _key int")
+    got = sorted(map(tuple, near_dedup.one_of_each(df, 3, 85).collect()))
+    assert near_dedup.one_of_each(df, 3, 85).columns == df.columns
+    assert got == [(1, "a b c d e f g", "s", 1), (1, "p q r s t u v", "t", 2), (3, "", None, 5)]
+
+
 def test_registers_merge_and_estimate():
     rng = np.random.default_rng(0)
     a, b = rng.integers(0, 2**63, 3000, dtype=np.uint64), rng.integers(0, 2**63, 3000, dtype=np.uint64)
