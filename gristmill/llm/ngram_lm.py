@@ -1,16 +1,18 @@
 """Language-model scoring: interpolated modified Kneser-Ney, counted in Spark, kept as sorted hash arrays.
 
-The model has order 2. Its steps:
+The order N of the model is a parameter, 2 or more. Its steps:
 
-1. Tasks tokenise whole texts, count the bigrams of what they read and deal them to shards by their context, as arrays
-   packed in bytes. The most frequent contexts (found in a sample; that choice affects speed alone) are dealt by word too.
-2. A shard adds up its bigrams, writes (keys, counts) sorted by key into the shared folder, and passes on, for each word,
-   how often it occurs and after how many words, and for each context, its count and its continuations of 1, 2 and more.
-3. Those are added up by ranges of word hashes and written as sorted arrays too.
-4. Workers map the files into memory and look up the sorted distinct words and bigrams of each run of texts.
+1. Tasks tokenise whole texts, add up the N-grams of what they read and deal them to shards by the key of the whole
+   N-gram. So no context, however frequent, is gathered anywhere: each task sends an N-gram once.
+2. A shard adds up its N-grams and writes (keys, counts) sorted by key into the shared folder. What it knows of their
+   contexts (counts, continuations seen 1, 2 and more times) and of the (N-1)-grams that they end in (one word more before
+   them) is added up by key and passed on.
+3. Those sums are dealt by ranges of keys, added up and written as sorted arrays too. Of orders above 1, the counts of words
+   before are the lower order's counts: they are passed on in the same way, down to single words.
+4. Workers map the files into memory and look up the sorted distinct words and n-grams of each run of texts.
 
 Tokens: words (A-Z lower-cased) and one end a text, which counts as a word of the vocabulary; a text's first token follows
-a start mark. All counts are exact over all training rows, nothing is pruned.
+N - 1 start marks. All counts are exact over all training rows, nothing is pruned.
 
 Defined results: null text is empty, it has the end alone; a null id has no fold, isn't held out and is learned from;
 repeated rows count each; without training rows N and V are 0 and all scores come from the uniform share 1 / (V + 1).
@@ -20,7 +22,8 @@ Other columns are ignored. The shared folder must be mounted (a path or file://)
 from __future__ import annotations
 
 import os
-from collections.abc import Iterator
+from collections import OrderedDict
+from collections.abc import Iterator, Sequence
 from typing import NamedTuple
 
 import numpy as np
@@ -30,91 +33,101 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gristmill.llm.common import WORD, fold, mix, posix, save, shared_dir, text_chunks, word_hashes
+from gristmill.llm.common import fold, mix, posix, save, shared_dir, text_chunks, word_hashes
 
-#: Characters of training text a shard of bigrams stands for, and bigrams that a task gathers before it deals them out.
-SHARD_CHARS, GATHER = 24_000_000, 4_500_000
-#: One in so many texts is looked at for frequent contexts; those with this share of its tokens count as frequent.
-LOOK, FREQUENT = 64, 1 / 500
+#: Characters of training text that a shard of N-grams stands for, shards for one range of the lower orders' sums, and
+#: bytes of N-grams that a task gathers before it deals them out.
+SHARD_CHARS, RANGE_SHARDS, GATHER_BYTES = 18_000_000, 3, 48 << 20
+#: Files that a worker keeps mapped.
+MAPPED = 2_048
 START, END = np.uint64(0x5851F42D4C957F2D), np.uint64(0x14057B7EF767814F)
 _LEFT, _RIGHT = np.uint64(0xD1342543DE82EF95), np.uint64(0xA3B195354A39B70D)
 
 
-def pair_keys(left: np.ndarray, right: np.ndarray) -> np.ndarray:
-    keys = left * _LEFT
-    keys += right * _RIGHT
-    return mix(keys)
+def gram_keys(words: Sequence[np.ndarray]) -> np.ndarray:
+    """A key of each n-gram from its words' hashes, first word first. The key of one word is its hash."""
+    keys = words[0]
+    for w in words[1:]:
+        keys = keys * _LEFT
+        keys += w * _RIGHT
+        keys = mix(keys)
+    return keys
 
 
-def sequences(hashes: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(context, token, bounds): all texts' tokens with their ends, and the token before each."""
-    n = len(at) - 1
+def grams(hashes: np.ndarray, at: np.ndarray, order: int) -> tuple[list[np.ndarray], np.ndarray]:
+    """All texts' N-grams, as one array for each place in them, the token itself last; and where each text's begin."""
     lengths = np.diff(at) + 1
     bounds = np.concatenate([[0], np.cumsum(lengths)])
     token = np.empty(bounds[-1], np.uint64)
-    last = bounds[1:] - 1
     inner = np.ones(bounds[-1], bool)
-    inner[last] = False
-    token[inner], token[last] = hashes[at[0] : at[-1]], END
-    context = np.empty_like(token)
-    context[1:] = token[:-1]
-    context[bounds[:-1]] = START
-    return context, token, bounds if n else np.zeros(1, np.int64)
-
-
-def _summed(left: np.ndarray, right: np.ndarray, count: np.ndarray | None) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Distinct pairs by key with their counts added up: keys, left, right, counts."""
-    keys = pair_keys(left, right)
-    order = np.argsort(keys)
-    keys = keys[order]
-    first = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]]) if len(keys) else np.zeros(0, int)
-    counts = np.add.reduceat(count[order], first, dtype=np.int64) if count is not None and len(first) else np.diff(np.r_[first, len(keys)])
-    return keys[first], left[order[first]], right[order[first]], counts.astype(np.int64)
-
-
-def _shards(left: np.ndarray, right: np.ndarray, hot: np.ndarray, n: int) -> np.ndarray:
-    own = (left >> np.uint64(33)) % np.uint64(n)
-    spread = ((left ^ right) >> np.uint64(33)) % np.uint64(n)
-    return np.where(np.isin(left, hot), spread, own).astype(np.int32)
-
-
-def _dealt(train: DataFrame, hot: list[int], shards: int) -> DataFrame:
-    """(shard, left, right, count) of packed arrays: the bigrams of train, added up by task."""
-    often = np.array(hot, np.uint64)
+    inner[bounds[1:] - 1] = False
+    token[inner], token[bounds[1:] - 1] = hashes[at[0] : at[-1]], END
+    out = [token]
+    for _ in range(order - 1):
+        before = np.empty_like(token)
+        before[1:] = out[0][:-1]
+        before[bounds[:-1]] = START
+        out.insert(0, before)
+    return out, bounds
+
+
+def _part(keys: np.ndarray, n: int) -> np.ndarray:
+    """Which of n equal ranges of the upper half of a key it is in."""
+    return ((keys >> np.uint64(32)) * np.uint64(n) >> np.uint64(32)).astype(np.int32)
+
+
+def _firsts(keys: np.ndarray) -> np.ndarray:
+    return np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]]) if len(keys) else np.zeros(0, int)
+
+
+def _pack(x: np.ndarray, cut: np.ndarray, some: list[int], kind: type) -> list[bytes]:
+    return [x[cut[k] : cut[k + 1]].astype(kind).tobytes() for k in some]
+
+
+def _dealt(train: DataFrame, order: int, shards: int) -> DataFrame:
+    """(part, w0, w1, ..., counts) of packed arrays: the N-grams of train, added up by task."""
+    names = [f"w{k}" for k in range(order)]
+
+    def deal(held: list[list[np.ndarray]]) -> pa.RecordBatch:
+        words = [np.concatenate(x) for x in zip(*held, strict=True)]
+        held.clear()  # the joined arrays are all that is needed while they are sorted
+        keys = gram_keys(words)
+        by_key = np.argsort(keys)
+        keys = keys[by_key]
+        first = _firsts(keys)
+        counts = np.diff(np.r_[first, len(keys)]).astype(np.uint32)
+        part, by_key = _part(keys[first], shards), by_key[first]
+        del keys
+        words = [w[by_key] for w in words]
+        del by_key
+        # by shard, then by first word: those repeat and pack well
+        by_word = np.lexsort((words[0], part))
+        words, counts, part = [w[by_word] for w in words], counts[by_word], part[by_word]
+        cut = np.searchsorted(part, np.arange(shards + 1))
+        some = [k for k in range(shards) if cut[k] < cut[k + 1]]
+        columns = [pa.array(_pack(w, cut, some, np.uint64), pa.binary()) for w in words]
+        return pa.RecordBatch.from_arrays([pa.array(some, pa.int32()), *columns, pa.array(_pack(counts, cut, some, np.uint32), pa.binary())], ["part", *names, "counts"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[tuple[np.ndarray, np.ndarray]] = []
+        held: list[list[np.ndarray]] = []
         size = 0
-
-        def deal() -> pa.RecordBatch:
-            left, right = np.concatenate([x for x, _ in held]), np.concatenate([y for _, y in held])
-            held.clear()  # the joined arrays are all that is needed while they are sorted
-            _, left, right, count = _summed(left, right, None)
-            shard = _shards(left, right, often, shards)
-            # by shard, then by context: contexts repeat and pack well
-            order = np.lexsort((left, shard))
-            left, right, count, shard = left[order], right[order], count[order], shard[order]
-            cut = np.searchsorted(shard, np.arange(shards + 1))
-            some = [k for k in range(shards) if cut[k] < cut[k + 1]]
-            pack = lambda x, kind: pa.array([x[cut[k] : cut[k + 1]].astype(kind).tobytes() for k in some], pa.binary())
-            return pa.RecordBatch.from_arrays([pa.array(some, pa.int32()), pack(left, np.uint64), pack(right, np.uint64), pack(count, np.uint32)], ["shard", "lefts", "rights", "counts"])
-
         for batch in batches:
             for _, _, raw, offsets in text_chunks(batch.column(0)):
-                left, right, _ = sequences(*word_hashes(raw, offsets))
-                held.append((left, right))
-                size += len(left)
-                if size >= GATHER:
-                    yield deal()
+                words, _ = grams(*word_hashes(raw, offsets), order)
+                held.append(words)
+                size += sum(w.nbytes for w in words)
+                if size >= GATHER_BYTES:
+                    yield deal(held)
                     size = 0
-        if size:
-            yield deal()
+        if held:
+            yield deal(held)
 
-    return train.select(F.col("text").cast("string")).mapInArrow(run, "shard int, lefts binary, rights binary, counts binary")
+    return train.select(F.col("text").cast("string")).mapInArrow(run, f"part int, {', '.join(f'{n} binary' for n in names)}, counts binary")
 
 
-def _joined(column: pd.Series, kind: type) -> np.ndarray:
-    return np.frombuffer(b"".join(column), kind)
+def _joined(p: pd.DataFrame, name: str, kind: type) -> np.ndarray:
+    """A column's packed arrays as one; the column is given up, so that no shard is held twice."""
+    return np.frombuffer(b"".join(p.pop(name)), kind)
 
 
 def _write(folder: str, name: str, **arrays: np.ndarray) -> None:
@@ -128,45 +141,85 @@ def _write(folder: str, name: str, **arrays: np.ndarray) -> None:
         os.replace(f"{at}.{attempt}", at)
 
 
-def _group_sums(keys: np.ndarray, *values: np.ndarray) -> tuple[np.ndarray, ...]:
-    order = np.argsort(keys)
-    keys = keys[order]
-    first = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]]) if len(keys) else np.zeros(0, int)
-    return keys[first], *[np.add.reduceat(v[order], first) if len(first) else v[:0] for v in values]
-
-
-#: What is known of a word: occurrences, distinct words before it; as a context: count, continuations seen 1, 2, 3+ times.
+#: What is known of an n-gram below the order: occurrences, distinct words before it; and as a context: the sum of the counts
+#: of what follows it, and how many of those are 1, 2 and more.
 FIELDS = ("count", "before", "total", "once", "twice", "more")
-
-
-def _count_shard(p: pd.DataFrame, folder: str, ranges: int) -> pd.DataFrame:
-    shard = int(p.shard.iloc[0])
-    # each column is given up as it is joined, so that no shard is held twice
-    left, right, count = _joined(p.pop("lefts"), np.uint64), _joined(p.pop("rights"), np.uint64), _joined(p.pop("counts"), np.uint32)
-    keys, left, right, count = _summed(left, right, count)
-    _write(folder, f"bi-{shard:06d}", keys=keys, counts=count)
-    one = np.ones(len(keys), np.int64)
-    word, occurs, before = _group_sums(right, count, one)
-    context, total, n1, n2, n3 = _group_sums(left, count, (count == 1).astype(np.int64), (count == 2).astype(np.int64), (count > 2).astype(np.int64))
-    none_w, none_c = np.zeros(len(word), np.int64), np.zeros(len(context), np.int64)
-    both = _group_sums(np.r_[word, context], *[np.r_[a, b] for a, b in ((occurs, none_c), (before, none_c), (none_w, total), (none_w, n1), (none_w, n2), (none_w, n3))])
-    zone = (both[0] >> np.uint64(32)).astype(np.uint64) * np.uint64(ranges) >> np.uint64(32)
-    cut = np.searchsorted(zone, np.arange(ranges + 1))
-    some = [k for k in range(ranges) if cut[k] < cut[k + 1]]
-    out = {"zone": some, "words": [both[0][cut[k] : cut[k + 1]].tobytes() for k in some]}
-    out |= {f: [both[i + 1][cut[k] : cut[k + 1]].astype(np.uint32 if f != "count" and f != "total" else np.uint64).tobytes() for k in some] for i, f in enumerate(FIELDS)}
-    of = [int((count == k).sum()) for k in (1, 2, 3, 4)]  # counts of counts, told once a shard
-    return pd.DataFrame(out | {f"n{k + 1}": [of[k]] + [0] * (len(some) - 1) for k in range(4)})
-
-
-def _count_zone(p: pd.DataFrame, folder: str) -> pd.DataFrame:
-    got = [_joined(p[f], np.uint32 if f not in ("count", "total") else np.uint64).astype(np.int64) for f in FIELDS]
-    word, *sums = _group_sums(_joined(p.words, np.uint64), *got)
-    _write(folder, f"uni-{int(p.zone.iloc[0]):06d}", keys=word, **dict(zip(FIELDS, sums, strict=True)))
-    s = dict(zip(FIELDS, sums, strict=True))
-    row = {"tokens": int(s["count"].sum()), "vocabulary": int((s["count"] > 0).sum()), "pairs": int(s["before"].sum())}
-    row |= {f"m{k}": int((s["before"] == k).sum()) for k in (1, 2, 3, 4)} | {f"n{k}": int(p[f"n{k}"].sum()) for k in (1, 2, 3, 4)} | {"zone": int(p.zone.iloc[0])}
-    return pd.DataFrame([row])
+#: Passed on beside them, once a task: for each order how many counts are 1, 2, 3 and 4.
+_STATS = "stats"
+
+
+def _wide(field: str) -> type:
+    return np.uint64 if field in ("count", "total") else np.uint32
+
+
+def _below(words: list[np.ndarray], occurs: np.ndarray, value: np.ndarray, parts: int, stats: np.ndarray) -> pd.DataFrame:
+    """Rows for the order below: what distinct n-grams, with their counts value, tell of their contexts and their ends."""
+    # contexts first, then ends; each with only those fields that it has
+    rows: list[tuple[np.ndarray, list[np.ndarray], dict[str, np.ndarray]]] = []
+    one = np.ones(len(value), np.uint32)
+    sides = ((words[:-1], {"total": value, "once": value == 1, "twice": value == 2, "more": value > 2}), (words[1:], {"count": occurs, "before": one}))
+    for side, fields in sides:
+        keys = gram_keys(side)
+        order = np.argsort(keys)
+        keys = keys[order]
+        first = _firsts(keys)
+        sums = {f: np.add.reduceat(v[order], first, dtype=_wide(f)) if len(first) else np.zeros(0, _wide(f)) for f, v in fields.items()}
+        rows.append((keys[first], [w[order[first]] for w in side], sums))
+    keys = np.concatenate([r[0] for r in rows])
+    order = np.argsort(keys, kind="stable")
+    part = _part(keys[order], parts)
+    cut = np.searchsorted(part, np.arange(parts + 1))
+    some = [k for k in range(parts) if cut[k] < cut[k + 1]] or [0]
+    out: dict[str, list] = {"part": some}
+    for k in range(len(words) - 1):
+        out[f"w{k}"] = _pack(np.concatenate([r[1][k] for r in rows])[order], cut, some, np.uint64)
+    for f in FIELDS:
+        out[f] = _pack(np.concatenate([r[2].get(f, np.zeros(len(r[0]), _wide(f))) for r in rows])[order], cut, some, _wide(f))
+    out[_STATS] = [stats.tobytes()] + [b""] * (len(some) - 1)
+    return pd.DataFrame(out)
+
+
+def _told(value: np.ndarray) -> list[int]:
+    return [int((value == k).sum()) for k in (1, 2, 3, 4)]
+
+
+def _count_top(p: pd.DataFrame, folder: str, order: int, parts: int) -> pd.DataFrame:
+    """Write one shard of N-grams; the rows that it passes on."""
+    part = int(p.part.iloc[0])
+    words, count = [_joined(p, f"w{k}", np.uint64) for k in range(order)], _joined(p, "counts", np.uint32)
+    keys = gram_keys(words)
+    by_key = np.argsort(keys)
+    keys = keys[by_key]
+    first = _firsts(keys)
+    count = np.add.reduceat(count[by_key], first, dtype=np.uint64)
+    words, keys = [w[by_key[first]] for w in words], keys[first]
+    del by_key
+    _write(folder, f"{order}-{part:06d}", keys=keys, counts=count)
+    del keys
+    stats = np.zeros((order, 4), np.int64)
+    stats[order - 1] = _told(count)
+    return _below(words, count, count, parts, stats)
+
+
+def _count_lower(p: pd.DataFrame, folder: str, level: int, order: int, parts: int) -> pd.DataFrame:
+    """Write one range of n-grams of an order below the top; the rows that it passes on, at single words the sums."""
+    part = int(p.part.iloc[0])
+    stats = np.frombuffer(b"".join(p.pop(_STATS)), np.int64).reshape(-1, order, 4).sum(0)
+    words = [_joined(p, f"w{k}", np.uint64) for k in range(level)]
+    keys = gram_keys(words)
+    by_key = np.argsort(keys)
+    keys = keys[by_key]
+    first = _firsts(keys)
+    sums = {f: np.add.reduceat(_joined(p, f, _wide(f))[by_key], first, dtype=np.uint64) if len(first) else np.zeros(0, np.uint64) for f in FIELDS}
+    words = [w[by_key[first]] for w in words]
+    _write(folder, f"{level}-{part:06d}", keys=keys[first], **{f: v for f, v in sums.items() if f != "count" or level == 1})
+    stats = stats.copy()
+    stats[level - 1] = _told(sums["before"])
+    if level > 1:
+        seen = sums["before"] > 0  # the others are contexts alone
+        return _below([w[seen] for w in words], sums["count"][seen], sums["before"][seen], parts, stats)
+    row = {"tokens": int(sums["count"].sum()), "vocabulary": int((sums["count"] > 0).sum()), "pairs": int(sums["before"].sum())}
+    return pd.DataFrame([row | {f"n{j}_{k}": int(stats[j, k]) for j in range(order) for k in range(4)}])
 
 
 def discounts(n1: int, n2: int, n3: int, n4: int) -> tuple[float, float, float]:
@@ -178,81 +231,75 @@ def discounts(n1: int, n2: int, n3: int, n4: int) -> tuple[float, float, float]:
 
 class Model(NamedTuple):
     folder: str
+    order: int
     shards: int
-    zones: int
-    hot: list[int]
+    ranges: int
     tokens: int
     vocabulary: int
     pairs: int
-    high: tuple[float, float, float]
-    low: tuple[float, float, float]
+    #: The three discounts of each order, single words first, and how many words were seen after 1, 2 and more words.
+    off: tuple[tuple[float, float, float], ...]
     ones: tuple[int, int, int]
 
 
-def count(train: DataFrame, text_col: str = "text") -> Model:
+def count(train: DataFrame, order: int = 2, text_col: str = "text") -> Model:
     """Count the model over the rows of train."""
+    if order < 2:
+        raise ValueError("the order is 2 or more")
     spark, folder = train.sparkSession, shared_dir(train.sparkSession, "lm")
     texts = train.select(F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
-    size, looked = texts.agg(F.sum(F.length("text")), F.sum(F.when(F.pmod(F.xxhash64("text"), F.lit(LOOK)) == 0, F.length("text")))).first()
-    shards = zones = max(1, -(-(size or 0) // SHARD_CHARS))
-    zones = max(1, shards // 4)
-    seen = texts.where(F.pmod(F.xxhash64("text"), F.lit(LOOK)) == 0).select(F.explode(F.regexp_extract_all(F.lower("text"), F.lit(WORD), F.lit(0))).alias("w"))
-    least = max(20, (looked or 0) / 7 * FREQUENT)
-    often = [r.w for r in seen.groupBy("w").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= least).orderBy(F.desc("n"), "w").limit(1000).collect()]
-    hot = [int(START)]
-    if often:
-        raw = [w.encode() for w in often]
-        hot += word_hashes(np.frombuffer(b"".join(raw), np.uint8), np.cumsum([0, *map(len, raw)]))[0].tolist()
+    size = texts.agg(F.sum(F.length("text"))).first()[0] or 0
+    shards = max(1, -(-size * (order - 1) // SHARD_CHARS))
+    ranges = max(1, shards // RANGE_SHARDS)
     place = posix(folder)
-    words = "zone int, words binary, " + ", ".join(f"{f} binary" for f in FIELDS) + ", n1 long, n2 long, n3 long, n4 long"
-    counted = _dealt(texts, hot, shards).groupBy("shard").applyInPandas(lambda p: _count_shard(p, place, zones), words)
-    sums = "tokens long, vocabulary long, pairs long, m1 long, m2 long, m3 long, m4 long, n1 long, n2 long, n3 long, n4 long, zone int"
-    done = save(counted.groupBy("zone").applyInPandas(lambda p: _count_zone(p, place), sums), f"{folder}/sums")
-    r = done.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in done.columns if c != "zone"]).first()
-    three = (r.m1, r.m2, r.pairs and r.vocabulary - r.m1 - r.m2)
-    return Model(place, shards, zones, hot, r.tokens, r.vocabulary, r.pairs, discounts(r.n1, r.n2, r.n3, r.n4), discounts(r.m1, r.m2, r.m3, r.m4), three)
+    words = lambda n: "part int, " + ", ".join(f"w{k} binary" for k in range(n)) + ", " + ", ".join(f"{f} binary" for f in (*FIELDS, _STATS))
+    counted = _dealt(texts, order, shards).groupBy("part").applyInPandas(lambda p: _count_top(p, place, order, ranges), words(order - 1))
+    at_level = lambda level: lambda p: _count_lower(p, place, level, order, ranges)
+    for level in range(order - 1, 0, -1):
+        sums = "tokens long, vocabulary long, pairs long, " + ", ".join(f"n{j}_{k} long" for j in range(order) for k in range(4))
+        counted = counted.groupBy("part").applyInPandas(at_level(level), words(level - 1) if level > 1 else sums)
+    done = save(counted, f"{folder}/sums")
+    r = done.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in done.columns]).first()
+    off = tuple(discounts(*(r[f"n{j}_{k}"] for k in range(4))) for j in range(order))
+    return Model(place, order, shards, ranges, r.tokens, r.vocabulary, r.pairs, off, (r.n0_0, r.n0_1, r.vocabulary - r.n0_0 - r.n0_1))
 
 
 class Mapped:
-    """The model's arrays, mapped into memory when they are first looked at."""
+    """The model's arrays, mapped into memory when they are looked at; those not looked at for longest are let go."""
 
     def __init__(self, model: Model):
-        self.m, self.files = model, {}
-        self.hot = np.array(model.hot, np.uint64)
+        self.m, self.files = model, OrderedDict()
 
-    def array(self, name: str) -> np.ndarray:
-        if name not in self.files:
+    def array(self, name: str) -> np.ndarray | None:
+        if name in self.files:
+            self.files.move_to_end(name)
+        else:
             at = f"{self.m.folder}/{name}.npy"
             self.files[name] = np.load(at, mmap_mode="r") if os.path.exists(at) else None
+            if len(self.files) > MAPPED:
+                self.files.popitem(last=False)
         return self.files[name]
 
-    def _find(self, kind: str, part: np.ndarray, n: int, keys: np.ndarray, fields: tuple[str, ...]) -> list[np.ndarray]:
-        """Fields of keys; part: the file of each, as whole numbers below n. Keys must be ascending inside a part."""
+    def find(self, level: int, keys: np.ndarray, fields: tuple[str, ...]) -> list[np.ndarray]:
+        """Fields of the n-grams of one order with these ascending keys; 0 where there is none."""
+        n = self.m.shards if level == self.m.order else self.m.ranges
         out = [np.zeros(len(keys), np.int64) for _ in fields]
-        order = np.argsort(part, kind="stable")
-        cut = np.searchsorted(part[order], np.arange(n + 1))
-        for k in range(n):
-            at = order[cut[k] : cut[k + 1]]
-            have = self.array(f"{kind}-{k:06d}.keys") if len(at) else None
+        cut = np.searchsorted(_part(keys, n), np.arange(n + 1))
+        for k in np.flatnonzero(np.diff(cut)):
+            own = keys[cut[k] : cut[k + 1]]
+            have = self.array(f"{level}-{k:06d}.keys")
             if have is None or not len(have):
                 continue
-            place = np.searchsorted(have, keys[at])
+            place = np.searchsorted(have, own)
             hit = place < len(have)
-            hit[hit] = have[place[hit]] == keys[at][hit]
+            hit[hit] = have[place[hit]] == own[hit]
             for o, f in zip(out, fields, strict=True):
-                o[at[hit]] = self.array(f"{kind}-{k:06d}.{f}")[place[hit]]
+                o[cut[k] : cut[k + 1]][hit] = self.array(f"{level}-{k:06d}.{f}")[place[hit]]
         return out
 
-    def words(self, keys: np.ndarray) -> list[np.ndarray]:
-        zone = ((keys >> np.uint64(32)) * np.uint64(self.m.zones) >> np.uint64(32)).astype(np.int32)
-        return self._find("uni", zone, self.m.zones, keys, FIELDS)
-
-    def bigrams(self, left: np.ndarray, right: np.ndarray, keys: np.ndarray) -> np.ndarray:
-        return self._find("bi", _shards(left, right, self.hot, self.m.shards), self.m.shards, keys, ("counts",))[0]
-
     def low(self, before: np.ndarray) -> np.ndarray:
-        """The lower order: discounted shares of distinct words before, with what was taken off spread evenly."""
-        d, m = self.m.low, self.m
+        """The lowest order: discounted shares of distinct words before, with what was taken off spread evenly."""
+        d, m = self.m.off[0], self.m
         if not m.pairs:
             return np.full(len(before), 1 / (m.vocabulary + 1))
         off = np.array([0.0, *d])[np.minimum(before, 3)]
@@ -262,27 +309,22 @@ class Mapped:
     def score(self, hashes: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, ...]:
         """n_tokens, n_known, base_score and score of each text of a run."""
         m = self.m
-        context, token, bounds = sequences(hashes, at)
-        word, where = np.unique(np.r_[token, START], return_inverse=True)
-        seen, before, total, n1, n2, n3 = self.words(word)
-        low = self.low(before)
-        base = np.log10((seen + 0.1) / (m.tokens + 0.1 * (m.vocabulary + 1)))
-        spare = np.where(total > 0, (m.high[0] * n1 + m.high[1] * n2 + m.high[2] * n3) / np.maximum(total, 1), 1.0)
-        token_at, start_at = where[:-1], where[-1]
-        context_at = np.empty_like(token_at)
-        context_at[1:] = token_at[:-1]
-        context_at[bounds[:-1]] = start_at
-        # distinct bigrams, looked up once each
-        keys, back = np.unique(pair_keys(context, token), return_inverse=True)
-        first = np.empty(len(keys), np.int64)
-        first[back] = np.arange(len(back))
-        pair = self.bigrams(context[first], token[first], keys)
-        c, t = context_at[first], token_at[first]
-        off = np.array([0.0, *m.high])[np.minimum(pair, 3)]
-        logs = np.log10(np.maximum(pair - off, 0) / np.maximum(total[c], 1) + spare[c] * low[t])
-        begin = bounds[:-1]
-        add = lambda x: np.add.reduceat(x, begin) if len(begin) else np.zeros(0)
-        return np.diff(bounds), add((seen > 0)[token_at].astype(np.int64)), add(base[token_at]), add(logs[back])
+        words, bounds = grams(hashes, at, m.order)
+        distinct, back = np.unique(words[-1], return_inverse=True)
+        seen, before = self.find(1, distinct, ("count", "before"))
+        known, base = (seen > 0)[back], np.log10((seen + 0.1) / (m.tokens + 0.1 * (m.vocabulary + 1)))[back]
+        p = self.low(before)[back]
+        for level in range(2, m.order + 1):
+            context, of_context = np.unique(gram_keys(words[-level:-1]), return_inverse=True)
+            total, n1, n2, n3 = self.find(level - 1, context, ("total", "once", "twice", "more"))
+            d = m.off[level - 1]
+            spare = np.where(total > 0, (d[0] * n1 + d[1] * n2 + d[2] * n3) / np.maximum(total, 1), 1.0)
+            key, of_key = np.unique(gram_keys(words[-level:]), return_inverse=True)
+            (value,) = self.find(level, key, ("counts" if level == m.order else "before",))
+            taken = np.maximum(value - np.array([0.0, *d])[np.minimum(value, 3)], 0)
+            p = taken[of_key] / np.maximum(total, 1)[of_context] + spare[of_context] * p
+        add = lambda x: np.add.reduceat(x, bounds[:-1]) if len(bounds) > 1 else np.zeros(0)
+        return np.diff(bounds), add(known.astype(np.int64)), add(base), add(np.log10(p))
 
 
 def scored(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -303,7 +345,7 @@ def perplexity(scores: DataFrame) -> DataFrame:
     return scores.withColumn("perplexity", F.pow(F.lit(10.0), -F.col("score") / F.col("n_tokens")))
 
 
-def report(docs: DataFrame, folds: int = 10, held: int = 0) -> DataFrame:
+def report(docs: DataFrame, order: int = 2, folds: int = 10, held: int = 0) -> DataFrame:
     held_out = F.coalesce(fold("doc_id", folds) == held, F.lit(False))
-    model = count(docs.where(~held_out))
+    model = count(docs.where(~held_out), order)
     return scored(docs, model).select("doc_id", held_out.alias("held_out"), "n_tokens", "n_known", F.lit(model.tokens).cast("long").alias("train_tokens"), "base_score", "score")

@@ -5,6 +5,8 @@ import re
 import zlib
 from collections import Counter, defaultdict
 
+import pytest
+
 from gristmill.llm import ngram_lm
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
@@ -15,41 +17,43 @@ def tokens(text):
     return [*re.findall(r"[^\x20\x09-\x0D]+", low), "</s>"]
 
 
-def plain(rows):
+def plain(rows, order):
     held = {i: i is not None and zlib.crc32(str(i).encode()) % 10 == 0 for i, _ in rows}
-    pairs, count = Counter(), Counter()
+    top, count = Counter(), Counter()
+    grams = lambda w: zip(*[(["<s>"] * (order - 1) + w)[k:] for k in range(order)], strict=False)
     for i, t in rows:
         if not held[i]:
             w = tokens(t)
             count.update(w)
-            pairs.update(zip(["<s>", *w], w, strict=False))
+            top.update(grams(w))
     n, v = sum(count.values()), len(count)
-    before, after = Counter(b for _, b in pairs), defaultdict(Counter)
-    for (a, b), c in pairs.items():
-        after[a][b] = c
-    of = lambda values: ngram_lm.discounts(*[sum(x == k for x in values) for k in (1, 2, 3, 4)])
-    high, low = of(pairs.values()), of(before.values())
+    values = {order: top}
+    for k in range(order - 1, 0, -1):
+        values[k] = Counter(g[1:] for g in values[k + 1])
+    of = lambda counts: ngram_lm.discounts(*[sum(x == k for x in counts) for k in (1, 2, 3, 4)])
+    off = {k: of(values[k].values()) for k in values}
     d = lambda c, x: 0 if not c else x[min(c, 3) - 1]
-
-    low_spare = sum(d(c, low) for c in before.values()) / len(pairs) if pairs else 0
-    spare = {a: sum(d(c, high) for c in seen.values()) / sum(seen.values()) for a, seen in after.items()}
-
-    def p_low(w):
-        if not pairs:
-            return 1 / (v + 1)
-        return max(before[w] - d(before[w], low), 0) / len(pairs) + low_spare / (v + 1)
-
-    def p(a, w):
-        seen = after.get(a)
+    after = {k: defaultdict(list) for k in values}
+    for k in values:
+        for g, c in values[k].items():
+            after[k][g[:-1]].append(c)
+
+    def p(*g):
+        k = len(g)
+        lower = p(*g[1:]) if k > 1 else 1 / (v + 1)
+        seen = after[k].get(g[:-1])
         if not seen:
-            return p_low(w)
-        return max(seen[w] - d(seen[w], high), 0) / sum(seen.values()) + spare[a] * p_low(w)
+            return lower
+        c = values[k][g]
+        return (max(c - d(c, off[k]), 0) + spare[k][g[:-1]] * lower) / total[k][g[:-1]]
 
+    total = {k: {c: sum(x) for c, x in after[k].items()} for k in values}
+    spare = {k: {c: sum(d(y, off[k]) for y in x) for c, x in after[k].items()} for k in values}
     out = []
     for i, t in rows:
         w = tokens(t)
         base = sum(math.log10((count[x] + 0.1) / (n + 0.1 * (v + 1))) for x in w)
-        out.append((i, held[i], len(w), sum(count[x] > 0 for x in w), n, base, sum(math.log10(p(a, b)) for a, b in zip(["<s>", *w], w, strict=False))))
+        out.append((i, held[i], len(w), sum(count[x] > 0 for x in w), n, base, sum(math.log10(p(*g)) for g in grams(w))))
     return out, p, count
 
 
@@ -62,16 +66,19 @@ def rows_of(spark):
     return [(r.doc_id, r.text) for r in docs] + [(9001, None), (9002, ""), (None, "Is IS is is"), (9003, "a " * 3000), (9003, "a " * 3000)]
 
 
-def test_scores_match_plain_model(spark, monkeypatch):
-    monkeypatch.setattr(ngram_lm, "SHARD_CHARS", 60_000)  # many shards and zones
-    monkeypatch.setattr(ngram_lm, "LOOK", 2)
+@pytest.mark.parametrize("order", [2, 3])
+def test_scores_match_plain_model(spark, monkeypatch, order):
+    monkeypatch.setattr(ngram_lm, "SHARD_CHARS", 60_000)  # many shards and ranges
+    monkeypatch.setattr(ngram_lm, "GATHER_BYTES", 200_000)
+    monkeypatch.setattr(ngram_lm, "MAPPED", 3)
     rows = rows_of(spark)
-    got = ngram_lm.report(spark.createDataFrame([(i, t, None, None, None) for i, t in rows], DOCS).repartition(4)).collect()
-    want, p, count = plain(rows)
+    got = ngram_lm.report(spark.createDataFrame([(i, t, None, None, None) for i, t in rows], DOCS).repartition(4), order).collect()
+    want, p, count = plain(rows, order)
     assert len(got) == len(want)
     key = lambda r: (str(r[0]), r[2], r[6])
     assert all(close(a, b) for a, b in zip(sorted(map(tuple, got), key=key), sorted(want, key=key), strict=True))
-    assert abs(sum(p("the", w) for w in count) + p("the", "no such word") - 1) < 1e-9
+    context = ("<s>", "the")[2 - order :] if order == 3 else ("the",)
+    assert abs(sum(p(*context, w) for w in count) + p(*context, "no such word") - 1) < 1e-9
     held = [r for r in got if r.held_out]
     assert sum(r.score for r in held) > sum(r.base_score for r in held)  # a better model than single words
 
