@@ -1,13 +1,16 @@
 """Mixing sources to target weights by Pareto order sampling.
 
-Every source gets a target number of words; a document's expected copies are its source's target over its size. Whole
-copies are certain. For the rest, documents are ranked by random odds over inclusion odds (Pareto order sampling) and
-taken in that order as long as they fit what is left of the sample's words; one that doesn't fit is set aside and the next
-are tried, in rounds, each a written table, until nothing fits. At last the smallest one left is taken if that comes nearer
-to the target, so a source ends within half of its smallest document left. Ranks come from a hash of the id, so reruns agree.
-
-Cumulated words come from two levels: sums per source and slice of the rank scale, then running sums inside a slice. So a
-source with a third of all rows is dealt over SLICES groups. Words are runs of anything but ASCII white space.
+Every source gets a target number of words. Each of its documents has expected copies of its own: a weight that rises with
+its words and levels off (words / (words + HALF)) times a factor of its source, cap at most, so that the expected words add
+up to the target. Whole copies are certain. For the rest, documents are ranked by random odds over inclusion odds (Pareto
+order sampling) and taken in that order as long as they fit what is left of the sample's words; one that doesn't fit is set
+aside and the next are tried, in rounds, each a written table, until nothing fits. At last the smallest one left is taken if
+that comes nearer to the target, so a source ends within half of its smallest document left. Ranks come from a hash of the
+id, so reruns agree.
+
+Cumulated words come from two levels: sums per source and slice of the rank scale, then running sums inside a slice. Slices
+are equal steps of the logarithm of the rank, in which no document is denser than a logistic curve: whatever the odds, a
+slice expects at most STEP / 4 of a source's documents. Words are runs of anything but ASCII white space.
 
 Defined results: null text has size 0 and is never taken; null source is a source of its own, the last; a null id ranks
 by a fixed value; rows that repeat each other rank by their order in a slice and each counts; sources without words get
@@ -23,9 +26,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from gristmill.llm.common import WORD, save, shared_dir
+from gristmill.llm.common import WORD, fresh, save, shared_dir
 
-SLICES = 4096
+#: Width of a slice, on the scale of the logarithm of the rank.
+STEP = 1 / 512
+#: Words at which a document's weight is half of the greatest.
+HALF = 64
 
 
 def targets(sources: DataFrame, weights: Sequence[float], share: float, cap: float) -> DataFrame:
@@ -54,22 +60,45 @@ def _without(rows: DataFrame, got: DataFrame) -> DataFrame:
     return rows.join(g, rows["source"].eqNullSafe(g["s"]) & (rows["slice"] == g["l"]) & (rows["order"] == g["o"]), "left_anti")
 
 
+def expected_copies(sizes: DataFrame, cap: float, half: float = HALF) -> DataFrame:
+    """(source, size, n, target, expected) from (source, size, n, target), n documents of each size above 0.
+
+    expected is min(cap, factor * size / (size + half)), and the source's factor makes the sum of n * size * expected its
+    target. The factor is the largest of those that follow from taking the k largest sizes as capped: the sum of minima is
+    no more than any sum in which each document takes one side, so none of them is above the true one.
+    """
+    words = F.col("n") * F.col("size")
+    weight = F.col("size") / (F.col("size") + F.lit(float(half)))
+    down = W.partitionBy("source").orderBy(F.desc("size"))
+    before, rest = down.rowsBetween(W.unboundedPreceding, -1), down.rowsBetween(0, W.unboundedFollowing)
+    factor = (F.col("target") - F.lit(cap) * F.coalesce(F.sum(words).over(before), F.lit(0))) / F.sum(words * weight).over(rest)
+    expected = F.greatest(F.least(F.lit(float(cap)), F.col("factor") * weight), F.lit(0.0))
+    near = F.when(F.abs(F.col("e") - F.round("e")) < 1e-9, F.round("e")).otherwise(F.col("e"))  # what rounding left over
+    out = sizes.withColumn("factor", factor).withColumn("factor", F.max("factor").over(W.partitionBy("source")))
+    return out.withColumn("e", expected).select("source", "size", "n", "target", near.alias("expected"))
+
+
 def mixed(docs: DataFrame, weights: Sequence[float] = (3, 1, 2), share: float = 1.5, cap: float = 2.0, seed: int = 0, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
-    """(doc_id, size, source_size, target, taken, copies, source, mark) of each row of docs; mark is a hash of its text."""
+    """(doc_id, size, source_size, target, taken, copies, source, expected, mark) of each row of docs; mark is a hash of the whole row."""
     spark, folder = docs.sparkSession, shared_dir(docs.sparkSession, "mix")
-    size = F.coalesce(F.regexp_count(F.col(text_col), F.lit(WORD)), F.lit(0)).cast("long")
-    rows = save(docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), size.alias("size"), F.xxhash64(text_col).alias("mark")), f"{folder}/rows")
-    sums = rows.groupBy("source").agg(F.sum("size").alias("source_size"))
-    goal = save(targets(sums, weights, share, cap), f"{folder}/targets")
+    size = F.coalesce(F.regexp_count(F.col(f"`{text_col}`"), F.lit(WORD)), F.lit(0)).cast("long")
+    rows = save(docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{source_col}`").alias("source"), size.alias("size"), row_mark(docs).alias("mark")), f"{folder}/rows")
+    sizes = save(rows.groupBy("source", "size").agg(F.count(F.lit(1)).alias("n")), f"{folder}/sizes")
+    goal = save(targets(sizes.groupBy("source").agg(F.sum(F.col("n") * F.col("size")).alias("source_size")), weights, share, cap), f"{folder}/targets")
 
     # sources are joined by value with null as a value; Spark splits the large one (adaptive skew join) or sends the few sources out
     t = goal.select(F.col("source").alias("s"), "source_size", "target")
-    r = rows.join(t, rows["source"].eqNullSafe(t["s"]), "left").drop("s")
-    rate = F.coalesce(F.col("target") / F.nullif(F.col("source_size"), F.lit(0)), F.lit(0.0))
-    r = r.withColumn("whole", F.floor(rate)).withColumn("odd", rate - F.floor(rate)).withColumn("need", F.col("target") - F.col("whole") * F.col("source_size"))
+    h = sizes.where("size > 0").join(t, sizes["source"].eqNullSafe(t["s"])).select("source", "size", "n", "target")
+    e = save(expected_copies(h, cap), f"{folder}/expected")
+    needs = e.groupBy(F.col("source").alias("s2")).agg((F.max("target") - F.sum(F.col("n") * F.col("size") * F.floor("expected"))).alias("need"))
+    e = e.select(F.col("source").alias("s3"), F.col("size").alias("z"), "expected")
+    r = rows.join(t, rows["source"].eqNullSafe(t["s"]), "left").join(needs, rows["source"].eqNullSafe(needs["s2"]), "left")
+    r = r.join(e, rows["source"].eqNullSafe(e["s3"]) & (rows["size"] == e["z"]), "left").drop("s", "s2", "s3", "z")
+    r = r.withColumn("expected", F.coalesce("expected", F.lit(0.0))).withColumn("whole", F.floor("expected")).withColumn("odd", F.col("expected") - F.col("whole"))
     u = _uniform(F.col("doc_id"), seed)
-    q = (u / (1 - u)) / (F.col("odd") / (1 - F.col("odd")))
-    r = r.withColumn("rank", F.when((F.col("odd") > 0) & (F.col("size") > 0), q)).withColumn("slice", F.floor(F.col("rank") / (1 + F.col("rank")) * SLICES))
+    # the logarithm of random odds over inclusion odds
+    q = F.log(u / (1 - u)) - F.log(F.col("odd") / (1 - F.col("odd")))
+    r = r.withColumn("rank", F.when((F.col("odd") > 0) & (F.col("size") > 0), q)).withColumn("slice", F.floor(F.col("rank") / STEP))
     inside = W.partitionBy("source", "slice").orderBy("rank", "doc_id", "mark")
     ranked = r.where("rank is not null").withColumn("order", F.row_number().over(inside)).withColumn("run", F.sum("size").over(inside.rowsBetween(W.unboundedPreceding, 0)))
     ranked = save(ranked, f"{folder}/ranked")
@@ -109,16 +138,23 @@ def mixed(docs: DataFrame, weights: Sequence[float] = (3, 1, 2), share: float =
     picks = picks.select(F.col("source").alias("s"), F.col("slice").alias("l"), F.col("order").alias("o"), F.lit(True).alias("picked"))
     chosen = ranked.join(picks, ranked["source"].eqNullSafe(picks["s"]) & (ranked["slice"] == picks["l"]) & (ranked["order"] == picks["o"]), "left")
     of_rank = chosen.withColumn("copies", F.col("whole") + (F.col("sampled") | F.coalesce("picked", F.lit(False))).cast("int"))
-    columns = ["doc_id", "size", "source_size", "target", "copies", "source", "mark"]
+    columns = ["doc_id", "size", "source_size", "target", "copies", "source", "expected", "mark"]
     both = of_rank.select(columns).union(r.where("rank is null").withColumn("copies", F.when(F.col("size") > 0, F.col("whole")).otherwise(F.lit(0))).select(columns))
-    return both.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).cast("long").alias("taken"), F.col("copies").cast("int").alias("copies"), "source", "mark")
+    return both.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).cast("long").alias("taken"), F.col("copies").cast("int").alias("copies"), "source", "expected", "mark")
+
+
+def row_mark(docs: DataFrame) -> Column:
+    """A hash of all columns of a row, nulls told apart."""
+    columns = [(F.to_json(f"`{c}`") if "map<" in kind else F.col(f"`{c}`")) for c, kind in docs.dtypes]
+    return F.xxhash64(*columns, *[c.isNull() for c in columns])
 
 
 def take(docs: DataFrame, **settings) -> DataFrame:
-    """The rows of docs, each as often as the mix takes it. Rows that repeat an id and text count as one with their copies added."""
-    id_col, text_col = settings.get("id_col", "doc_id"), settings.get("text_col", "text")
-    copies = mixed(docs, **settings).where("copies > 0").groupBy("doc_id", "mark").agg(F.sum("copies").cast("int").alias("_n"))
-    copies = copies.select(F.col("doc_id").alias("_id"), F.col("mark").alias("_mark"), "_n")
-    rows = docs.withColumn("_m", F.xxhash64(text_col))
-    rows = rows.join(copies, rows[id_col].eqNullSafe(copies["_id"]) & (rows["_m"] == copies["_mark"])).dropDuplicates([id_col, "_m"])
-    return rows.withColumn("_c", F.explode(F.sequence(F.lit(1), F.col("_n")))).select(*docs.columns)
+    """The rows of docs, each as often as the mix takes it. Rows that are equal in all columns are one row with their copies added."""
+    id_col = settings.get("id_col", "doc_id")
+    copies = mixed(docs, **settings).where("copies > 0").groupBy("doc_id", "mark").agg(F.sum("copies").cast("int").alias("n"))
+    row, key, mark, n, k = fresh(docs, "row", "key", "mark", "n", "k")
+    keyed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias(row), F.col(f"`{id_col}`").alias(key), row_mark(docs).alias(mark))
+    of = copies.select(F.col("doc_id").alias("k1"), F.col("mark").alias("m1"), F.col("n").alias(n))
+    rows = keyed.join(of, keyed[key].eqNullSafe(of["k1"]) & (keyed[mark] == of["m1"])).groupBy(key, mark).agg(F.first(row).alias(row), F.first(n).alias(n))
+    return rows.select(F.col(row), F.explode(F.sequence(F.lit(1), F.col(n))).alias(k)).select(f"{row}.*")
