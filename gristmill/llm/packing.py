@@ -4,9 +4,9 @@ A bin takes at most one document of each source and one of each cluster of dupli
 left and carry bitmaps of their sources and clusters; a document goes to the fullest bin that has room and shares no bit
 with it (the search goes on from bin to bin until one is compatible), or to a new bin. Larger documents go first.
 
-Documents are dealt by a hash of their id into shards of about SHARD_ROWS rows, each packed by a task of its own: a shard
-has the same size at any scale, and no source or cluster is gathered in one task. The cost is one partly filled tail of
-bins a shard.
+Documents are dealt by a hash of their id, size and copy into shards of about SHARD_ROWS rows, each packed by a task of its
+own: a shard has the same size at any scale, and no source, cluster or repeated row is gathered in one task. The cost is one
+partly filled tail of bins a shard.
 
 Defined results: a text longer than a bin is cut into full bins and a rest that is packed like a document; an empty or
 null text gets one row without a bin; a null source or cluster conflicts with nothing; repeated rows are separate copies
@@ -79,8 +79,7 @@ def _bits(values: pd.Series) -> list[int]:
 
 
 def _pack_shard(p: pd.DataFrame, capacity: int) -> pd.DataFrame:
-    p = p.sort_values(["doc_id", "cluster", "source"], kind="stable", na_position="last").reset_index(drop=True)
-    p["copy"] = p.groupby(["doc_id", "cluster", "source"], dropna=False).cumcount().astype("int32")
+    p = p.sort_values(["doc_id", "cluster", "source", "copy"], kind="stable", na_position="last").reset_index(drop=True)
     shard = int(p.shard.iloc[0])
     size = p["size"].to_numpy()
     full = size // capacity
@@ -118,7 +117,10 @@ def packed(docs: DataFrame, capacity: int = 1024, id_col: str = "doc_id", text_c
     size = F.coalesce(F.regexp_count(F.col(text_col), F.lit(WORD)), F.lit(0)).cast("long")
     shards = max(1, -(-docs.count() // SHARD_ROWS))
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), size.alias("size"), F.col(source_col).cast("string").alias("source"), cluster.alias("cluster"))
-    rows = rows.withColumn("shard", F.pmod(F.xxhash64("doc_id", "size"), F.lit(shards)))
+    # equal rows are counted before the shuffle and numbered after it, so that their copies can be dealt over all shards
+    rows = rows.groupBy("doc_id", "size", "source", "cluster").agg(F.count(F.lit(1)).cast("int").alias("n"))
+    rows = rows.select("doc_id", "size", "source", "cluster", F.explode(F.sequence(F.lit(0), F.col("n") - 1)).alias("copy"))
+    rows = rows.withColumn("shard", F.pmod(F.xxhash64("doc_id", "size", "copy"), F.lit(shards)))
     return rows.groupBy("shard").applyInPandas(lambda p: _pack_shard(p, capacity), SCHEMA)
 
 

@@ -65,3 +65,14 @@ def test_packed(spark):
 def test_copies_in_one_source_stay_apart(spark):
     df = spark.createDataFrame([(i, "same text here", "en", None, 1) for i in range(50)], DOCS)
     assert packing.packed(df, capacity=100).select("bin_id").distinct().count() == 50
+
+
+def test_repeated_rows_are_dealt_over_shards_and_long_texts_are_cut(spark, monkeypatch):
+    monkeypatch.setattr(packing, "SHARD_ROWS", 64)
+    rows = [(7, "one two three", "en", "a", 1)] * 1000 + [(8, "w " * 100_000, "en", "b", 1)]
+    got = packing.packed(spark.createDataFrame(rows, DOCS), capacity=50, cluster_col="doc_id").collect()
+    of = [r for r in got if r.doc_id == 7]
+    assert sorted(r.copy for r in of) == list(range(1000)) and len({r.bin_id for r in of}) == 1000
+    assert max(Counter(r.bin_id >> 32 for r in of).values()) < 150
+    long = sorted((r for r in got if r.doc_id == 8), key=lambda r: r.piece)
+    assert [r.word_start for r in long] == list(range(0, 100_000, 50)) and all(r.words == 50 for r in long)
