@@ -4,11 +4,14 @@ Base spans are what the three patterns find, leftmost and non-overlapping. Besid
 in clean text: access identifiers, long mixed strings that may be secrets, and endpoints. Within a document, parts are
 joined by their intervals: an identifier is reported only within SCOPE characters of a secret, a mixed string only within
 SCOPE of an identifier, an endpoint only when both are near it. All parts of a row stay in its arrays, so nothing is
-shuffled and a row needs no key.
+shuffled and a row needs no key. The interval join is a sweep: ends and starts are sorted together, and running maxima over
+them, by steps of doubled width, tell for all parts at once what is nearest, in n log n steps for n parts of a row.
 
 Offsets are code points, end exclusive: the pieces between the matches and the matches themselves add up to them.
 
-Defined results: null text counts as empty (no spans); each row is scanned for itself, whatever its id, copies alike.
+Defined results: null text counts as empty (no spans); each row is scanned for itself, whatever its id, copies alike. The
+caller's columns travel in one struct, so none of their names clashes with those used here; columns of docs that are named
+as those that scanned adds are replaced.
 """
 
 from __future__ import annotations
@@ -38,16 +41,10 @@ HINT = {"endpoint": "://", "access": "AKIA"}
 _NONE = "array<struct<start:int,end:int,kind:int>>"
 
 
-def _running(lengths: str) -> str:
-    """SQL for the sums before each element of an array of lengths. By blocks of the root of its size: no square cost."""
-    return f"""flatten(transform(sequence(0, cast(ceil(size({lengths}) / ceil(sqrt(size({lengths})))) as int) - 1), b ->
-        transform(sequence(1, cast(least(ceil(sqrt(size({lengths}))), size({lengths}) - b * ceil(sqrt(size({lengths})))) as int)), j ->
-            aggregate(slice(_scan_sums, 1, b), 0, (a, x) -> a + x) + aggregate(slice({lengths}, cast(b * ceil(sqrt(size({lengths}))) as int) + 1, j - 1), 0, (a, x) -> a + x))))"""
-
-
-def _block_sums(lengths: str) -> str:
-    return f"""transform(sequence(0, cast(ceil(size({lengths}) / ceil(sqrt(size({lengths})))) as int) - 1), b ->
-        aggregate(slice({lengths}, cast(b * ceil(sqrt(size({lengths}))) as int) + 1, cast(ceil(sqrt(size({lengths}))) as int)), 0, (a, x) -> a + x))"""
+def _doubled(values: str, start: int, join: str) -> str:
+    """SQL for an array of the same length: join of (p, q) over all values up to each one, by steps of doubled width."""
+    shifted = f"slice(concat(array_repeat({start}, cast(shiftleft(1, k) as int)), a), 1, size(a))"
+    return f"aggregate(sequence(0, cast(ceil(log2(size({values}) + 1)) as int)), {values}, (a, k) -> zip_with(a, {shifted}, (p, q) -> {join}))"
 
 
 def _spans(df: DataFrame, text: str, kind: str) -> DataFrame:
@@ -62,16 +59,35 @@ def _spans(df: DataFrame, text: str, kind: str) -> DataFrame:
     df = df.withColumn("_scan_got", F.when(some, F.struct(pieces.alias("gap"), F.transform("_scan_hits", lambda x: F.length(x)).alias("len"), grouped.alias("part"))))
     # a step is the piece before a match and the match itself
     df = df.withColumn("_scan_steps", F.when(some, F.expr("zip_with(slice(_scan_got.gap, 1, size(_scan_got.len)), _scan_got.len, (a, b) -> a + b)")))
-    df = df.withColumn("_scan_sums", F.when(some, F.expr(_block_sums("_scan_steps"))))
-    df = df.withColumn("_scan_starts", F.when(some, F.expr(f"zip_with({_running('_scan_steps')}, slice(_scan_got.gap, 1, size(_scan_got.len)), (a, g) -> cast(a + g as int))")))
-    spans = F.expr(f"""filter(transform(_scan_starts, (s, i) -> if(_scan_got.part[i] >= {least}, named_struct('start', s, 'end', s + _scan_got.len[i], 'kind', {number}), null)), x -> x is not null)""")
-    return df.withColumn(f"_scan_{kind}", F.when(some, spans).otherwise(F.array().cast(_NONE))).drop("_scan_hits", "_scan_got", "_scan_steps", "_scan_sums", "_scan_starts")
+    df = df.withColumn("_scan_ends", F.when(some, F.expr(_doubled("_scan_steps", 0, "p + q"))))
+    spans = F.expr(f"""filter(zip_with(zip_with(_scan_ends, _scan_got.len, (e, n) -> named_struct('start', e - n, 'end', e, 'kind', {number})), _scan_got.part, (x, n) -> if(n >= {least}, x, null)), x -> x is not null)""")
+    return df.withColumn(f"_scan_{kind}", F.when(some, spans).otherwise(F.array().cast(_NONE))).drop("_scan_hits", "_scan_got", "_scan_steps", "_scan_ends")
+
+
+#: Below every offset; ends and starts that count from the end are negative.
+_LOW = -(2**31) + 1
+
+
+def _latest(spans: str, at: str, value: str, parts: str, asks: str, ties: bool) -> str:
+    """SQL: for each of parts (x), the largest value of those spans (y) whose at is below asks, or equal to it with ties."""
+    first, second = (0, 1) if ties else (1, 0)
+    events = f"array_sort(concat(transform({spans}, y -> struct({at} as at, {first} as turn, -1 as i, {value} as v)), transform({parts}, (x, i) -> struct({asks} as at, {second} as turn, i, {_LOW} as v))))"
+    maxima = f"flatten(transform(array(transform(e, w -> w.v)), z -> {_doubled('z', _LOW, 'greatest(p, q)')}))"
+    told = "transform(array_sort(filter(zip_with(e, m, (w, v) -> struct(w.i as i, v as v)), w -> w.i >= 0)), w -> w.v)"
+    # an array of one element stands for a variable
+    return f"flatten(transform(array({events}), e -> flatten(transform(array({maxima}), m -> {told}))))"
 
 
-def _near(kinds: tuple[str, ...]) -> str:
-    """SQL: whether some span of these kinds lies within SCOPE of x and isn't part of it."""
-    one = "exists(_scan_{k}, y -> y.start - x.end <= {n} and x.start - y.end <= {n} and (y.end <= x.start or y.start >= x.end))"
-    return "(" + " or ".join(one.format(k=k, n=SCOPE) for k in kinds) + ")"
+def _near(spans: str, parts: str) -> str:
+    """SQL: for each of parts, whether one of spans lies within SCOPE of it and shares nothing with it."""
+    before = _latest(spans, "y.end", "y.end", parts, "x.start", True)
+    after = _latest(spans, "-y.start", "-y.start", parts, "-x.end", True)
+    return f"zip_with(transform(zip_with({parts}, {before}, (x, v) -> x.start - {SCOPE} <= v), b -> b), zip_with({parts}, {after}, (x, v) -> -x.end - {SCOPE} <= v), (p, q) -> p or q)"
+
+
+def _inside(spans: str, parts: str) -> str:
+    """SQL: for each of parts, whether it shares something with one of spans."""
+    return f"zip_with({parts}, {_latest(spans, 'y.start', 'y.end', parts, 'x.end', False)}, (x, v) -> v > x.start)"
 
 
 def _text_of(spans: str, kinds: tuple[str, ...]) -> Column:
@@ -79,19 +95,35 @@ def _text_of(spans: str, kinds: tuple[str, ...]) -> Column:
     return F.expr(f"array_join(transform({spans}, x -> concat({names}[x.kind], ':', x.start, ':', x.end)), ',')")
 
 
-def scanned(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """docs with secret_spans, an array of (start, end, kind number) by start and kind, and secret_base, those of the base kinds."""
-    df = docs.withColumn("_scan_text", F.coalesce(F.col(text_col).cast("string"), F.lit("")))
+def _found(docs: DataFrame, text: Column) -> DataFrame:
+    """(row, secret_n_assign, secret_n_access, secret_n_hex, secret_base, secret_spans): row holds the columns of docs."""
+    df = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.coalesce(text.cast("string"), F.lit("")).alias("_scan_text"))
     for kind in KINDS:
         df = _spans(df, "_scan_text", kind)
-    base = "concat(_scan_assign, _scan_access, _scan_hex)"
+    df = df.withColumn("_scan_base", F.expr("concat(_scan_assign, _scan_access, _scan_hex)"))
+    for group, kinds in (("secrets", SECRETS), ("names", NAMES)):
+        df = df.withColumn(f"_scan_{group}", F.expr("concat(" + ", ".join(f"_scan_{k}" for k in kinds) + ")"))
     for kind, needs in NEEDS.items():
-        inside = f"exists({base}, y -> y.start < x.end and y.end > x.start)"  # told by a base span already
-        df = df.withColumn(f"_scan_linked_{kind}", F.expr(f"filter(_scan_{kind}, x -> {' and '.join(map(_near, needs))}" + (f" and not {inside})" if kind != "endpoint" else ")")))
-    df = df.withColumn("secret_base", F.array_sort(F.expr(base))).withColumn("secret_spans", F.array_sort(F.expr(f"concat({base}, _scan_linked_id, _scan_linked_key, _scan_linked_endpoint)")))
+        part, groups = f"_scan_{kind}", [f"_scan_{'secrets' if n is SECRETS else 'names'}" for n in needs]
+        some = F.expr(" and ".join(f"size({g}) > 0" for g in [part, *groups]))
+        # what was told is zipped to the parts: a column that a lambda looks into would be computed for each of them
+        for g in groups:
+            df = df.withColumn(part, F.when(some, F.expr(f"filter(zip_with({part}, {_near(g, part)}, (x, b) -> if(b, x, null)), x -> x is not null)")).otherwise(F.array().cast(_NONE)))
+        if kind != "endpoint":  # what a base span tells already isn't told again
+            told = F.expr(f"filter(zip_with({part}, {_inside('_scan_base', part)}, (x, b) -> if(b, null, x)), x -> x is not null)")
+            df = df.withColumn(part, F.when(F.expr(f"size({part}) > 0 and size(_scan_base) > 0"), told).otherwise(F.col(part)))
+        df = df.withColumnRenamed(part, f"_scan_linked_{kind}")
     # array_sort orders by start, then end; kind must come before end where one start has several spans
     order = lambda c: F.transform(F.array_sort(F.transform(c, lambda x: F.struct(x["start"].alias("start"), x["kind"].alias("kind"), x["end"].alias("end")))), lambda x: F.struct(x["start"].alias("start"), x["end"].alias("end"), x["kind"].alias("kind")))
-    return df.withColumn("secret_base", order("secret_base")).withColumn("secret_spans", order("secret_spans")).select(*docs.columns, *[F.size(f"_scan_{k}").cast("long").alias(f"secret_n_{k}") for k in BASE], "secret_base", "secret_spans")
+    spans = F.expr("concat(_scan_base, _scan_linked_id, _scan_linked_key, _scan_linked_endpoint)")
+    return df.select("row", *[F.size(f"_scan_{k}").cast("long").alias(f"secret_n_{k}") for k in BASE], order(F.col("_scan_base")).alias("secret_base"), order(spans).alias("secret_spans"))
+
+
+def scanned(docs: DataFrame, text_col: str = "text") -> DataFrame:
+    """docs with secret_spans, an array of (start, end, kind number) by start and kind, secret_base, those of the base kinds, and their numbers."""
+    found = _found(docs, F.col(f"`{text_col}`"))
+    made = found.columns[1:]
+    return found.select(*[F.col(f"row.`{c}`") for c in docs.columns if c.lower() not in made], *made)
 
 
 def report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -102,11 +134,28 @@ def report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
 
 
 def redacted(docs: DataFrame, text_col: str = "text", by: str = "[SECRET]") -> DataFrame:
-    """docs with every span of text_col but endpoints replaced; overlapping spans become one. Rows without spans stay as they are."""
-    found = scanned(docs)
-    endpoint = list(KINDS).index("endpoint")
-    t = f"`{text_col}`"
-    fold = f"""aggregate(filter(secret_spans, x -> x.kind <> {endpoint}), named_struct('done', 0, 'out', ''),
-        (a, x) -> if(x.start >= a.done, named_struct('done', x.end, 'out', concat(a.out, substring({t}, a.done + 1, x.start - a.done), '{by}')), named_struct('done', greatest(a.done, x.end), 'out', a.out)),
-        a -> concat(a.out, substring({t}, a.done + 1)))"""
-    return found.withColumn(text_col, F.when(F.size(F.filter("secret_spans", lambda x: x["kind"] != endpoint)) > 0, F.expr(fold)).otherwise(F.col(text_col))).select(*docs.columns)
+    """docs with every span of text_col but endpoints replaced; overlapping spans become one. Rows without spans stay as they are.
+
+    What stands between the spans is cut out of pieces of the text, of as many spans each as there are pieces: the cost of a
+    long text with many spans grows with their root.
+    """
+    text, endpoint = f"row.`{text_col}`", list(KINDS).index("endpoint")
+    df = _found(docs, F.col(f"`{text_col}`")).withColumn("hidden", F.filter("secret_spans", lambda x: x["kind"] != endpoint))
+    some = F.size("hidden") > 0
+    # how far the spans before each one reach, and the gaps that begin there and end where a span starts
+    reach = _latest("hidden", "y.start", "y.end", "hidden", "x.start", False)
+    df = df.withColumn("gaps", F.when(some, F.expr(f"filter(zip_with(hidden, {reach}, (x, r) -> struct(greatest(r, 0) as at, x.start as to)), g -> g.to >= g.at)")))
+    inner = f"concat(substring(piece, g.at - c[0].at + 1, g.to - g.at), {_quoted(by)})"
+    joined = f"array_join(flatten(transform(array(substring(t, c[0].at + 1, c[size(c) - 1].to - c[0].at)), piece -> transform(c, g -> {inner}))), '')"
+    blocks = "transform(sequence(0, cast(ceil(size(all) / w) as int) - 1), b -> slice(all, b * w + 1, w))"
+    # arrays of one element stand for variables: the text, all gaps, and how many go together
+    made = f"flatten(transform(array(v.all), all -> flatten(transform(array(v.t), t -> flatten(transform(array(cast(ceil(sqrt(size(all))) as int)), w -> transform({blocks}, c -> {joined})))))))"
+    pieces = f"array_join(flatten(transform(array(struct({text} as t, gaps as all)), v -> {made})), '')"
+    rest = f"substring({text}, array_max(transform(hidden, x -> x.end)) + 1)"
+    out = F.when(some, F.expr(f"concat({pieces}, {rest})")).otherwise(F.col(text))
+    return df.select(*[out.alias(c) if c == text_col else F.col(f"row.`{c}`") for c in docs.columns])
+
+
+def _quoted(text: str) -> str:
+    escaped = text.replace("\\", "\\\\").replace("'", "\\'")
+    return f"'{escaped}'"

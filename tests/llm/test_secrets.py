@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import time
 
 from gristmill.llm import secrets
 
@@ -62,6 +63,56 @@ def test_report_digest_and_links(spark):
     assert got[1].spans.endswith(f"key:{a}:{b}")
 
 
+def linked(text):
+    """All spans by comparing every part with every other one."""
+    text = text or ""
+    parts = {"assign": [], "access": [], "hex": []}
+    for a, k, b in base(text):
+        parts[secrets.BASE[k]].append((a, b))
+    ascii_ = lambda p: re.compile(p.replace("(?i)", ""), re.A | (re.I if "(?i)" in p else 0))
+    parts["id"] = [m.span() for m in ascii_(secrets.NAME).finditer(text) if len(m[2]) >= 4]
+    parts["key"] = [m.span() for m in ascii_(secrets.MIXED).finditer(text)]
+    parts["endpoint"] = [m.span() for m in ascii_(secrets.ENDPOINT).finditer(text) if m.end() - m.start() >= 11]
+    near = lambda x, kinds: any((b <= x[0] or a >= x[1]) and a - x[1] <= secrets.SCOPE and x[0] - b <= secrets.SCOPE for k in kinds for a, b in parts[k])
+    inside = lambda x: any(a < x[1] and b > x[0] for k in secrets.BASE for a, b in parts[k])
+    kinds = list(secrets.KINDS)
+    out = [(a, kinds.index(k), b) for k in secrets.BASE for a, b in parts[k]]
+    for k, needs in secrets.NEEDS.items():
+        out += [(*x[:1], kinds.index(k), x[1]) for x in parts[k] if all(near(x, n) for n in needs) and not (k != "endpoint" and inside(x))]
+    return sorted(out)
+
+
+def hide(text, by):
+    spans, done, out = [s for s in linked(text) if list(secrets.KINDS)[s[1]] != "endpoint"], 0, ""
+    for a, _, b in sorted(spans):
+        if a >= done:
+            out, done = out + text[done:a] + by, b
+        done = max(done, b)
+    return out + text[done:] if text is not None else None
+
+
+def test_links_and_redaction_match_all_pairs(spark):
+    texts = [*fuzz(500), *(" pad" * 20 + t + " pad" * 60 + u for t, u in zip(fuzz(150), fuzz(300)[150:], strict=True)), None, ""]
+    df = spark.createDataFrame([(i, t, i) for i, t in enumerate(texts)], "doc_id long, text string, _scan_text long")
+    for r in secrets.scanned(df).collect():
+        assert [(s.start, s.kind, s.end) for s in r.secret_spans] == linked(texts[r.doc_id]), texts[r.doc_id]
+        assert r._scan_text == r.doc_id
+    for r in secrets.redacted(df, by="<it's>").collect():
+        assert r.text == hide(texts[r.doc_id], "<it's>")
+
+
+def test_many_parts_in_one_row(spark):
+    """Identifiers and then far mixed strings: none is near another, and no part is compared with all."""
+    n = 20_000
+    text = " ".join(f"login=user{i:05d}" for i in range(n)) + " pad" * 200 + " ".join(f" aB3dE6gH9aB3dE6gH{i:05d}" for i in range(n)) + " token=abcdefgh1" * n
+    df = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    began = time.time()
+    r = secrets.report(df).first()
+    assert r.n_assign == n and r.n_linked < 20
+    assert secrets.redacted(df).first().text.count("[SECRET]") >= n
+    assert time.time() - began < 60
+
+
 def test_redacted_keeps_rows_and_columns(spark):
     text = 'é token = "deadbeefdeadbeefdeadbeefdeadbeef" and rest'
     df = spark.createDataFrame([(1, text, "en", "a", 9), (1, text, "en", "a", 9), (None, None, None, None, None), (3, "clean", "en", "a", 5)], DOCS)
