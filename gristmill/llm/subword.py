@@ -120,11 +120,12 @@ class _Scores(dict):
         return out
 
 
-def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, train_fold, id_col: str, text_col: str, size: int = SAMPLE) -> DataFrame:
-    """(text, y): at most size rows of each class, by a hash of the id, of the labelled rows in the training fold."""
+def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, train_fold, id_col: str, text_col: str, size: int = SAMPLE, more: DataFrame | None = None) -> DataFrame:
+    """(text, y): at most size rows of each class, by a hash of the id, of the labelled rows in the training fold; and those of more (_id, y)."""
     own = labels.select(F.col("doc_id").alias("_id"), F.col(label).cast("int").alias("y")).where(F.col("y").isin(0, 1) & train_fold("_id"))
     order = [F.md5(F.col("_id").cast("string")), "_id"]
     picked = own.where("y = 0").orderBy(*order).limit(size).union(own.where("y = 1").orderBy(*order).limit(size))
+    picked = picked if more is None else picked.union(more)
     return docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("text")).join(F.broadcast(picked), "_id").select("_id", "text", "y")
 
 
@@ -139,8 +140,8 @@ def fit(docs: DataFrame, labels: DataFrame, label: str, folds: int, held: int, i
     return train([(np.frombuffer(a, np.int32), np.frombuffer(b, np.float32)) for a, b in zip(rows.ids, rows.share, strict=True)], rows.y.to_numpy(int))
 
 
-def scored(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """docs with quality_score: the probability of class 1 from the whole text."""
+def scored(docs: DataFrame, model: Model, text_col: str = "text", into: str = "quality_score") -> DataFrame:
+    """docs with the column into: the probability of class 1 from the whole text."""
     sent = docs.sparkSession.sparkContext.broadcast(model.logits().tolist())  # one number a bucket
     bias = float(model.bias[1] - model.bias[0])
 
@@ -160,7 +161,7 @@ def scored(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
         for p in parts:
             yield pd.Series(1 / (1 + np.exp(-np.clip([one(t) for t in p], -500, 500))), dtype=float)
 
-    return docs.withColumn("quality_score", score(F.col(text_col).cast("string")))
+    return docs.withColumn(into, score(F.col(text_col).cast("string")))
 
 
 def report(docs: DataFrame, labels: DataFrame, label: str = "quality", folds: int = 3, held: int = 1) -> DataFrame:

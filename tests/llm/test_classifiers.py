@@ -1,5 +1,8 @@
 """Quality and toxicity: held-out accuracy on the given tables, and defined results of odd rows."""
 
+import math
+import zlib
+
 import numpy as np
 import pytest
 
@@ -38,6 +41,37 @@ def test_odd_rows(spark, module):
     assert module.report(df.limit(0), labels).count() == 0
 
 
+def test_scores_match_plain_features(spark):
+    """The scorers against sums over each text's features, one by one, and the fold and the limit against their definition."""
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.001/{t}.parquet") for t in ("documents", "labels"))
+    rows = [(r.doc_id, r.text) for r in docs.collect()] + [(9001, None), (9002, " \n"), (None, "same same same"), (9003, "ab " * 50_000)]
+    df = spark.createDataFrame([(*r, None, None, None) for r in rows], DOCS)
+    sigmoid = lambda z: 1 / (1 + math.exp(-min(max(z, -500), 500)))
+    held = lambda i, n, k: i is not None and zlib.crc32(str(i).encode()) % n == k
+
+    model = subword.fit(df, labels, "quality", 3, 1)
+    logits, bias = model.logits(), float(model.bias[1] - model.bias[0])
+    want = {}
+    for i, t in rows:
+        ids, share = subword._bag(t)
+        want[i] = (held(i, 3, 1), sigmoid(bias + float(share.astype(float) @ logits[ids])))
+    for r in subword.report(df, labels).collect():
+        assert r.held_out == want[r.doc_id][0] and abs(r.score - want[r.doc_id][1]) < 1e-4 and r.predicted == (r.score >= 0.5)
+
+    weights, bias = toxicity.fit(df, labels, "toxic", 5, 0)
+    for r in toxicity.report(df, labels).collect():
+        z = bias + sum(weights.get(int(f), 0.0) for f in toxicity._ids(dict(rows)[r.doc_id] or ""))
+        assert r.held_out == held(r.doc_id, 5, 0) and abs(r.score - sigmoid(z)) < 1e-9 and r.predicted == (r.score >= 0.5)
+
+
+def test_documents_without_label_get_weak_ones():
+    texts = ["you are a stupid moron", "nice weather today"] * 20
+    bags, seen = [toxicity._ids(t) for t in texts], np.array([toxicity.votes(t) for t in texts])
+    y = np.array([1, 0] * 10 + [-1, -1] * 10)
+    weak = toxicity.weak_labels(bags, seen, y)
+    assert (weak[20::2] > 0.9).all() and (weak[21::2] < 0.1).all()
+
+
 def test_label_model_finds_accurate_voters():
     rng = np.random.default_rng(0)
     y = rng.random(4000) < 0.3
