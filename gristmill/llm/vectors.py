@@ -8,8 +8,8 @@ bounded memory, and the best of each block are merged. Both searches share this
 
 Defined results for both: a vector that is null, empty or holds null or non-finite components takes no part (for nearest a
 zero vector neither), nor does one whose id is null; a query meets only vectors of its own length; rows with a query's own
-id aren't its candidates; rows that repeat id and vector count once, and of rows that repeat a query's id, the one with the
-smallest vector asks. With fewer candidates than k all are returned; an empty table gives an empty result.
+id aren't its candidates; rows that repeat an id each count as candidates, and of rows that repeat a query's id, the one with
+the smallest vector asks. With fewer candidates than k all are returned; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -31,13 +31,11 @@ def usable(vector: Column) -> Column:
     return F.coalesce((F.size(vector) > 0) & finite, F.lit(False))
 
 
-def _distinct(p: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """Ids and vectors of a block, by id, repeated rows once."""
+def _sorted(p: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Ids and vectors of a block, by id, then vector."""
     ids, x = p.vec_id.to_numpy(np.int64), np.stack(p.v.to_numpy()).astype(np.float64)
     order = np.lexsort((*x.T[::-1], ids))
-    ids, x = ids[order], x[order]
-    new = np.r_[True, (ids[1:] != ids[:-1]) | (x[1:] != x[:-1]).any(1)]
-    return ids[new], x[new]
+    return ids[order], x[order]
 
 
 def _blockwise(vectors: DataFrame, every: int, k: int, best: Callable, kind: str, largest: bool, id_col: str, vector_col: str) -> DataFrame:
@@ -55,8 +53,8 @@ def _blockwise(vectors: DataFrame, every: int, k: int, best: Callable, kind: str
     def run(queries: pd.DataFrame, p: pd.DataFrame) -> pd.DataFrame:
         out = []
         if len(queries) and len(p):
-            ids, x = _distinct(p)
-            qids, qx = _distinct(queries)
+            ids, x = _sorted(p)
+            qids, qx = _sorted(queries)
             first = np.r_[True, qids[1:] != qids[:-1]]
             search = best(ids, x)
             for own, y in zip(qids[first], qx[first], strict=True):

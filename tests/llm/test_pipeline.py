@@ -31,3 +31,25 @@ def test_stages(spark):
 
 def test_run(spark):
     assert cp.run(spark, "/root/testdata/sf0.001").count() > 0
+
+
+def test_odd_rows_and_clashing_names(spark):
+    """Nulls, blanks, repeats, a very long text and columns named as helpers are, through every stage."""
+    kind = "doc_id long, text string, lang string, source string, n_chars long, quality_score string, _was int, _row int, mark int"
+    rows = [(1, "a fine text of some words", "en", "s", 25, "q", 1, 1, 1)] * 3 + [(1, "another text under this id", "en", "s", 26, None, 2, 2, 2), (2, None, None, None, None, None, None, None, None)]
+    rows += [(3, "", "en", None, 0, "q", 0, 0, 0), (None, "no id but words", "en", "t", 15, "q", 0, 0, 0), (4, "long words " * 40_000, "en", "t", 440_000, "q", 0, 0, 0), (5, "token=abcdefgh1 here", "en", "t", 20, "q", 0, 0, 0)]
+    df = spark.createDataFrame(rows, kind)
+    for docs in (df, df.limit(0)):
+        for name, stage in cp.STAGES:
+            out = stage(spark, docs, "/root/testdata/sf0.001").cache()
+            if name == "pack":
+                break
+            assert out.columns == df.columns
+            docs = out
+            if name == "quality" and docs.count():
+                docs = df
+            if name == "secrets" and docs.count():
+                assert {r.text: r.n_chars for r in out.collect()}["[SECRET] here"] == 13
+            if name == "near_duplicates" and docs.count():
+                assert docs.where("doc_id = 1").count() == 2
+        assert (out.count() > 0) == (docs.count() > 0)

@@ -25,13 +25,13 @@ BAD = [(None, [1.0] * 24, 0), (5000, None, 0), (5001, [None] * 24, 0), (5002, [f
 def test_exact_topk(spark):
     x = data()
     got = {}
-    for r in vectors.exact_topk(frame(spark, x, [*BAD, (3, x[3].tolist(), 0)])).collect():
+    for r in vectors.exact_topk(frame(spark, x, [*BAD, (3, x[3].tolist(), 0), (50, x[50].tolist(), 1)])).collect():
         got.setdefault(r.query_id, []).append((r["rank"], r.vec_id, r.score))
     z = np.floor(256 * x.astype(float)).astype(int)
     assert set(got) == set(range(0, 1200, 50))
     for q, rows in got.items():
         s = z @ z[q]
-        best = sorted((i for i in range(len(z)) if i != q), key=lambda i: (-s[i], i))[:5]
+        best = sorted((i for i in [*range(len(z)), 3, 50] if i != q), key=lambda i: (-s[i], i))[:5]
         assert sorted(rows) == [(k + 1, i, s[i]) for k, i in enumerate(best)]
 
 
