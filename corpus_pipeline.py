@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gristmill.llm import mixing, near_dedup, packing, secrets, subword
-from gristmill.llm.common import save, shared_dir, table
+from gristmill.llm.common import fresh, save, shared_dir, table
 
 #: Not expressible in SQL: a trained classifier comes first. Tested against plain versions of its stages instead.
 ORACLE_SQL = None
@@ -15,7 +15,8 @@ ORACLE_SQL = None
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier accepts."""
     model = subword.fit(docs, table(spark, sf_dir, "labels"), "quality", 3, 1)
-    return subword.scored(docs, model).where("quality_score >= 0.5").select(docs.columns)
+    (score,) = fresh(docs, "score")
+    return subword.scored(docs, model, into=score).where(F.col(score) >= 0.5).drop(score)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -25,8 +26,9 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, with secrets replaced and their length told anew."""
-    clean = secrets.redacted(docs.withColumn("_was", F.col("text")))
-    return clean.withColumn("n_chars", F.when(F.col("text").eqNullSafe(F.col("_was")), F.col("n_chars")).otherwise(F.length("text").cast("long"))).select(docs.columns)
+    (was,) = fresh(docs, "was")
+    clean = secrets.redacted(docs.withColumn(was, F.col("text")))
+    return clean.withColumn("n_chars", F.when(F.col("text").eqNullSafe(F.col(was)), F.col("n_chars")).otherwise(F.length("text").cast("long"))).drop(was)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
