@@ -26,8 +26,13 @@ def trend_keywords(df: DataFrame, tokens: Column, words: Vocabulary, trend: Tren
 def record_scores(df: DataFrame, title_tokens: Column, body_tokens: Column, weights: DataFrame, trend: Trend | None = None) -> DataFrame:
     """(id, score, matched): each keyword of the record counts its weight, more if it is in the title. weights is short by its limit."""
     t = trend or Trend()
-    both = df.select("id", F.explode_outer(F.array_union(title_tokens, body_tokens)).alias("token"), title_tokens.alias("_t")).withColumn("titled", F.array_contains("_t", F.col("token"))).drop("_t")
-    gain = both.join(F.broadcast(weights.select("token", "weight").limit(t.keywords)), "token").withColumn("gain", F.col("weight") * F.when(F.col("titled"), t.title_bonus).otherwise(1.0))
+    short = weights.select("token", "weight").limit(t.keywords)  # as many as there are keywords, so every task can have them
+    known = short.agg(F.collect_list("token").alias("_known"))
+    # both arrays are cut down to the keywords first, by hash, so that a record of any length makes as many rows at most
+    in_title, in_both = F.array_intersect(title_tokens, F.col("_known")), F.array_intersect(F.array_union(title_tokens, body_tokens), F.col("_known"))
+    both = df.join(F.broadcast(known)).select("id", in_title.alias("_t"), in_both.alias("_b")).select("id", F.explode_outer("_b").alias("token"), "_t").where("token is not null")
+    both = both.withColumn("titled", F.array_contains("_t", F.col("token"))).drop("_t")
+    gain = both.join(F.broadcast(short), "token").withColumn("gain", F.col("weight") * F.when(F.col("titled"), t.title_bonus).otherwise(1.0))
     ordered = F.transform(F.array_sort(F.collect_list(F.struct((-F.col("gain")).alias("g"), "token"))), lambda x: x["token"])
     return gain.groupBy("id").agg(F.sum("gain").alias("score"), ordered.alias("matched"))
 

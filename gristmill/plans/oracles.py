@@ -299,9 +299,10 @@ CLUSTER_BONUS = f"""WITH RECURSIVE {_CLUSTERS},
 m AS (SELECT rec.id, leader, regexp_matches(title, '[\\[\\(【][^\\]\\)】]{{0,11}}photo[^\\]\\)】]{{0,11}}[\\]\\)】]') AS caption, length(body) AS chars, {_types(WHOLE, LATIN.core)}::double AS score FROM rec JOIN grouped ON grouped.id = rec.id),
 b AS (SELECT *, count(*) OVER (PARTITION BY leader) AS report_count, row_number() OVER (PARTITION BY leader ORDER BY caption, chars DESC, score DESC, id) AS rn FROM m)
 SELECT leader, id, report_count, round(score * least(1 + {E.cluster_bonus} * (report_count - 1), {E.cluster_bonus_most}), 4) AS score FROM b WHERE rn = 1"""
-_TOPICS = f"""{_SIG},
-word AS (SELECT id, token FROM sig WHERE df BETWEEN 2 AND 3), stated AS (SELECT DISTINCT id, unnest(regexp_extract_all(title, '{LATIN.signature}')) AS token FROM rec),
-told AS (SELECT word.id, word.token, stated.id IS NOT NULL AS titled FROM word LEFT JOIN stated ON stated.id = word.id AND stated.token = word.token),
+_TOPICS = f"""{RECORDS},
+rough AS (SELECT id, list_distinct(regexp_extract_all({WHOLE}, '{LATIN.signature}')) AS words, array_to_string(regexp_extract_all(title, '{LATIN.signature}'), chr(10)) AS stated FROM rec),
+every AS (SELECT id, unnest(words) AS token, stated FROM rough), word AS (SELECT id, token, contains(stated, token) AS titled FROM every),
+told AS MATERIALIZED (SELECT * FROM word WHERE token NOT IN (SELECT token FROM word GROUP BY token HAVING count(*) = (SELECT count(*) FROM rec) AND count(*) >= 4)),
 edge AS MATERIALIZED (SELECT x.id AS a, y.id AS b FROM told x JOIN told y ON x.token = y.token AND x.id < y.id GROUP BY x.id, y.id HAVING count(*) >= 2 OR count(*) FILTER (x.titled AND y.titled) >= 1),
 ends AS MATERIALIZED (SELECT a, b FROM edge UNION ALL SELECT b, a FROM edge),
 reach AS (SELECT a AS id, least(a, min(b)) AS root FROM ends GROUP BY a UNION SELECT e.b, r.root FROM reach r JOIN ends e ON e.a = r.id),

@@ -335,21 +335,18 @@ def cluster_bonus(spark: SparkSession, sf_dir: str) -> DataFrame:
     return events.representatives(members.join(event_clusters(spark, sf_dir), "id"), TABLES.events)
 
 
-def _topic_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Topic words are rare ones: in 2 or 3 records."""
+def _topics(spark: SparkSession, sf_dir: str) -> DataFrame:
     w = TABLES.words
-    r = records(spark, sf_dir)
-    rare = _signatures(spark, sf_dir).where("df between 2 and 3").select("id", F.col("token").alias("word"))
-    titles = r.select("id", F.explode(matching.signature_tokens(F.col("title"), w)).alias("word"))
-    return greedy.cut(events.topic_edges(rare, titles))
+    told = events.topic_words(records(spark, sf_dir), matching.signature_tokens(_whole(), w), matching.signature_tokens(F.col("title"), w))
+    return events.topics(told)
 
 
 def topic_components(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return greedy.components(_topic_edges(spark, sf_dir))
+    return _topics(spark, sf_dir)
 
 
 def bundles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return events.bundles(records(spark, sf_dir), _topic_edges(spark, sf_dir))
+    return events.bundles(records(spark, sf_dir), _topics(spark, sf_dir))
 
 
 # --- vectors --------------------------------------------------------------------------------------------------
