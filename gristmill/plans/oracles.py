@@ -358,6 +358,50 @@ WITH a AS (SELECT doc_id, text AS t0, replace(text, 'tion ', 'TION ') AS t1 FROM
 SELECT doc_id, md5(replace(t2, 'ment', 'MENT')) AS digest, {_count('t0', 'tion ')} + {_count('t1', ' the ')} + {_count('t2', 'ment')} AS changed FROM b"""
 
 
+# --- boards, drafts and state
+
+_MARKED = "marked AS (SELECT doc_id, '# ' || replace(replace(replace(text, '*', ''), ' the ', ' **the** '), chr(10), chr(10) || '- ') || CASE WHEN doc_id % 3 = 0 THEN chr(10) || chr(10) || 'See you soon.' ELSE '' END AS text FROM documents)"
+_RTRIM = lambda x: rf"regexp_replace({x}, '\s+$', '')"
+POSTPROCESSED = rf"""WITH {_MARKED},
+a AS (SELECT doc_id, text, regexp_replace(text, '(?m)^\s{{0,3}}#{{1,6}}\s+', '', 'g') AS t1 FROM marked),
+b AS (SELECT *, regexp_replace(t1, '(?m)^(\s{{0,3}})[-*•]\s+', '\1', 'g') AS t2 FROM a), c AS (SELECT *, regexp_replace(t2, '\*\*(.+?)\*\*', '\1', 'g') AS t3 FROM b),
+d AS (SELECT *, replace(t3, 'ment', 'MENT') AS t4 FROM c)
+SELECT doc_id, {_count('text', r'(?m)^\s{0,3}#{1,6}\s+')} + {_count('t1', r'(?m)^\s{0,3}[-*•]\s+')} + {_count('t2', r'\*\*.+?\*\*')} AS residue, 0::bigint AS chapters, {_count('t3', 'ment')} AS style,
+  md5(CASE WHEN ends_with({_RTRIM('t4')}, 'See you soon.') THEN t4 ELSE {_RTRIM('t4')} || chr(10) || chr(10) || 'See you soon.' END) AS digest FROM d"""
+MEASURED_LENGTHS = f"""WITH {_MARKED}, m AS (SELECT doc_id, text, CASE WHEN ends_with({_RTRIM('text')}, 'See you soon.') THEN substr({_RTRIM('text')}, 1, length({_RTRIM('text')}) - 13) ELSE text END AS t FROM marked)
+SELECT doc_id, {_PROSE('t')} AS chars, CASE WHEN length(text) > 1800 THEN 1801 ELSE length(text) END AS excerpt FROM m"""
+_DRAFTS = f"""st AS ({DRAFT_STRUCTURE}),
+bc AS (SELECT conv_id, turn, {_count('lower(text)', 'the best|ation|eaux')} AS claims, {_count('lower(text)', 'und|and the|de la')} AS filler, list_filter(list_transform({_lines('text')}, lambda x: length({_strip('x')})), lambda n: n > 0) AS sizes FROM conversations),
+dr AS (SELECT bc.conv_id, bc.turn, claims > 0 AS blocked, claims + filler AS banned, warnings, chars, len(sizes) AS lines, len(list_filter(sizes, lambda n: n <= 20)) AS short, coalesce(list_max(sizes), 0) AS longest FROM bc JOIN st ON st.conv_id = bc.conv_id AND st.turn = bc.turn),
+judged AS (SELECT *, CASE WHEN blocked THEN 'blocked' WHEN banned > 0 OR warnings <> '' THEN 'look' ELSE 'fine' END AS verdict FROM dr)"""
+DRAFT_REPORT = f"WITH {_DRAFTS} SELECT * FROM judged"
+DRAFT_SUMMARY = f"""WITH {_DRAFTS} SELECT count(*) AS drafts, round(avg(chars), 4) AS chars, round(sum(short) / sum(lines), 6) AS short_share, max(longest) AS longest, sum(banned)::bigint AS banned, count(*) FILTER (blocked) AS blocked,
+  sum(CASE WHEN warnings = '' THEN 0 ELSE len(string_split(warnings, ',')) END)::bigint AS warnings FROM judged"""
+PENDING_CONTENTS = """
+WITH c AS (SELECT user_id AS id FROM events GROUP BY user_id HAVING arg_max(event_type, event_id) = 'click')
+SELECT c.id, string_agg(doc_id || '/' || lang, ',' ORDER BY event_id DESC) AS articles FROM c JOIN events e ON e.user_id = c.id JOIN documents d ON d.doc_id = e.event_id GROUP BY c.id"""
+CHANGED_STATUS = "SELECT doc_id AS id, coalesce(s, lang) AS status FROM documents LEFT JOIN (SELECT user_id, arg_max(event_type, event_id) AS s FROM events GROUP BY user_id) u ON user_id = doc_id"
+NAME_PARTS = rf"SELECT page_id, base, lower({_strip(r"regexp_replace(base, '[\s_-]+[0-9]{1,3}$', '')")}) AS series FROM (SELECT page_id, string_split(url, '/')[-1] AS base FROM pages)"
+RECENTLY_USED = "SELECT user_id AS key FROM events WHERE event_type IN ('view', 'click') GROUP BY user_id HAVING max(ts) >= TIMESTAMP '2024-01-21'"
+UNLISTED = "SELECT doc_id FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels WHERE doc_id IS NOT NULL)"
+SIZE_BUCKETS = """
+WITH t AS (SELECT CASE WHEN n_chars < 1000 THEN 'small' WHEN n_chars > 4000 THEN 'oblong' ELSE 'fits' END AS size, source FROM documents),
+g AS (SELECT CASE WHEN grouping(size) = 1 THEN 'all' ELSE size END AS size, CASE WHEN grouping(source) = 1 THEN 'all' ELSE source END AS source, count(*) AS n FROM t GROUP BY CUBE (size, source))
+SELECT size, source, n, n / max(n) OVER (PARTITION BY source) AS share FROM g"""
+LEFT_PLACES = "SELECT rn, event_id FROM (SELECT event_id, row_number() OVER (ORDER BY ts, event_id) AS rn FROM events) WHERE rn % 7 <> 0"
+RECENT_EVENTS = "SELECT event_id FROM events WHERE event_type = 'error' OR ts >= TIMESTAMP '2024-01-22'"
+STATE_STEP = """
+WITH e AS (SELECT event_id, ts, event_type, event_type || '/' || floor(value)::bigint AS key, user_id::varchar AS u FROM events),
+k AS (SELECT event_id AS seq, key FROM e WHERE event_type = 'view' UNION ALL SELECT event_id + (SELECT max(event_id) FROM e WHERE event_type = 'view') + 1, key FROM e WHERE event_type = 'click' AND key NOT IN (SELECT key FROM e WHERE event_type = 'view')),
+r AS (SELECT 'key' AS part, key AS item FROM (SELECT * FROM k ORDER BY seq DESC LIMIT 5000)
+  UNION ALL SELECT 'event', strftime(ts, '%Y-%m-%d %H:%M:%S') || ' ' || least(key, u) || ' ' || greatest(key, u) FROM e WHERE event_type = 'view' AND ts >= TIMESTAMP '2024-01-19'
+  UNION ALL SELECT 'event', '2024-01-31 00:00:00 ' || least(key, u) || ' ' || greatest(key, u) FROM e WHERE event_type = 'click'
+  UNION ALL SELECT 'watermark', strftime(greatest(max(ts), TIMESTAMP '2024-01-05'), '%Y-%m-%d %H:%M:%S') FROM e WHERE event_type = 'view')
+SELECT part, item, count(*) AS n FROM r GROUP BY part, item"""
+SEARCH_EXCLUDING = f"""WITH {_V}, s AS (SELECT a.id, b.id AS other, b.label, list_inner_product(a.v, b.v) AS sim FROM v a JOIN v b ON a.id <> b.id WHERE a.id % 10 = 0 AND b.label NOT IN (1, 2, 3))
+SELECT id, other, label, round(sim, 6) AS sim FROM s QUALIFY row_number() OVER (PARTITION BY id ORDER BY s.sim DESC, other) <= 3"""
+
+
 def oracle_sql() -> dict[str, str]:
     """Names without SQL: plain_markdown (back-references), flagship_select (tested against a plain version)."""
     return {k.lower(): v for k, v in globals().items() if k.isupper() and not k.startswith("_") and isinstance(v, str) and k not in ("RECORDS", "WHOLE", "G", "E", "T")}

@@ -13,8 +13,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from gristmill.functions import cleaning, matching, sentiment, structure, text, wording
-from gristmill.operators import evaluation, events, greedy, ordering, scoring, sets, vectors
+from gristmill.functions import cleaning, drafts, matching, sentiment, structure, text, wording
+from gristmill.operators import board, evaluation, events, greedy, ordering, scoring, sets, vectors
 from gristmill.plans.flagship import TABLES, facts, records, selected
 from gristmill.sources.shared import shared_folder
 from gristmill.streaming import incremental
@@ -440,6 +440,108 @@ def flagship_select(spark: SparkSession, sf_dir: str) -> DataFrame:
     return selected(records(spark, sf_dir), TABLES, top=40)
 
 
+# --- boards, drafts and state ----------------------------------------------------------------------------------
+
+
+def _marked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """documents with markup: a heading, bullets, bold words and the closing text in every third."""
+    bold = F.replace(F.replace("text", F.lit("*"), F.lit("")), F.lit(" the "), F.lit(" **the** "))
+    t = F.concat(F.lit("# "), F.replace(bold, F.lit("\n"), F.lit("\n- ")), F.when(F.col("doc_id") % 3 == 0, "\n\nSee you soon.").otherwise(""))
+    return _table(spark, sf_dir, "documents").select("doc_id", t.alias("text"))
+
+
+def postprocessed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    p = drafts.postprocessed(F.col("text"), [("ment", "MENT")], "See you soon.")
+    return _marked(spark, sf_dir).select("doc_id", p.alias("p")).select("doc_id", "p.residue", "p.chapters", "p.style", F.md5("p.text").alias("digest"))
+
+
+def measured_lengths(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _marked(spark, sf_dir).select("doc_id", structure.prose_chars(drafts.measured(F.col("text"), "See you soon.")).alias("chars"), F.length(drafts.excerpt(F.col("text"))).cast("long").alias("excerpt"))
+
+
+def _drafts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    c = structure.banned_counts(_table(spark, sf_dir, "conversations"), "text", BANNED)
+    c = c.select("conv_id", "turn", "blocked", (F.col("hits")["claims"] + F.col("hits")["filler"]).alias("banned"), structure.structure(F.col("text"), F.lit("tion"))["warnings"].alias("warnings"), drafts.line_facts(F.col("text")).alias("f"))
+    return board.draft_verdicts(c.select("conv_id", "turn", "blocked", "banned", "warnings", "f.*"))
+
+
+def draft_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _drafts(spark, sf_dir).withColumn("warnings", F.array_join("warnings", ","))
+
+
+def draft_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return board.draft_summary(_drafts(spark, sf_dir))
+
+
+def pending_contents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Users as contents with the ids of their events, in falling order; the events' values are looked up in documents."""
+    e = _table(spark, sf_dir, "events")
+    listed = F.array_join(F.transform(F.sort_array(F.collect_list("event_id"), False), lambda x: x.cast("string")), ", ")
+    contents = e.groupBy(F.col("user_id").alias("id")).agg(F.max_by("event_type", "event_id").alias("status"), listed.alias("ids"))
+    articles = _table(spark, sf_dir, "documents").select(F.col("doc_id").cast("string").alias("key"), "lang")
+    p = board.pending(contents, articles, "click")
+    return p.select("id", F.array_join(F.transform("articles", lambda a: F.concat(a["key"], F.lit("/"), a["lang"])), ",").alias("articles"))
+
+
+def changed_status(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = _table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), F.col("lang").alias("status"))
+    changes = _table(spark, sf_dir, "events").select(F.col("user_id").alias("id"), F.col("event_id").alias("seq"), F.col("event_type").alias("status"))
+    return board.with_status(pages, changes)
+
+
+def name_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    base = drafts.base_name(F.col("url"))
+    return _table(spark, sf_dir, "pages").select("page_id", base.alias("base"), drafts.set_name(base).alias("series"))
+
+
+def recently_used(spark: SparkSession, sf_dir: str) -> DataFrame:
+    e = _table(spark, sf_dir, "events").select(F.col("user_id").alias("key"), F.col("ts").alias("at"), "event_type")
+    used = board.last_used(e.where("event_type = 'view'").drop("event_type"), e.where("event_type = 'click'").drop("event_type"))
+    return board.recently_used(used, F.expr(NOW), 10)
+
+
+def unlisted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents without a label: files without provenance."""
+    return sets.without_history(_table(spark, sf_dir, "documents").select("doc_id"), _table(spark, sf_dir, "labels"), "doc_id")
+
+
+def size_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    size = F.when(F.col("n_chars") < 1000, "small").when(F.col("n_chars") > 4000, "oblong").otherwise("fits")
+    return evaluation.crosstab(_table(spark, sf_dir, "documents").select(size.alias("size"), "source"), "size", "source")
+
+
+def left_places(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events in order of time without every seventh."""
+    n = ordering.numbered(_table(spark, sf_dir, "events").select("ts", "event_id"), "ts", "event_id")
+    return board.without_places(n, n.where("rn % 7 = 0").select("rn")).select("rn", "event_id")
+
+
+def recent_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    e = _table(spark, sf_dir, "events").select("event_id", F.when(F.col("event_type") != "error", F.col("ts")).alias("at"))
+    return incremental.live_events(e, "at", F.expr(NOW), 9).select("event_id")
+
+
+def state_step(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The state after a run over clicks: keys, events and the watermark, as (part, item, n)."""
+    e = _table(spark, sf_dir, "events").select("event_id", "ts", "event_type", F.concat("event_type", F.lit("/"), F.floor("value")).alias("key"), F.col("user_id").cast("string").alias("user"))
+    of = lambda kind: e.where(F.col("event_type") == kind)
+    seq = lambda df: df.select(F.col("event_id").alias("seq"), "key")
+    tokens = lambda df: df.select(F.col("ts").alias("at"), F.array("key", "user").alias("tokens"))
+    before = {"processed": seq(of("view")), "events": tokens(of("view")), "watermark": of("view").agg(F.max("ts").alias("at"))}
+    after = incremental.next_state(before, seq(of("click")), tokens(of("click")).select("tokens"), F.expr("timestamp_ntz'2024-01-05 00:00:00'"), F.expr(NOW), 5000, 12)
+    text = lambda c: F.date_format(c, "yyyy-MM-dd HH:mm:ss")
+    keys = after["processed"].select(F.lit("key").alias("part"), F.col("key").alias("item"))
+    events_ = after["events"].select(F.lit("event"), F.concat_ws(" ", text(F.col("at")), F.array_join(F.array_sort("tokens"), " ")))
+    return keys.union(events_).union(after["watermark"].select(F.lit("watermark"), text(F.col("at")))).groupBy("part", "item").agg(F.count(F.lit(1)).alias("n"))
+
+
+def search_excluding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The three nearest vectors of every tenth one, without those of three labels."""
+    v = _vectors(spark, sf_dir)
+    found = vectors.neighbours(v.where("id % 10 = 0"), v.where("label not in (1, 2, 3)"), 3)
+    return found.select("id", "other", "label", F.round("sim", 6).alias("sim"))
+
+
 ALL: tuple[Callable[[SparkSession, str], DataFrame], ...] = (
     url_keys, page_bodies, title_keys, dates, text_chunks, topic_crosstab, clean_bodies, clean_losses, home_records, plain_markdown, excluded_lines,
     draft_lengths, within_length, draft_structure, rewrites, banned_counts, banned_places, folded_counts, sentiment_report, image_slots, gate_facts, gate_trace, gate_scores, gate_misses,
@@ -447,7 +549,8 @@ ALL: tuple[Callable[[SparkSession, str], DataFrame], ...] = (
     held_status, stream_first_seen, trend_keywords, record_scores, bm25_topk, round_robin, packs_of_four, lowest_quarter, signature_sizes, event_pairs,
     near_miss_pairs, history_matches, event_clusters, cluster_bonus, topic_components, bundles, centroid_labels, centroid_labels_loo, knn_labels,
     knn_confusion, knn_adoption, near_equal_vectors, probe_assignment, probe_coverage, value_spread, label_agreement, press_shares, newest_by_type,
-    flagship_select,
+    flagship_select, postprocessed, measured_lengths, draft_report, draft_summary, pending_contents, changed_status, name_parts, recently_used, unlisted,
+    size_buckets, left_places, recent_events, state_step, search_excluding,
 )
 
 

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from gristmill.operators.sets import append_processed, last_n
+
 
 def cutoff(last: Column, now: Column, lookback_days: int | None) -> Column:
     """From when on records are looked at: the last run, or further back by the look-back; two days without either."""
@@ -73,3 +76,42 @@ def held_status(held: DataFrame, processed: DataFrame, lanes: DataFrame, key: st
 def quota_day(time: Column, zone: str = "America/Los_Angeles") -> Column:
     """The day in whose quota an instant (UTC) falls."""
     return F.to_date(F.from_utc_timestamp(time, zone))
+
+
+def next_state(state: dict[str, DataFrame], keys: DataFrame, events: DataFrame, until: Column, now: Column, most_keys: int, keep_days: int) -> dict[str, DataFrame]:
+    """The state after a run, as tables: processed (seq, key), events (at, tokens), watermark (at).
+
+    New keys (seq, key) follow those known, and the last most_keys stay; events (tokens) get the time now and older ones
+    than keep_days go; the watermark never goes back.
+    """
+    processed = last_n(append_processed(state["processed"], keys.where("key <> ''"), "key", "seq"), "seq", most_keys)
+    kept = state["events"].where((F.col("at") >= now - F.make_dt_interval(F.lit(keep_days))) & (F.size("tokens") > 0))
+    fresh = events.where(F.size("tokens") > 0).select(now.alias("at"), F.array_sort("tokens").alias("tokens"))
+    return {"processed": processed, "events": kept.unionByName(fresh), "watermark": state["watermark"].select(moved_on(F.col("at"), until).alias("at"))}
+
+
+def write_state(state: dict[str, DataFrame], folder: str) -> str:
+    """Write the tables of a state as one version below folder and point CURRENT to it, last and in one step.
+
+    A run that is lost before that leaves the former state as it was. Returns the path of the version.
+    """
+    spark = next(iter(state.values())).sparkSession
+    version = f"{folder.rstrip('/')}/version-{uuid.uuid4().hex}"
+    for name, table in state.items():
+        table.write.parquet(f"{version}/{name}")
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    path = jvm.org.apache.hadoop.fs.Path
+    context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(path(folder).toUri(), conf)
+    spark.createDataFrame([(version,)], "version string").coalesce(1).write.text(f"{version}/_pointer")
+    files = path(version).getFileSystem(conf)
+    part = next(f.getPath() for f in files.listStatus(path(f"{version}/_pointer")) if f.getPath().getName().startswith("part-"))
+    options = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 1)
+    options[0] = jvm.org.apache.hadoop.fs.Options.Rename.OVERWRITE
+    context.rename(part, path(f"{folder.rstrip('/')}/CURRENT"), options)
+    return version
+
+
+def current_state(spark: SparkSession, folder: str, names: tuple[str, ...] = ("processed", "events", "watermark")) -> dict[str, DataFrame]:
+    """The tables of the version that CURRENT points to."""
+    version = spark.read.text(f"{folder.rstrip('/')}/CURRENT").first().value
+    return {n: spark.read.parquet(f"{version}/{n}") for n in names}
