@@ -80,8 +80,10 @@ def _firsts(keys: np.ndarray) -> np.ndarray:
     return np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]]) if len(keys) else np.zeros(0, int)
 
 
-def _pack(x: np.ndarray, cut: np.ndarray, some: list[int], kind: type) -> list[bytes]:
-    return [x[cut[k] : cut[k + 1]].astype(kind).tobytes() for k in some]
+def _pack(x: np.ndarray, cut: np.ndarray, some: list[int]) -> list[bytes]:
+    """Pieces of an array of whole numbers, in as few bytes each as the largest needs; that width comes first."""
+    kind = np.min_scalar_type(int(x.max())) if len(x) else np.dtype(np.uint8)
+    return [bytes([kind.itemsize]) + x[cut[k] : cut[k + 1]].astype(kind).tobytes() for k in some]
 
 
 def _dealt(train: DataFrame, order: int, shards: int) -> DataFrame:
@@ -105,8 +107,8 @@ def _dealt(train: DataFrame, order: int, shards: int) -> DataFrame:
         words, counts, part = [w[by_word] for w in words], counts[by_word], part[by_word]
         cut = np.searchsorted(part, np.arange(shards + 1))
         some = [k for k in range(shards) if cut[k] < cut[k + 1]]
-        columns = [pa.array(_pack(w, cut, some, np.uint64), pa.binary()) for w in words]
-        return pa.RecordBatch.from_arrays([pa.array(some, pa.int32()), *columns, pa.array(_pack(counts, cut, some, np.uint32), pa.binary())], ["part", *names, "counts"])
+        columns = [pa.array(_pack(w, cut, some), pa.binary()) for w in words]
+        return pa.RecordBatch.from_arrays([pa.array(some, pa.int32()), *columns, pa.array(_pack(counts, cut, some), pa.binary())], ["part", *names, "counts"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[list[np.ndarray]] = []
@@ -125,9 +127,9 @@ def _dealt(train: DataFrame, order: int, shards: int) -> DataFrame:
     return train.select(F.col("text").cast("string")).mapInArrow(run, f"part int, {', '.join(f'{n} binary' for n in names)}, counts binary")
 
 
-def _joined(p: pd.DataFrame, name: str, kind: type) -> np.ndarray:
-    """A column's packed arrays as one; the column is given up, so that no shard is held twice."""
-    return np.frombuffer(b"".join(p.pop(name)), kind)
+def _joined(p: pd.DataFrame, name: str) -> np.ndarray:
+    """A column's packed pieces as one array; the column is given up, so that no shard is held twice."""
+    return np.concatenate([np.zeros(0, np.uint8), *[np.frombuffer(x, f"u{x[0]}", offset=1) for x in p.pop(name)]])
 
 
 def _write(folder: str, name: str, **arrays: np.ndarray) -> None:
@@ -172,9 +174,9 @@ def _below(words: list[np.ndarray], occurs: np.ndarray, value: np.ndarray, parts
     some = [k for k in range(parts) if cut[k] < cut[k + 1]] or [0]
     out: dict[str, list] = {"part": some}
     for k in range(len(words) - 1):
-        out[f"w{k}"] = _pack(np.concatenate([r[1][k] for r in rows])[order], cut, some, np.uint64)
+        out[f"w{k}"] = _pack(np.concatenate([r[1][k] for r in rows])[order], cut, some)
     for f in FIELDS:
-        out[f] = _pack(np.concatenate([r[2].get(f, np.zeros(len(r[0]), _wide(f))) for r in rows])[order], cut, some, _wide(f))
+        out[f] = _pack(np.concatenate([r[2].get(f, np.zeros(len(r[0]), _wide(f))) for r in rows])[order], cut, some)
     out[_STATS] = [stats.tobytes()] + [b""] * (len(some) - 1)
     return pd.DataFrame(out)
 
@@ -186,7 +188,7 @@ def _told(value: np.ndarray) -> list[int]:
 def _count_top(p: pd.DataFrame, folder: str, order: int, parts: int) -> pd.DataFrame:
     """Write one shard of N-grams; the rows that it passes on."""
     part = int(p.part.iloc[0])
-    words, count = [_joined(p, f"w{k}", np.uint64) for k in range(order)], _joined(p, "counts", np.uint32)
+    words, count = [_joined(p, f"w{k}") for k in range(order)], _joined(p, "counts")
     keys = gram_keys(words)
     by_key = np.argsort(keys)
     keys = keys[by_key]
@@ -205,12 +207,12 @@ def _count_lower(p: pd.DataFrame, folder: str, level: int, order: int, parts: in
     """Write one range of n-grams of an order below the top; the rows that it passes on, at single words the sums."""
     part = int(p.part.iloc[0])
     stats = np.frombuffer(b"".join(p.pop(_STATS)), np.int64).reshape(-1, order, 4).sum(0)
-    words = [_joined(p, f"w{k}", np.uint64) for k in range(level)]
+    words = [_joined(p, f"w{k}").astype(np.uint64) for k in range(level)]
     keys = gram_keys(words)
     by_key = np.argsort(keys)
     keys = keys[by_key]
     first = _firsts(keys)
-    sums = {f: np.add.reduceat(_joined(p, f, _wide(f))[by_key], first, dtype=np.uint64) if len(first) else np.zeros(0, np.uint64) for f in FIELDS}
+    sums = {f: np.add.reduceat(_joined(p, f)[by_key], first, dtype=np.uint64) if len(first) else np.zeros(0, np.uint64) for f in FIELDS}
     words = [w[by_key[first]] for w in words]
     _write(folder, f"{level}-{part:06d}", keys=keys[first], **{f: v for f, v in sums.items() if f != "count" or level == 1})
     stats = stats.copy()
