@@ -111,3 +111,11 @@ def assign(pairs: DataFrame, least: float) -> DataFrame:
         taken = won if taken is None else taken.union(won)
         left = cut(left.join(won.select("q"), "q", "left_anti").join(won.select("i"), "i", "left_anti"))
     return taken if taken is not None else left.select("q", "i", "sim")
+
+
+def assign_again(pairs: DataFrame, recent: DataFrame, picked: DataFrame, least: float) -> DataFrame:
+    """(q, i, sim): assign without the recent and the picked (i); queries that got nothing may then have recent ones too."""
+    free = cut(pairs.join(picked.select("i").distinct(), "i", "left_anti"))
+    first = cut(assign(free.join(recent.select("i").distinct(), "i", "left_anti"), least))
+    again = assign(free.join(first.select("q"), "q", "left_anti").join(first.select("i"), "i", "left_anti"), least)
+    return first.select("q", "i", "sim").union(again.select("q", "i", "sim"))

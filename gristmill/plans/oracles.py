@@ -402,6 +402,73 @@ SEARCH_EXCLUDING = f"""WITH {_V}, s AS (SELECT a.id, b.id AS other, b.label, lis
 SELECT id, other, label, round(sim, 6) AS sim FROM s QUALIFY row_number() OVER (PARTITION BY id ORDER BY s.sim DESC, other) <= 3"""
 
 
+# --- lanes, pictures, replies, units
+
+PICTURE_CREDITS = """
+WITH p AS (SELECT string_split(url, '/')[3] AS host, page_id, lower(string_split(url, '/')[-1]) AS name FROM pages),
+c AS (SELECT host, min(page_id) AS seen, CASE WHEN contains(name, 'utm_source') THEN 'Feed' WHEN regexp_matches(name, '^[0-9]') THEN 'Number' WHEN contains(name, 'html') THEN 'AI 생성 이미지' ELSE '' END AS credit FROM p GROUP BY ALL),
+g AS (SELECT host, string_agg(credit, ', ' ORDER BY seen) FILTER (credit IN ('Feed', 'Number')) AS own, bool_or(credit LIKE 'AI%') AS drawn FROM c GROUP BY host)
+SELECT host, CASE WHEN own IS NULL THEN CASE WHEN drawn THEN '삽화는 AI로 만들었어요.' ELSE '' END ELSE '이미지 출처: ' || own || CASE WHEN drawn THEN ' · 일부 삽화는 AI로 만들었어요.' ELSE '' END END AS line FROM g"""
+ALT_TEXTS = f"""WITH {RECORDS}
+SELECT id, {_strip("CASE WHEN title = '' THEN 'picture' ELSE title END")} || ' (' || array_to_string(string_split(body, ' ')[:3], ', ') || ')' || CASE WHEN quality = 0 THEN '' ELSE ' — AI 생성 이미지' END AS alt FROM rec LEFT JOIN labels ON doc_id = id"""
+
+
+def _tidy(x: str, rounds: int = 4) -> str:
+    for _ in range(rounds):
+        x = rf"regexp_replace(regexp_replace({x}, '\s{{2,}}', ' ', 'g'), '\s+([,.])', '\1', 'g')"
+        x = rf"regexp_replace({x}, '\b(?:at|in|on|during|from|of|near|by)(?:\s+the)?(\s*[,.]|\s*$)', '\1', 'gi')"
+        x = rf"trim(regexp_replace({x}, '(?:\s*,){{2,}}', ',', 'g'), ' ,.')"
+    return x
+
+
+FILTERED_PROMPTS = f"""
+WITH t AS (SELECT conv_id, turn, text, list_transform(list_sort(list_transform(list_distinct(list_filter(list_transform(list_concat(['the', 'tion', 'x', ' an ', 'the'], string_split(text, ' ')[:2]), lambda w: {_strip("w")}), lambda w: length(w) >= 2)), lambda w: {{'n': -length(w), 't': w}})), lambda s: s.t) AS terms FROM conversations),
+o AS (SELECT *, list_reduce(list_prepend(text, terms), lambda a, w: regexp_replace(a, regexp_escape(w), '', 'gi')) AS bare FROM t)
+SELECT conv_id, turn, array_to_string(terms, '|') AS terms, CASE WHEN bare = text THEN trim(text, ' ,.') ELSE {_tidy("bare")} END AS text FROM o"""
+LANE_SETTINGS = """
+SELECT doc_id, 0 AS place, lang AS name, source || ',x' AS keywords, least(greatest(n_chars, 1), 100)::int AS display, greatest(doc_id, 1)::int AS lookback FROM documents
+UNION ALL SELECT doc_id, 1, source, source, 30, 2 FROM documents"""
+REPLY_LABELS = """
+WITH t AS (SELECT doc_id // 20 AS batch, (doc_id % 20)::int AS i, CASE WHEN quality = 1 THEN 'good' ELSE 'bad' END AS label, toxic, quality FROM labels)
+SELECT batch, i, label, substr(CASE WHEN quality = 1 THEN repeat(' good ', 12) ELSE repeat('bad', 12) END, 1, 40) AS why FROM t WHERE toxic = 0 AND i BETWEEN 1 AND 15"""
+LABELS_KEPT = """
+WITH t AS (SELECT user_id, arg_max(event_type, event_id) AS told FROM events GROUP BY user_id)
+SELECT coalesce(doc_id, user_id) AS id, CASE WHEN toxic = 1 OR told IS NULL THEN quality::varchar ELSE told END AS label, CASE WHEN toxic = 1 THEN 'person' ELSE 'model' END AS by FROM labels FULL JOIN t ON doc_id = user_id"""
+REALIGNED = """
+WITH g AS (SELECT user_id, event_type, list(event_id ORDER BY event_id DESC) AS ids FROM events GROUP BY ALL)
+SELECT user_id, event_type, array_to_string(ids[:2], ',') AS first, array_to_string(ids[3:], ',') AS rest FROM g"""
+SKIP_REASONS = """
+SELECT CASE WHEN event_type <> 'error' AND ts < TIMESTAMP '2024-01-11' THEN 'old' WHEN event_type = 'click' THEN 'done' WHEN value < 50 THEN 'small' ELSE 'open' END AS reason, count(*) AS n, count(*) FILTER (event_type = 'error') AS of_unknown_age FROM events GROUP BY 1"""
+RESET_NOTICES = """
+WITH b AS (SELECT d.doc_id AS id, lang, CASE WHEN l.doc_id IS NOT NULL THEN DATE '2024-01-01' + (d.doc_id % 60)::int END AS stamp FROM documents d LEFT JOIN labels l ON l.doc_id = d.doc_id)
+SELECT id, strftime(greatest(stamp, DATE '2024-01-31'), '%Y-%m-%d') AS stamp, CASE WHEN stamp >= DATE '2024-01-31' THEN lang ELSE 'nothing yet' END AS body FROM b"""
+CACHED_TEXTS = """
+WITH f AS (SELECT DISTINCT text FROM conversations WHERE turn = 0)
+SELECT 'known' AS part, conv_id || '/' || turn AS item FROM conversations WHERE text IN (FROM f)
+UNION ALL SELECT DISTINCT 'new', md5(text) FROM conversations WHERE text NOT IN (FROM f)"""
+_SENTENCES = "s AS (SELECT conv_id * 1000 + turn AS id, unnest(string_split(text, '. ')) AS text, generate_subscripts(string_split(text, '. '), 1) - 1 AS sentence FROM conversations)"
+_UNITS = f"""{_SENTENCES}, w AS (SELECT id, sentence, unnest(string_split(text, ' ')) AS lemma, generate_subscripts(string_split(text, ' '), 1) - 1 AS pos FROM s),
+u AS (SELECT id, lemma, sentence * 100000 + pos AS start, CASE WHEN lemma LIKE '%tion' THEN 'NN' WHEN lemma LIKE '%ing' THEN 'VV' WHEN length(lemma) > 9 THEN 'NN' ELSE 'XX' END AS base FROM w WHERE lemma <> '')"""
+UNIT_COUNTS = f"""WITH {_UNITS}
+SELECT id, count(*) FILTER (base <> 'XX') AS tokens, count(DISTINCT lemma) FILTER (base <> 'XX') AS distinct_tokens, count(*) FILTER (base = 'NN') AS nouns,
+  coalesce(round(count(DISTINCT lemma) FILTER (base <> 'XX') / nullif(count(*) FILTER (base <> 'XX'), 0), 6), 0.0) AS diversity FROM u GROUP BY id"""
+UNIT_TOP_WORDS = f"""WITH {_UNITS}, g AS (SELECT id, lemma AS word, count(*) AS n, min(start) AS seen FROM u WHERE base <> 'XX' GROUP BY ALL)
+SELECT id, row_number() OVER (PARTITION BY id ORDER BY n DESC, seen) AS rank, word, n, round(n / sum(n) OVER (PARTITION BY id), 6) AS density FROM g QUALIFY rank <= 3"""
+TEXT_STYLES = f"""WITH {_SENTENCES},
+k AS (SELECT *, {_strip("text")} AS bare FROM s), t AS (SELECT *, CASE WHEN regexp_matches(bare, '(tion|ment)$') THEN 'action' WHEN regexp_matches(bare, '(er|es|ed)$') THEN 'plain' WHEN regexp_matches(bare, 'ing$') THEN 'going' END AS style FROM k WHERE bare <> ''),
+g AS (SELECT id, style, count(*) AS n, min(sentence) AS seen FROM t WHERE style IS NOT NULL GROUP BY ALL),
+b AS (SELECT id, style, n / sum(n) OVER (PARTITION BY id) AS share FROM g QUALIFY row_number() OVER (PARTITION BY id ORDER BY n DESC, seen) = 1)
+SELECT id, a.sentences, a.mean_length, coalesce(b.style, '') AS style, coalesce(round(b.share, 6), 0.0) AS consistency FROM (SELECT id, count(*) AS sentences, round(sum(length(text)) / count(*), 6) AS mean_length FROM t GROUP BY id) a LEFT JOIN b USING (id)"""
+LEMMA_HITS = f"""WITH {_UNITS} SELECT id, start, start + 1 AS finish, lemma, CASE lemma WHEN 'ing' THEN 'claims' ELSE 'filler' END AS category, CASE lemma WHEN 'ing' THEN 'block' ELSE 'warn' END AS severity FROM u WHERE lemma IN ('tion', 'the', 'ing')"""
+LANE_BUNDLES = """
+WITH r AS (SELECT event_type AS lane, user_id, min(event_id) AS id, list(event_id) AS all_ids FROM events GROUP BY ALL),
+n AS (SELECT *, (row_number() OVER (PARTITION BY lane ORDER BY id) - 1) // 4 AS pack FROM r),
+b AS (SELECT lane, pack + 1 AS nth, min(id) AS bundle, string_agg(id, ',' ORDER BY id) AS ids, array_to_string(list_sort(flatten(list(all_ids))), ',') AS members, count(*) AS size FROM n GROUP BY lane, pack),
+h AS (SELECT lane, sum(size) FILTER (size < 4 OR nth > 5) AS held FROM b GROUP BY lane)
+SELECT lane, nth, bundle, lane || '#' || bundle || ' 외 3건' AS title, ids, members, coalesce(held, 0)::bigint AS held FROM b JOIN h USING (lane) WHERE size = 4 AND nth <= 5"""
+
+
 def oracle_sql() -> dict[str, str]:
-    """Names without SQL: plain_markdown (back-references), flagship_select (tested against a plain version)."""
+    """Names without SQL: plain_markdown (back-references); flagship_select, lane_selection, lane_sweep and fallback_assignment
+    (many rounds, tested against plain versions)."""
     return {k.lower(): v for k, v in globals().items() if k.isupper() and not k.startswith("_") and isinstance(v, str) and k not in ("RECORDS", "WHOLE", "G", "E", "T")}

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from gristmill.functions import cleaning, drafts, matching, sentiment, structure, text, wording
 from gristmill.operators import board, evaluation, events, greedy, ordering, scoring, sets, vectors
+from gristmill.plans import editorial
 from gristmill.plans.flagship import TABLES, facts, records, selected
 from gristmill.sources.shared import shared_folder
 from gristmill.streaming import incremental
@@ -405,6 +406,12 @@ def probe_assignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vectors.assign(_probes(spark, sf_dir), 0.05)
 
 
+def fallback_assignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Probes against vectors without the recently used, and for what is left open with them."""
+    v = _vectors(spark, sf_dir).select(F.col("id").alias("i"), "label")
+    return vectors.assign_again(_probes(spark, sf_dir), v.where("label >= 4").select("i"), v.where("label = 0").select("i"), 0.05)
+
+
 def probe_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
     best = _probes(spark, sf_dir).groupBy("i").agg(F.max_by("q", F.struct("sim", -F.col("q"))).alias("q"))
     probes = _vectors(spark, sf_dir).select(F.col("label").alias("probe")).distinct().union(spark.range(90, 92).toDF("probe"))
@@ -548,11 +555,11 @@ ALL: tuple[Callable[[SparkSession, str], DataFrame], ...] = (
     gate_sweep, dedupe_two_key, pool_of_users, unprocessed, held_over, per_user_cap, last_keys, lane_route, written_over, since_cutoff, retention,
     held_status, stream_first_seen, trend_keywords, record_scores, bm25_topk, round_robin, packs_of_four, lowest_quarter, signature_sizes, event_pairs,
     near_miss_pairs, history_matches, event_clusters, cluster_bonus, topic_components, bundles, centroid_labels, centroid_labels_loo, knn_labels,
-    knn_confusion, knn_adoption, near_equal_vectors, probe_assignment, probe_coverage, value_spread, label_agreement, press_shares, newest_by_type,
+    knn_confusion, knn_adoption, near_equal_vectors, probe_assignment, fallback_assignment, probe_coverage, value_spread, label_agreement, press_shares, newest_by_type,
     flagship_select, postprocessed, measured_lengths, draft_report, draft_summary, pending_contents, changed_status, name_parts, recently_used, unlisted,
     size_buckets, left_places, recent_events, state_step, search_excluding,
 )
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in ALL}
+    return {f.__name__: f for f in ALL + editorial.ALL}
