@@ -12,7 +12,7 @@ from gristmill.functions.text import strip
 # What is told of generated pictures, and the prepositions that are left over when a name goes.
 GENERATED = "AI 생성 이미지"
 CREDIT, CREDIT_TOO, CREDIT_ONLY = "이미지 출처: ", " · 일부 삽화는 AI로 만들었어요.", "삽화는 AI로 만들었어요."
-LOOSE = r"(?i)\b(?:at|in|on|during|from|of|near|by)(?:\s+the)?(?=\s*[,.]|\s*$)"
+LOOSE = r"(?i)(?<![\p{L}\p{N}_])(?:at|in|on|during|from|of|near|by)(?:\s+the)?(?=\s*[,.]|\s*$)"
 #: How often what is left over is cleaned again.
 ROUNDS = 4
 

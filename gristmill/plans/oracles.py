@@ -416,7 +416,7 @@ SELECT id, {_strip("CASE WHEN title = '' THEN 'picture' ELSE title END")} || ' (
 def _tidy(x: str, rounds: int = 4) -> str:
     for _ in range(rounds):
         x = rf"regexp_replace(regexp_replace({x}, '\s{{2,}}', ' ', 'g'), '\s+([,.])', '\1', 'g')"
-        x = rf"regexp_replace({x}, '\b(?:at|in|on|during|from|of|near|by)(?:\s+the)?(\s*[,.]|\s*$)', '\1', 'gi')"
+        x = rf"regexp_replace({x}, '(^|[^\pL\pN_])(?:at|in|on|during|from|of|near|by)(?:\s+the)?(\s*[,.]|\s*$)', '\1\2', 'gi')"
         x = rf"trim(regexp_replace({x}, '(?:\s*,){{2,}}', ',', 'g'), ' ,.')"
     return x
 
