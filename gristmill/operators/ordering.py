@@ -9,19 +9,37 @@ from pyspark.sql import functions as F
 from gristmill.operators.greedy import cut
 
 
+def running(df: DataFrame, keys: list[str], order: list[Column | str], value: Column, into: str) -> DataFrame:
+    """df with the running sum of value over the rows of a key up to each row, in order. No keys: over all rows.
+
+    Rows are dealt by range of keys and order, summed inside each part, and moved on by the sums of the key's parts before: no
+    key, however many rows it has, is in one task. Rows that order doesn't tell apart come in any order.
+    """
+    place = [*keys, *order]
+    dealt = df.withColumn("_value", value).withColumn("_tie", F.monotonically_increasing_id())
+    dealt = cut(dealt.repartitionByRange(*place, "_tie").sortWithinPartitions(*place, "_tie").withColumn("_row", F.monotonically_increasing_id()))
+    part = dealt.withColumn("_part", F.shiftright("_row", 33))
+    inside = part.withColumn("_sum", F.sum("_value").over(W.partitionBy("_part", *keys).orderBy("_row").rowsBetween(W.unboundedPreceding, W.currentRow)))
+    sums = part.groupBy("_part", *keys).agg(F.sum("_value").alias("_all"))
+    before = sums.withColumn("_before", F.coalesce(F.sum("_all").over(W.partitionBy(*keys).orderBy("_part").rowsBetween(W.unboundedPreceding, -1)), F.lit(0)))
+    before = before.select(F.col("_part").alias("_p"), *(F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)), "_before")
+    on = F.col("_part") == F.col("_p")
+    for i, k in enumerate(keys):
+        on = on & F.col(k).eqNullSafe(F.col(f"_k{i}"))
+    return inside.join(before, on).select(*df.columns, (F.col("_sum") + F.col("_before")).alias(into))
+
+
 def numbered(df: DataFrame, *order: Column | str, into: str = "rn") -> DataFrame:
     """df with 1, 2, 3 ... in order: dealt by range, numbered inside each part, and moved on by the sizes of the parts before.
 
-    order must tell all rows apart. The driver sees one number a part.
+    The sizes stay a table that is joined by part: nothing of it goes through the driver.
     """
-    dealt = cut(df.repartitionByRange(*order).withColumn("_part", F.spark_partition_id()))
-    sizes, at, before = dict(dealt.groupBy("_part").count().collect()), 0, {}
-    for part in sorted(sizes):
-        before[part], at = at, at + sizes[part]
-    if not before:
-        return dealt.drop("_part").withColumn(into, F.lit(0).cast("long"))
-    offset = F.element_at(F.create_map(*[F.lit(x) for pair in before.items() for x in pair]), F.col("_part"))
-    return dealt.withColumn(into, (F.row_number().over(W.partitionBy("_part").orderBy(*order)) + offset).cast("long")).drop("_part")
+    dealt = df.withColumn("_tie", F.monotonically_increasing_id()).repartitionByRange(*order, "_tie").sortWithinPartitions(*order, "_tie").drop("_tie")
+    dealt = cut(dealt.withColumn("_row", F.monotonically_increasing_id())).withColumn("_part", F.shiftright("_row", 33))
+    sizes = dealt.groupBy("_part").agg(F.min("_row").alias("_first"), F.count(F.lit(1)).alias("_n"))
+    before = F.coalesce(F.sum("_n").over(W.orderBy("_part").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+    shift = sizes.select("_part", (before - F.col("_first") + 1).alias("_shift"))
+    return dealt.join(shift, "_part").withColumn(into, (F.col("_row") + F.col("_shift")).cast("long")).drop("_part", "_row", "_shift")
 
 
 def round_robin(df: DataFrame, keyword: str, rank: str, seq: str, order: list[str]) -> DataFrame:
