@@ -1,9 +1,12 @@
 """Scans that accept rows in order under several quotas at once: of a picture's set, of a query, of a category's target.
 
 A row is accepted if, of each of its keys, fewer rows than its quota were accepted before it. What one quota turns away leaves room
-in the others, so no row's fate follows from its rank alone. The rows are decided in rounds: a row is safe when, even if all
-open rows before it were accepted, each of its keys still had room; safe rows are accepted, and rows behind a key's last place
-are out. The first open row is always safe, and a round decides at least as many rows as a quota has places.
+in the others, so no row's fate follows from its rank alone. The rows are decided in rounds of two kinds of decisions:
+
+* Over all rows: a row is safe when, even if all open rows before it were accepted, each of its keys still had room; safe rows
+  are accepted, and rows behind a key's last place are out.
+* The next HEAD rows, before which all is decided, are read one by one in one task. So a long chain of rows of which each waits for
+  the one before costs a round for HEAD rows, not for each row.
 
 A round needs one cut-off a key (the open row that would take its last place) instead of ranks of all rows: a minimum for quotas of
 one, a limited window up to 1,000, which Spark prunes before the shuffle, and numbering by range beyond. Sets, queries and
@@ -12,9 +15,11 @@ categories may each hold any share of the rows.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import reduce
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -24,6 +29,8 @@ from gristmill.operators.ordering import numbered, running
 
 #: Quotas up to this are found by a window that Spark limits before it shuffles.
 LIMITED = 1000
+#: Places of the order that a round reads one by one.
+HEAD = 20_000
 
 
 @dataclass(frozen=True)
@@ -86,6 +93,29 @@ def _full(k: int) -> Column:
     return F.col(f"k{k}").isNotNull() & (F.col(f"room{k}") <= 0) & (F.col("seq") > F.col(f"last{k}"))
 
 
+def _head(open_: DataFrame, quotas: list[Quota], size: int) -> DataFrame:
+    """(seq, head): whether each of the next `size` places is accepted. What comes before them is decided, so this is the scan itself."""
+    first = open_.agg(F.min("seq")).first()[0]
+    columns = ["seq", "fine", *(f"{c}{k}" for k in range(len(quotas)) for c in ("k", "room", "last"))]
+    takes = [q.read for q in quotas]
+
+    def read(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        rows = pd.concat(list(parts), ignore_index=True).sort_values("seq")
+        room: list[dict] = [{} for _ in takes]
+        won = []
+        for seq, fine, *cells in rows.itertuples(index=False, name=None):
+            keys = [(k, cells[3 * k]) for k in range(len(takes)) if cells[3 * k] is not None]
+            left = [room[k].setdefault(key, cells[3 * k + 1]) > 0 or seq < cells[3 * k + 2] for k, key in keys]
+            won.append(all(left))
+            if won[-1]:
+                for k, key in keys:
+                    room[k][key] -= bool(fine or takes[k])
+        yield pd.DataFrame({"seq": rows["seq"], "head": won})
+
+    near = open_.where(F.col("seq") < first + size).select(columns)
+    return near.repartition(1).mapInPandas(read, "seq long, head boolean")
+
+
 def scanned(df: DataFrame, order: list[Column | str], quotas: list[Quota], reason: Column | None = None) -> DataFrame:
     """df with verdict: accepted, or why not. reason: what is wrong with the row itself (null: nothing).
 
@@ -109,9 +139,10 @@ def scanned(df: DataFrame, order: list[Column | str], quotas: list[Quota], reaso
             edges = _cut_offs(open_, k, q, most[k]).select(F.col("key").alias(f"k{k}"), F.col("edge").alias(f"edge{k}"))
             marked = marked.join(edges, f"k{k}", "left")
             safe = safe & (F.col(f"k{k}").isNull() | F.col(f"edge{k}").isNull() | (F.col("seq") <= F.col(f"edge{k}")) | (F.col("seq") < F.col(f"last{k}")))
-        marked = cut(marked.withColumn("safe", safe).select("seq", "fine", *keys, *limits, "safe"))
-        new = marked.where("safe").drop("safe")
-        won, open_ = new if won is None else cut(won.union(new)), marked.where("not safe").drop("safe")
+        marked = marked.withColumn("safe", safe).join(_head(open_, quotas, HEAD), "seq", "left")
+        marked = cut(marked.select("seq", "fine", *keys, *limits, F.coalesce("head", "safe").alias("won"), (F.coalesce("head", "safe") | F.col("head").isNotNull()).alias("done")))
+        new = marked.where("won").drop("won", "done")
+        won, open_ = new if won is None else cut(won.union(new)), marked.where("not done").drop("won", "done")
 
     judged = _with_room(rows.withColumn("own", ~F.col("fine")), quotas, won)
     full = lambda test: [F.when(_full(k), F.lit(q.name)) for k, q in enumerate(quotas) if test(q)]

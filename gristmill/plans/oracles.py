@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from gristmill.config import LATIN, Events, Gate, Trend
 from gristmill.functions.text import TRACKING
+from gristmill.plans import scans
 
 G, E, T = Gate(), Events(), Trend()
 
@@ -471,4 +472,4 @@ SELECT lane, nth, bundle, lane || '#' || bundle || ' 외 3건' AS title, ids, me
 def oracle_sql() -> dict[str, str]:
     """Names without SQL: plain_markdown (back-references); flagship_select, lane_selection, lane_sweep and fallback_assignment
     (many rounds, tested against plain versions)."""
-    return {k.lower(): v for k, v in globals().items() if k.isupper() and not k.startswith("_") and isinstance(v, str) and k not in ("RECORDS", "WHOLE", "G", "E", "T")}
+    return {k.lower(): v for k, v in globals().items() if k.isupper() and not k.startswith("_") and isinstance(v, str) and k not in ("RECORDS", "WHOLE", "G", "E", "T")} | scans.oracle_sql()

@@ -28,9 +28,10 @@ def loop(rows, limits):
 
 
 @pytest.mark.parametrize("case", range(6))
-def test_against_a_loop(spark, case):
+def test_against_a_loop(spark, case, monkeypatch):
+    monkeypatch.setattr(quotas, "HEAD", [1, 7, 20_000][case % 3])
     rng = random.Random(case)
-    names, sets, queries, n = rng.choice([3, 40]), rng.choice([2, 9]), rng.choice([2, 5]), rng.choice([30, 120])
+    names, sets, queries, n = rng.choice([3, 40]), rng.choice([2, 9]), rng.choice([2, 5]), [12, 60, 400][case % 3]
     read = case % 2 == 1
     rows = []
     for i in range(n):
@@ -54,6 +55,7 @@ def test_large_quota_limits_by_column_and_no_rows(spark, monkeypatch):
     asked = [Quota("target", "c", "most", stops=True), Quota("duplicate", "name", 1, first=True)]
     assert {r.i: r.verdict for r in quotas.scanned(df, ["i"], asked).collect()} == want
     monkeypatch.setattr(quotas, "LIMITED", 10)
+    monkeypatch.setattr(quotas, "HEAD", 500)
     assert {r.i: r.verdict for r in quotas.scanned(df, ["i"], asked).collect()} == want
     assert quotas.scanned(df.limit(0), ["i"], asked).count() == 0
     unmet = quotas.scanned(df, ["i"], [Quota("target", "c", 5000, stops=True)])
