@@ -469,6 +469,49 @@ h AS (SELECT lane, sum(size) FILTER (size < 4 OR nth > 5) AS held FROM b GROUP B
 SELECT lane, nth, bundle, lane || '#' || bundle || ' 외 3건' AS title, ids, members, coalesce(held, 0)::bigint AS held FROM b JOIN h USING (lane) WHERE size = 4 AND nth <= 5"""
 
 
+_REPORT_SETTINGS = """c (st, md, title_min, title_max, body_min, min_chapters, short_share, max_paragraph, min_images, max_density, density_count, density_nouns, max_negative, max_sentence) AS (VALUES
+  (0, false, 15, 40, 1600, 3, 0.9, 500, 3, 0.08, 3, 50, 0.35, 90.0), (1, false, 5, 60, 300, 0, 0.9, 500, 3, 0.08, 3, 50, 0.35, 90.0), (2, true, 15, 40, 1600, 3, 0.9, 200, 1, 0.08, 3, 50, 0.35, 90.0), (4, false, 15, 40, 1600, 3, 0.9, 500, 3, 0.02, 2, 5, 0.05, 40.0))"""
+_CLOSE = "replace({}, ' ', '')"
+QUALITY_REPORTS = rf"""
+WITH {_UNITS}, {_REPORT_SETTINGS},
+d AS (SELECT id, f || text AS text, CASE WHEN id % 3 <> 0 THEN 'ona' END AS key, id % 5 AS st, text AS own FROM (SELECT id, text, CASE id % 6 WHEN 2 THEN '## ' || substr(text, 1, 12) || chr(10) WHEN 3 THEN '# ' || substr(text, 1, 30) || chr(10)
+    WHEN 4 THEN '![' || substr(text, 1, 15) || '](p.jpg)' || chr(10) || chr(10) WHEN 5 THEN '두 번째는 /* 소제목 */' || chr(10) || '- ' ELSE '' END AS f FROM (SELECT conv_id * 1000 + turn AS id, text FROM conversations))),
+l AS (SELECT *, list_filter(list_transform({_lines("text")}, lambda x: {_strip("x")}), lambda x: x <> '') AS lines,
+  list_filter(list_transform(regexp_split_to_array(regexp_replace(regexp_replace(text, '(?m)^\s{{0,3}}#{{1,6}}\s+.*$', '', 'g'), '!\[([^\]]*)\]\(([^)]*)\)', '', 'g'), '\n\s*\n'), lambda x: {_strip("regexp_replace(x, '[ ]*[" + chr(92) + "s]+', ' ', 'g')")}), lambda x: x <> '' AND x NOT LIKE '>%') AS blocks,
+  list_transform(regexp_extract_all(text, '(?m)^\s{{0,3}}##\s+(.+)$', 1), lambda x: {_strip("x")}) AS h2, regexp_extract_all(text, '!\[([^\]]*)\]\(([^)]*)\)', 1) AS alts FROM d),
+m AS (SELECT l.*, c.* EXCLUDE (st), coalesce(md, false) AS mark, CASE WHEN regexp_matches(text, '(?m)^\s{{0,3}}#\s+(.+)$') THEN {_strip("regexp_extract(text, '(?m)^" + chr(92) + "s{0,3}#" + chr(92) + "s+(.+)$', 1)")} ELSE lines[1] END AS title,
+  list_transform(list_filter(lines, lambda x: contains(x, '/* 소제목 */')), lambda x: trim(replace(x, '/* 소제목 */', ''))) AS marked, list_filter(lines, lambda x: regexp_matches(x, '^(두) 번째는')) AS ordinal,
+  list_filter(lines, lambda x: regexp_matches(x, '^[0-9]{{1,2}}[.)]?(\s|$)') AND NOT regexp_full_match(x, '[0-9]{{1,2}}')) AS numbered FROM l LEFT JOIN c ON c.st = l.st),
+n AS (SELECT *, CASE WHEN mark THEN h2 WHEN len(marked) > 0 THEN marked WHEN len(ordinal) > 0 THEN ordinal ELSE numbered END AS chapters, list_sum(list_transform(lines, lambda x: length(x)))::bigint AS body_chars, len(lines) AS lines_, list_max(list_transform(lines, lambda x: length(x))) AS longest_line,
+  len(list_filter(lines, lambda x: length(x) <= 20)) / len(lines) AS share, len(regexp_extract_all(text, '(?m)^\s{{0,3}}#{{1,6}}\s+.*$')) AS headings, len(regexp_extract_all(text, '(?m)^\s{{0,3}}[-*•]\s+')) AS bullets,
+  coalesce(list_max(list_transform(blocks, lambda x: length(x))), 0) AS longest_paragraph, {_CLOSE.format("title")} AS close_title, {_CLOSE.format("array_to_string(blocks[1:2], ' ')")} AS intro FROM m),
+e AS (SELECT *, CASE WHEN key IS NOT NULL THEN contains(close_title, key) END AS in_title, CASE WHEN key IS NOT NULL THEN strpos(close_title, key) BETWEEN 1 AND 16 END AS in_head, CASE WHEN key IS NOT NULL THEN contains(intro, key) END AS in_intro,
+  CASE WHEN key IS NOT NULL THEN len(list_filter(chapters, lambda x: contains({_CLOSE.format("x")}, key))) END AS in_chapters FROM n),
+wc AS (SELECT id, count(*) FILTER (base <> 'XX') AS tokens, count(*) FILTER (base = 'NN') AS nouns, coalesce(round(count(DISTINCT lemma) FILTER (base <> 'XX') / nullif(count(*) FILTER (base <> 'XX'), 0), 6), 0.0) AS diversity FROM u GROUP BY id),
+tg AS (SELECT id, lemma AS word, count(*) AS n, min(start) AS seen FROM u WHERE base <> 'XX' GROUP BY ALL),
+tw AS (SELECT id, word, n, round(n / sum(n) OVER (PARTITION BY id), 6) AS density, row_number() OVER (PARTITION BY id ORDER BY n DESC, seen) AS rank FROM tg),
+tk AS (SELECT tw.id, list('overused ' || word || ' ' || n ORDER BY rank) AS often FROM tw JOIN e USING (id) JOIN wc USING (id) WHERE rank <= 15 AND nouns >= density_nouns AND density > max_density AND n >= density_count GROUP BY tw.id),
+sk AS (SELECT *, {_strip("text")} AS bare FROM s), st AS (SELECT *, CASE WHEN regexp_matches(bare, '(tion|ment)$') THEN 'action' WHEN regexp_matches(bare, '(er|es|ed)$') THEN 'plain' WHEN regexp_matches(bare, 'ing$') THEN 'going' END AS style FROM sk WHERE bare <> ''),
+sg AS (SELECT id, style, count(*) AS n, min(sentence) AS seen FROM st WHERE style IS NOT NULL GROUP BY ALL),
+sb AS (SELECT id, style, n / sum(n) OVER (PARTITION BY id) AS share FROM sg QUALIFY row_number() OVER (PARTITION BY id ORDER BY n DESC, seen) = 1),
+ss AS (SELECT id, a.mean_length, coalesce(sb.style, '') AS style, coalesce(round(sb.share, 6), 0.0) AS consistency FROM (SELECT id, round(sum(length(text)) / count(*), 6) AS mean_length FROM st GROUP BY id) a LEFT JOIN sb USING (id)),
+sw AS (SELECT id, regexp_extract_all(lower(text), '\p{{L}}+') AS words FROM s),
+sn AS (SELECT id, round(count(*) FILTER (len(list_filter(words, lambda x: x IN ('de', 'und'))) - len(list_filter(words, lambda x: x IN ('the', 'que'))) < -0.5) / count(*), 4) AS negative FROM sw GROUP BY id),
+b AS (SELECT id, len(regexp_extract_all(lower(text), 'ationi|eaux')) AS block, len(regexp_extract_all(lower(text), 'und|and the|de la')) AS warn FROM d),
+x AS (SELECT e.*, st IS NOT NULL AND md IS NULL AS broken, block, block + warn AS banned, tokens, diversity, mean_length, style, consistency, negative, coalesce(often, []) AS often FROM e LEFT JOIN wc USING (id) LEFT JOIN tk USING (id) LEFT JOIN ss USING (id) LEFT JOIN sn USING (id) JOIN b USING (id)),
+y AS (SELECT *, list_concat(often, list_filter([CASE WHEN tokens > 0 AND diversity < 0.35 THEN 'few different words' END, CASE WHEN style <> '' AND consistency < 0.9 THEN 'mixed style ' || style END, CASE WHEN negative > max_negative THEN 'negative' END,
+  CASE WHEN mean_length > max_sentence THEN 'long sentences' END], lambda z: z IS NOT NULL), list_transform(list_filter(list_concat([CASE WHEN length(title) < title_min THEN 'title short ' || length(title) END, CASE WHEN length(title) > title_max THEN 'title long ' || length(title) END,
+  CASE WHEN body_chars < body_min THEN 'body short ' || body_chars END, CASE WHEN body_chars > 2800 THEN 'body long ' || body_chars END, CASE WHEN len(chapters) < min_chapters THEN 'chapters ' || len(chapters) END, CASE WHEN NOT mark AND len(chapters) < min_chapters AND len(ordinal) >= min_chapters THEN 'chapters unmarked ' || len(ordinal) END,
+  CASE WHEN NOT mark AND headings > 0 THEN 'headings ' || headings END, CASE WHEN NOT mark AND bullets > 0 THEN 'bullets ' || bullets END, CASE WHEN NOT mark AND round(share, 4) < 0.9 THEN 'long lines ' || longest_line END,
+  CASE WHEN mark AND len(list_filter(blocks, lambda z: length(z) > max_paragraph)) > 0 THEN 'long paragraphs ' || len(list_filter(blocks, lambda z: length(z) > max_paragraph)) END, CASE WHEN mark AND len(alts) < min_images THEN 'images ' || len(alts) END],
+  CASE WHEN mark THEN list_transform(alts, lambda z: CASE WHEN trim(z) = '' THEN 'alt empty' WHEN length(trim(z)) < 20 THEN 'alt short ' || length(trim(z)) END) ELSE [] END, [CASE WHEN NOT in_title THEN 'keyword not in title' END, CASE WHEN NOT in_intro THEN 'keyword not in intro' END]), lambda z: z IS NOT NULL), lambda z: 'structure: ' || z)) AS warnings FROM x)
+SELECT id, CASE WHEN broken THEN 'settings' END AS error, CASE WHEN NOT broken THEN block = 0 END AS passed, CASE WHEN NOT broken THEN banned END AS banned, CASE WHEN NOT broken THEN array_to_string(warnings, '; ') END AS warnings, CASE WHEN NOT broken THEN title END AS title,
+  CASE WHEN NOT broken THEN array_to_string(chapters, '; ') END AS chapters, CASE WHEN NOT broken THEN body_chars END AS body_chars, CASE WHEN NOT broken THEN lines_ END AS lines, CASE WHEN NOT broken THEN round(share, 4) END AS short_share, CASE WHEN NOT broken THEN longest_line END AS longest_line,
+  CASE WHEN NOT broken THEN headings END AS headings, CASE WHEN NOT broken THEN bullets END AS bullets, CASE WHEN NOT broken THEN len(alts) END AS images, CASE WHEN NOT broken THEN len(blocks) END AS paragraphs, CASE WHEN NOT broken THEN longest_paragraph END AS longest_paragraph,
+  CASE WHEN NOT broken THEN in_title END AS in_title, CASE WHEN NOT broken THEN in_head END AS in_head, CASE WHEN NOT broken THEN in_intro END AS in_intro, CASE WHEN NOT broken THEN in_chapters END AS in_chapters, CASE WHEN NOT broken THEN diversity END AS diversity,
+  CASE WHEN NOT broken THEN style END AS style, CASE WHEN NOT broken THEN consistency END AS consistency, CASE WHEN NOT broken THEN mean_length END AS mean_length, CASE WHEN NOT broken THEN negative END AS negative FROM y"""
+
+
 def oracle_sql() -> dict[str, str]:
     """Names without SQL: plain_markdown (back-references); flagship_select, lane_selection, lane_sweep and fallback_assignment
     (many rounds, tested against plain versions)."""
