@@ -32,19 +32,6 @@ def _best(df: DataFrame, id_col: str = "id") -> DataFrame:
     return r.where("rn = 1").select(id_col, F.col("candidate").alias("label"), F.col("sim").alias("score"), (F.col("sim") - F.coalesce("next", F.lit(0.0))).alias("margin"))
 
 
-def centroid_predict(df: DataFrame, leave_out: bool = False) -> DataFrame:
-    """Predicted class of (id, label, v) by the renormalised class means; with leave_out, a vector isn't part of its own mean.
-
-    Every vector meets every class, however many there are; of each part of the pairs only the best two classes of a vector move.
-    """
-    sums = class_sums(df).select(F.col("label").alias("candidate"), "n", "total")
-    pair = df.crossJoin(sums)
-    own = F.lit(leave_out) & (F.col("label") == F.col("candidate"))
-    mean = F.when(own, F.when(F.col("n") > 1, F.zip_with("total", "v", lambda s, x: (s - x) / (F.col("n") - 1)))).otherwise(F.transform("total", lambda s: s / F.col("n")))
-    pair = pair.withColumn("mean", mean).withColumn("sim", dot(F.col("mean"), F.col("v")) / F.nullif(norm(F.col("mean")), F.lit(0.0)))
-    return _best(pair.where("sim is not null"))
-
-
 BLOCK = 4096
 
 
@@ -83,6 +70,41 @@ def neighbours(queries: DataFrame, anchors: DataFrame, k: int, least: float | No
     return found.withColumn("rn", F.row_number().over(W.partitionBy("id").orderBy(F.desc("sim"), "other"))).where(F.col("rn") <= k).drop("rn")
 
 
+def centroid_predict(df: DataFrame, leave_out: bool = False) -> DataFrame:
+    """Predicted class of (id, label, v) by the renormalised class means; with leave_out, a vector isn't part of its own mean.
+
+    Blocks of vectors meet blocks of class sums, one task a pair of blocks; a task gives the best two classes of each vector, and
+    those of its blocks are merged. A mean that is zero, and one's own class if nobody else is in it, takes no part.
+    """
+    q, nq = _blocks(df.select("id", "label", "v"))
+    sums = class_sums(df).select(F.col("label").alias("id"), "n", "total")
+    c, nc = _blocks(cut(sums))
+    q = q.withColumnRenamed("block", "with").withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(nc - 1))))
+    c = c.withColumn("with", F.explode(F.sequence(F.lit(0), F.lit(nq - 1)))).withColumnRenamed("id", "candidate")
+
+    def run(x: pd.DataFrame, y: pd.DataFrame) -> pd.DataFrame:
+        out = pd.DataFrame({"id": [], "candidate": [], "sim": []})
+        if not len(x) or not len(y):
+            return out
+        v, total, names = np.stack(x.v).astype(float), np.stack(y.total).astype(float), y.candidate.to_numpy()
+        products, size = v @ total.T, np.sqrt((total * total).sum(1))
+        with np.errstate(divide="ignore", invalid="ignore"):
+            sims = np.where(size > 0, products / size, -np.inf)
+            if leave_out:
+                at = np.array([np.flatnonzero(names == label)[0] if (names == label).any() else -1 for label in x.label])
+                for i in np.flatnonzero(at >= 0):
+                    rest = total[at[i]] - v[i]
+                    length = np.sqrt(rest @ rest)
+                    sims[i, at[i]] = rest @ v[i] / length if y.n.iloc[at[i]] > 1 and length > 0 else -np.inf
+        order = np.lexsort((np.broadcast_to(names, sims.shape), -sims), axis=1)[:, :2]
+        best = np.take_along_axis(sims, order, 1)
+        keep = np.isfinite(best)
+        return pd.DataFrame({"id": np.repeat(x.id.to_numpy(), keep.sum(1)), "candidate": names[order][keep], "sim": best[keep]})
+
+    kind = {c_: t for c_, t in df.dtypes}
+    return _best(q.groupBy("block", "with").cogroup(c.groupBy("block", "with")).applyInPandas(run, f"id {kind['id']}, candidate {kind['label']}, sim double"))
+
+
 def knn_vote(queries: DataFrame, anchors: DataFrame, k: int = 5) -> DataFrame:
     """(id, label, score, margin): the class with the largest share of the k nearest anchors' positive similarities."""
     near = neighbours(queries, anchors, k).withColumn("w", F.greatest("sim", F.lit(0.0)))
@@ -90,6 +112,23 @@ def knn_vote(queries: DataFrame, anchors: DataFrame, k: int = 5) -> DataFrame:
     return _best(votes.select("id", F.col("label").alias("candidate"), F.coalesce(F.col("w") / F.nullif(F.col("all"), F.lit(0.0)), F.lit(0.0)).alias("sim")))
 
 
+def vote_sweep(df: DataFrame, ks: list[int], centroid: bool = True) -> DataFrame:
+    """(method, k, n, correct, sure): how many of (id, label, v) are told right by the others, for votes of each k and by class means (k null).
+
+    sure: those told right by a margin of a tenth or more. The neighbours are looked for once, for the largest k; smaller ones are runs
+    of the same table, so a sweep costs no search of its own.
+    """
+    near = cut(neighbours(df, df, max(ks)).withColumn("rn", F.row_number().over(W.partitionBy("id").orderBy(F.desc("sim"), "other"))).withColumn("w", F.greatest("sim", F.lit(0.0))))
+    each = near.select("id", "label", "w", F.explode(F.filter(F.array(*(F.lit(k) for k in sorted(set(ks)))), lambda k: k >= F.col("rn"))).alias("k"))
+    votes = each.groupBy("id", "k", "label").agg(F.sum("w").alias("w")).withColumn("all", F.sum("w").over(W.partitionBy("id", "k")))
+    share = F.coalesce(F.col("w") / F.nullif(F.col("all"), F.lit(0.0)), F.lit(0.0))
+    told = _best(votes.select(F.struct("id", "k").alias("id"), F.col("label").alias("candidate"), share.alias("sim"))).select("id.id", "id.k", F.lit("votes").alias("method"), F.col("label").alias("told"), "margin")
+    if centroid:
+        told = told.unionByName(centroid_predict(df, leave_out=True).select("id", F.lit(None).cast("int").alias("k"), F.lit("means").alias("method"), F.col("label").alias("told"), "margin"))
+    right = F.col("told") == F.col("label")
+    return told.join(df.select("id", "label"), "id").groupBy("method", "k").agg(F.count(F.lit(1)).alias("n"), F.count_if(right).alias("correct"), F.count_if(right & (F.col("margin") >= 0.1)).alias("sure"))
+
+
 def near_equal(df: DataFrame, least: float) -> DataFrame:
     """(a, b, sim): pairs with a < b and a product of more than least."""
     return neighbours(df, df.withColumn("label", F.lit(0).cast("long")), 0, least).select(F.col("id").alias("a"), F.col("other").alias("b"), "sim")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from gristmill.config import LATIN, Events, Gate, Trend
 from gristmill.functions.text import TRACKING
-from gristmill.plans import scans
+from gristmill.plans import drafting, scans
 
 G, E, T = Gate(), Events(), Trend()
 
@@ -512,6 +512,53 @@ SELECT id, CASE WHEN broken THEN 'settings' END AS error, CASE WHEN NOT broken T
   CASE WHEN NOT broken THEN style END AS style, CASE WHEN NOT broken THEN consistency END AS consistency, CASE WHEN NOT broken THEN mean_length END AS mean_length, CASE WHEN NOT broken THEN negative END AS negative FROM y"""
 
 
+_WORDS, _POINTS = "len(regexp_extract_all({}, '[A-Za-z0-9'']+'))", "len(regexp_extract_all({}, '[,.:;()-]'))"
+
+
+def _tokens_of(x: str) -> str:
+    return f"(round_even({_WORDS.format(x)} * 1.3::double, 0) + {_POINTS.format(x)})::bigint"
+
+
+_T = drafting.TEXTS
+_PART = lambda p, t, when="true": f"CASE WHEN {when} THEN {{'p': {p}, 't': {t}}} END"
+_CHOICE = " ".join(f"WHEN {_tokens_of(f't{p}')} <= 40 OR n{p} <= 2 THEN t{p}" for p in range(7, 0, -1))
+PROMPTS = f"""
+WITH t AS (SELECT conv_id * 1000 + turn AS id, turn % 2 = 0 AS person, (conv_id * 1000 + turn) % 3 <> 0 AS own, role, text, {_strip("regexp_replace(" + _strip("split_part(text, '.', 1)") + ", '[.]+$', '')")} AS scene, coalesce(string_split(text, ' ')[2], '') AS mood FROM conversations),
+p AS (SELECT id, CASE WHEN scene = '' THEN [] ELSE list_filter([{_PART(1, "scene")}, {_PART(2, f"'{_T['dress']}'", "own AND person")}, {_PART(4, f"'{_T['place']}'", "own AND person AND NOT regexp_matches(lower(scene), 'wall|ation')")},
+  {_PART(2, f"'{_T['setting']}'", "own AND NOT person AND NOT regexp_matches(lower(scene), 'tion|eaux')")}, {_PART(3, f"CASE WHEN person THEN '{_T['somebody']}' ELSE '{_T['nobody']}' END")}, {_PART(5, f"'{_T['style']}'")},
+  {_PART(6, _strip("regexp_replace(" + _strip("mood") + ", '[.]+$', '')"), "mood <> ''")}, {_PART(7, "role || ' shot'")}], lambda x: x IS NOT NULL) END AS parts FROM t),
+q AS (SELECT id, {", ".join(f"array_to_string(list_transform(list_filter(parts, lambda x: x.p <= {k}), lambda x: x.t), ', ') AS t{k}, len(list_filter(parts, lambda x: x.p <= {k})) AS n{k}" for k in range(1, 8))} FROM p),
+r AS (SELECT id, CASE {_CHOICE} ELSE t1 END AS prompt FROM q)
+SELECT id, prompt, {_tokens_of("prompt")} AS tokens FROM r"""
+NEGATIVE_PROMPTS = f"""
+WITH w AS (SELECT conv_id * 1000 + turn AS id, turn, list_filter(list_transform(string_split(text, ' '), lambda x: {_strip("x")}), lambda x: x <> '') AS asked FROM conversations),
+f AS (SELECT id, {list(drafting.FIXED)} AS fixed, list_filter(asked, lambda x, i: list_position(list_transform(asked, lambda y: lower(y)), lower(x)) = i AND NOT list_contains({list(drafting.FIXED)}, lower(x)) AND NOT (turn % 2 = 0 AND list_contains({list(drafting.CONFLICTS)}, lower(x)))) AS more FROM w),
+n AS (SELECT id, list_concat(fixed, more) AS terms, unnest(range(1, len(fixed) + len(more) + 1)) AS k FROM f),
+c AS (SELECT id, array_to_string(terms[1:k], ', ') AS prompt, k FROM n)
+SELECT id, prompt, k::int AS terms FROM c WHERE k <= 7 OR {_tokens_of("prompt")} <= 30 QUALIFY row_number() OVER (PARTITION BY id ORDER BY k DESC) = 1"""
+CHAPTER_SHARES = """
+WITH l AS (SELECT doc_id, list_transform(list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: x <> ''), lambda x: length(x)) AS lines, greatest(900, least(1800, floor(length(coalesce(text, '')) * 1.8)::int)) AS target FROM documents),
+i AS (SELECT doc_id, target, unnest(lines[1:12]) AS x, generate_subscripts(lines[1:12], 1) AS i, least(len(lines), 12) AS n FROM l),
+o AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY x DESC, i DESC) AS rn, sum(x) OVER (PARTITION BY doc_id ORDER BY x DESC, i DESC) - x AS above FROM i),
+m AS (SELECT doc_id, coalesce(min(rn) FILTER (x * (n - rn + 1) <= target - above), any_value(n) + 1) AS stop FROM o GROUP BY doc_id),
+s AS (SELECT o.*, rn >= stop AS shares, target - coalesce(sum(x) FILTER (rn < stop) OVER (PARTITION BY o.doc_id), 0) AS rest, n - stop + 1 AS many, sum((rn >= stop)::int) OVER (PARTITION BY o.doc_id ORDER BY i) AS nth FROM o JOIN m ON m.doc_id = o.doc_id),
+z AS (SELECT doc_id, string_agg(CASE WHEN shares THEN rest // many + (nth <= rest % many)::int ELSE x END::bigint::varchar, ',' ORDER BY i) AS shares FROM s GROUP BY doc_id)
+SELECT l.doc_id, CASE WHEN len(lines) > 0 THEN greatest(100, floor((target - 650) / len(lines)))::bigint END AS share, coalesce(z.shares, '') AS shares FROM l LEFT JOIN z ON z.doc_id = l.doc_id"""
+VOTE_SWEEP = f"""
+WITH {_V}, near AS MATERIALIZED (SELECT a.id, a.label AS truth, b.label, greatest(list_inner_product(a.v, b.v), 0) AS w, row_number() OVER (PARTITION BY a.id ORDER BY list_inner_product(a.v, b.v) DESC, b.id) AS place FROM v a JOIN v b ON a.id <> b.id QUALIFY place <= 9),
+votes AS (SELECT id, truth, k, label, sum(w) AS w FROM near JOIN (SELECT unnest([1, 3, 5, 9]) AS k) g ON place <= k GROUP BY ALL),
+shares AS (SELECT *, coalesce(w / nullif(sum(w) OVER (PARTITION BY id, k), 0), 0) AS sim FROM votes),
+told AS (SELECT id, truth, k, label, sim - coalesce(lead(sim) OVER (PARTITION BY id, k ORDER BY sim DESC, label), 0) AS margin, row_number() OVER (PARTITION BY id, k ORDER BY sim DESC, label) AS rn FROM shares),
+means AS ({CENTROID_LABELS_LOO})
+SELECT 'votes' AS method, k::bigint AS k, count(*) AS n, count(*) FILTER (label = truth) AS correct, count(*) FILTER (label = truth AND margin >= 0.1) AS sure FROM told WHERE rn = 1 GROUP BY k
+UNION ALL SELECT 'means', NULL, count(*), count(*) FILTER (means.label = v.label), count(*) FILTER (means.label = v.label AND margin >= 0.1) FROM means JOIN v ON v.id = means.id"""
+LABEL_STORE = f"""
+WITH u AS (SELECT * FROM ({URL_KEYS})), p AS (SELECT pages.page_id, canonical AS key FROM pages JOIN u ON u.page_id = pages.page_id),
+a AS (SELECT key, 'l' || (page_id % 4) AS label, page_id % 2 AS batch, page_id FROM p UNION ALL SELECT key, 'again', 2, page_id FROM p WHERE page_id % 4 < 2),
+z AS (SELECT key, label FROM a QUALIFY row_number() OVER (PARTITION BY key ORDER BY batch DESC, page_id DESC) = 1)
+SELECT label, count(*) AS n, count(DISTINCT key) AS keys FROM z GROUP BY label"""
+
+
 def oracle_sql() -> dict[str, str]:
     """Names without SQL: plain_markdown (back-references); flagship_select, lane_selection, lane_sweep and fallback_assignment
     (many rounds, tested against plain versions)."""
