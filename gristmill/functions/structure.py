@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from gristmill.functions.text import any_of, paragraphs, squash, strip
@@ -79,7 +80,7 @@ def structure(text: Column, keyword: Column) -> Column:
     paras = paragraphs(text)
     title = F.coalesce(F.get(paras, F.lit(0)), F.lit(""))
     close, key = squash(title), squash(keyword)
-    rest = F.array_join(F.slice(paras, 2, 1000000), "\n")
+    rest = F.array_join(F.slice(paras, F.lit(2), F.size(paras)), "\n")
     in_title, in_head = F.contains(close, key), F.contains(F.substring(close, 1, 15), key)
     in_intro = F.contains(squash(F.coalesce(F.get(paras, F.lit(1)), F.lit(""))), key)
     n = F.regexp_count(squash(rest), F.concat(F.lit("\\Q"), key, F.lit("\\E"))).cast("long")
@@ -101,14 +102,18 @@ def banned_counts(df: DataFrame, column: str, categories: list[tuple[str, str, t
 def banned_places(df: DataFrame, column: str, categories: list[tuple[str, str, tuple[str, ...]]]) -> DataFrame:
     """(id, category, severity, start, finish, matched): places without overlaps inside a category; the longer first word wins.
 
-    Offsets are sums of the pieces between matches and the matches, as Spark tells no offsets of all matches.
+    Offsets are running sums of the pieces between matches and the matches, as Spark tells no offsets of all matches; a window by row
+    adds them up, so the cost is that of sorting a text's places. Texts, which may repeat an id, are told apart by a number.
     """
     out = None
+    df = df.withColumn("_row", F.monotonically_increasing_id())
+    upto = W.partitionBy("_row").orderBy("k").rowsBetween(W.unboundedPreceding, W.currentRow)
     for name, severity, words in categories:
         pattern = "(?i)" + any_of(tuple(sorted(words, key=lambda w: (-len(w), w))))
-        hit = df.where(F.col(column).rlike(pattern)).select("id", F.regexp_extract_all(column, F.lit(f"({pattern})"), F.lit(1)).alias("m"), F.split(column, pattern, -1).alias("p"))
-        step = F.zip_with(F.slice("p", F.lit(1), F.size("m")), "m", lambda p, m: F.struct(F.length(p).alias("p"), F.length(m).alias("m"), m.alias("t")))
-        at = F.transform(step, lambda x, i: F.struct(F.aggregate(F.slice(step, F.lit(1), i), F.lit(0), lambda a, y: a + y["p"] + y["m"]).alias("before"), x["p"].alias("p"), x["m"].alias("m"), x["t"].alias("t")))
-        places = hit.select("id", F.explode(at).alias("x")).select("id", F.lit(name).alias("category"), F.lit(severity).alias("severity"), (F.col("x.before") + F.col("x.p")).cast("long").alias("start"), (F.col("x.before") + F.col("x.p") + F.col("x.m")).cast("long").alias("finish"), F.col("x.t").alias("matched"))
+        hit = df.where(F.col(column).rlike(pattern)).select("id", "_row", F.regexp_extract_all(column, F.lit(f"({pattern})"), F.lit(1)).alias("m"), F.split(column, pattern, -1).alias("p"))
+        pieces = F.zip_with(F.slice("p", F.lit(1), F.size("m")), "m", lambda p, m: F.struct(F.length(p).alias("p"), m.alias("t")))
+        x = hit.select("id", "_row", F.posexplode(pieces).alias("k", "x")).select("id", "_row", "k", "x.p", "x.t")
+        x = x.withColumn("finish", F.sum(F.col("p") + F.length("t")).over(upto))
+        places = x.select("id", F.lit(name).alias("category"), F.lit(severity).alias("severity"), (F.col("finish") - F.length("t")).alias("start"), "finish", F.col("t").alias("matched"))
         out = places if out is None else out.union(places)
     return out

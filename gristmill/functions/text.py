@@ -11,12 +11,13 @@ from pyspark.sql.types import StringType
 
 #: Query keys that only track.
 TRACKING = tuple("utm_source utm_medium utm_campaign utm_term utm_content fbclid gclid igshid spm ref referer referrer from sid cid s_kwcid n_media n_query n_rank".split())
-BLANK = r"(?U)^\s+|\s+$"
+#: White space of any script.
+WHITE = "\t\n\x0b\x0c\r \x85\xa0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + "\u2028\u2029\u202f\u205f\u3000"
 
 
 def strip(c: Column) -> Column:
     """Without white space of any script at both ends."""
-    return F.regexp_replace(c, BLANK, "")
+    return F.btrim(c, F.lit(WHITE))
 
 
 def squash(c: Column) -> Column:

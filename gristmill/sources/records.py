@@ -69,7 +69,7 @@ def search_results(responses: DataFrame, keywords: list[str]) -> DataFrame:
     order = F.array_position(F.array(*[F.lit(k) for k in keywords]), F.col("keyword"))
     it = responses.select("keyword", order.alias("k"), F.posexplode("items").alias("pos", "i"))
     url = F.coalesce(F.nullif(F.col("i.originallink"), F.lit("")), F.nullif(F.col("i.link"), F.lit("")))
-    df = it.select(strip_tags(F.col("i.title")).alias("title"), url.alias("url"), strip_tags(F.col("i.description")).alias("summary"), mail_time(F.col("i.pubDate")).alias("published"), F.col("keyword").alias("search_keyword"), (F.col("pos") + 1).alias("search_rank"), (F.col("k") * 1000 + F.col("pos")).cast("long").alias("seq"))
+    df = it.select(strip_tags(F.col("i.title")).alias("title"), url.alias("url"), strip_tags(F.col("i.description")).alias("summary"), mail_time(F.col("i.pubDate")).alias("published"), F.col("keyword").alias("search_keyword"), (F.col("pos") + 1).alias("search_rank"), (F.shiftleft(F.col("k").cast("long"), 32) + F.col("pos")).alias("seq"))
     return with_defaults(df.where("url is not null"))
 
 

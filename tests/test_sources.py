@@ -55,3 +55,10 @@ def test_cutoff(spark):
     ts = lambda x: F.lit(x).cast("timestamp")
     row = spark.range(1).select(incremental.cutoff(ts("2026-01-09"), ts("2026-01-10"), 3).cast("string").alias("back"), incremental.cutoff(ts(None), ts("2026-01-10"), None).cast("string").alias("two"), incremental.moved_on(ts("2026-01-09"), ts("2026-01-08")).cast("string").alias("top")).first()
     assert tuple(row) == ("2026-01-07 00:00:00", "2026-01-08 00:00:00", "2026-01-09 00:00:00")
+
+
+def test_many_results_keep_their_order(spark):
+    item = "struct<title:string,originallink:string,link:string,description:string,pubDate:string>"
+    rows = [("k1", [(f"a{i}", None, f"https://l.example/{i}", None, None) for i in range(1203)]), ("k2", [("b", None, "https://l.example/b", None, None)])]
+    got = records.search_results(spark.createDataFrame(rows, f"keyword string, items array<{item}>"), ["k1", "k2"]).orderBy("seq").collect()
+    assert [r.title for r in got] == [*(f"a{i}" for i in range(1203)), "b"]

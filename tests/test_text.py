@@ -70,3 +70,12 @@ def test_structure(spark):
     assert one(spark, " ab \n\n c", structure.prose_chars) == 3
     assert one(spark, "aa\n\nbbb\n\ncccc", lambda c: structure.within_length(c, 5)) == "aa\n\nbbb" and one(spark, "abcdef", lambda c: structure.within_length(c, 5)) == "abcde"
     assert one(spark, "왜 태권도인가, 지금?", structure.title_issues) == ["length", "characters"]
+
+
+def test_strip_takes_white_space_of_any_script(spark):
+    from gristmill.functions.text import strip
+
+    white = [chr(c) for c in range(0x3001) if chr(c).isspace() and chr(c) not in "\x1c\x1d\x1e\x1f"]
+    rows = [(f"{a}{b}x {a}y{b}{a}",) for a in white for b in white[:4]] + [("",), (" ",), (None,), ("​z​",)]
+    for r in spark.createDataFrame(rows, "t string").select("t", strip(F.col("t")).alias("s")).collect():
+        assert r.s == (None if r.t is None else r.t.strip())
