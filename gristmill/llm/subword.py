@@ -120,23 +120,24 @@ class _Scores(dict):
         return out
 
 
-def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, train_fold, id_col: str, text_col: str, size: int = SAMPLE, more: DataFrame | None = None) -> DataFrame:
-    """(text, y): at most size rows of each class, by a hash of the id, of the labelled rows in the training fold; and those of more (_id, y)."""
+def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, train_fold, id_col: str, text_col: str, size: int = SAMPLE) -> DataFrame:
+    """(text, y): at most size rows of each class, by a hash of the id, of the labelled rows in the training fold."""
     own = labels.select(F.col("doc_id").alias("_id"), F.col(label).cast("int").alias("y")).where(F.col("y").isin(0, 1) & train_fold("_id"))
     order = [F.md5(F.col("_id").cast("string")), "_id"]
     picked = own.where("y = 0").orderBy(*order).limit(size).union(own.where("y = 1").orderBy(*order).limit(size))
-    picked = picked if more is None else picked.union(more)
     return docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("text")).join(F.broadcast(picked), "_id").select("_id", "text", "y")
 
 
-def fit(docs: DataFrame, labels: DataFrame, label: str, folds: int, held: int, id_col: str = "doc_id", text_col: str = "text") -> Model:
+def fit(docs: DataFrame, labels: DataFrame, label: str, folds: int, held: int, id_col: str = "doc_id", text_col: str = "text", sample: int = SAMPLE) -> Model:
+    """The classifier of a label. sample: labelled rows of each class of the training fold that are looked at, at most."""
+
     def bags(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for p in parts:
             made = [_bag(t) for t in p.text]
             yield pd.DataFrame({"id": p["_id"], "y": p.y, "ids": [a.tobytes() for a, _ in made], "share": [b.tobytes() for _, b in made]})
 
-    sample = labelled_sample(docs, labels, label, lambda c: fold(c, folds) != held, id_col, text_col)
-    rows = sample.mapInPandas(bags, "id long, y int, ids binary, share binary").toPandas().sort_values(["id", "y", "ids"])
+    some = labelled_sample(docs, labels, label, lambda c: fold(c, folds) != held, id_col, text_col, sample)
+    rows = some.mapInPandas(bags, "id long, y int, ids binary, share binary").toPandas().sort_values(["id", "y", "ids"])
     return train([(np.frombuffer(a, np.int32), np.frombuffer(b, np.float32)) for a, b in zip(rows.ids, rows.share, strict=True)], rows.y.to_numpy(int))
 
 
@@ -164,7 +165,7 @@ def scored(docs: DataFrame, model: Model, text_col: str = "text", into: str = "q
     return docs.withColumn(into, score(F.col(text_col).cast("string")))
 
 
-def report(docs: DataFrame, labels: DataFrame, label: str = "quality", folds: int = 3, held: int = 1) -> DataFrame:
-    """(doc_id, held_out, score, predicted) of each row."""
-    out = scored(docs.select("doc_id", "text"), fit(docs, labels, label, folds, held))
+def report(docs: DataFrame, labels: DataFrame, label: str = "quality", folds: int = 3, held: int = 1, sample: int = SAMPLE) -> DataFrame:
+    """(doc_id, held_out, score, predicted) of each row. sample: as in fit."""
+    out = scored(docs.select("doc_id", "text"), fit(docs, labels, label, folds, held, sample=sample))
     return out.select("doc_id", F.coalesce(fold("doc_id", folds) == held, F.lit(False)).alias("held_out"), F.col("quality_score").alias("score")).withColumn("predicted", (F.col("score") >= 0.5).cast("int"))

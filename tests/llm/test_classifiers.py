@@ -2,6 +2,7 @@
 
 import math
 import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -66,10 +67,36 @@ def test_scores_match_plain_features(spark):
 
 def test_documents_without_label_get_weak_ones():
     texts = ["you are a stupid moron", "nice weather today"] * 20
-    bags, seen = [toxicity._ids(t) for t in texts], np.array([toxicity.votes(t) for t in texts])
-    y = np.array([1, 0] * 10 + [-1, -1] * 10)
-    weak = toxicity.weak_labels(bags, seen, y)
-    assert (weak[20::2] > 0.9).all() and (weak[21::2] < 0.1).all()
+    bags = [toxicity._ids(t) for t in texts]
+    lexicons = toxicity.learned_lexicons(bags[:20], np.array([1, 0] * 10))
+    shown = [toxicity.pattern_of(toxicity.votes(t), b, lexicons) for t, b in zip(texts, bags, strict=True)]
+    y = [1, 0] * 10 + [-1, -1] * 10
+    weak = toxicity.weak_labels(Counter(zip(shown, y, strict=True)))
+    assert weak[shown[0], -1] > 0.9 and weak[shown[1], -1] < 0.1
+
+
+def test_patterns_of_all_documents(spark):
+    """Every document of the training fold is counted, whatever the bound of the labelled sample."""
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.001/{t}.parquet") for t in ("documents", "labels"))
+    lexicons = {f: f % toxicity.LEARNED for f in toxicity._ids("the and of in").tolist()}
+    told = {r.doc_id: r.toxic for r in labels.collect()}
+    want = Counter((toxicity.pattern_of(toxicity.votes(r.text or ""), toxicity._ids(r.text or ""), lexicons), told.get(r.doc_id, -1)) for r in docs.collect())
+    assert toxicity.patterns(docs, labels, "toxic", lexicons) == dict(want)
+
+
+def test_label_model_counts_patterns():
+    rng = np.random.default_rng(1)
+    seen = rng.integers(-1, 2, (300, 4))
+    distinct, back, times = np.unique(seen, axis=0, return_inverse=True, return_counts=True)
+    assert np.allclose(toxicity.label_model(seen)[0], toxicity.label_model(distinct, times)[0][back.ravel()], atol=1e-3)
+
+
+def test_sample_is_a_parameter(spark):
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.01/{t}.parquet") for t in ("documents", "labels"))
+    for module, label, folds, held in ((subword, "quality", 3, 1), (toxicity, "toxic", 5, 0)):
+        picked = subword.labelled_sample(docs, labels, label, lambda c, n=folds, k=held: toxicity.fold(c, n) != k, "doc_id", "text", 7)
+        assert {r.y: r["count"] for r in picked.groupBy("y").count().collect()} == {0: 7, 1: 7}
+        assert module.report(docs, labels, sample=20).count() == docs.count()
 
 
 def test_label_model_finds_accurate_voters():
