@@ -9,7 +9,9 @@ The order N of the model is a parameter, 2 or more. Its steps:
    them) is added up by key and passed on.
 3. Those sums are dealt by ranges of keys, added up and written as sorted arrays too. Of orders above 1, the counts of words
    before are the lower order's counts: they are passed on in the same way, down to single words.
-4. Workers map the files into memory and look up the sorted distinct words and n-grams of each run of texts.
+4. Beyond FILES shards or ranges, tasks join neighbouring ones to FILES sorted arrays an order, so that the number of files doesn't
+   grow with the input.
+5. Workers map the files into memory and look up the sorted distinct words and n-grams of each run of texts.
 
 Tokens: words (A-Z lower-cased) and one end a text, which counts as a word of the vocabulary; a text's first token follows
 N - 1 start marks. All counts are exact over all training rows, nothing is pruned.
@@ -21,8 +23,8 @@ Other columns are ignored. The shared folder must be mounted (a path or file://)
 
 from __future__ import annotations
 
+import contextlib
 import os
-from collections import OrderedDict
 from collections.abc import Iterator, Sequence
 from typing import NamedTuple
 
@@ -30,7 +32,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gristmill.llm.common import fold, mix, posix, save, shared_dir, text_chunks, word_hashes
@@ -38,8 +40,8 @@ from gristmill.llm.common import fold, mix, posix, save, shared_dir, text_chunks
 #: Characters of training text that a shard of N-grams stands for, shards for one range of the lower orders' sums, and
 #: bytes of N-grams that a task gathers before it deals them out.
 SHARD_CHARS, RANGE_SHARDS, GATHER_BYTES = 18_000_000, 3, 48 << 20
-#: Files that a worker keeps mapped.
-MAPPED = 2_048
+#: Arrays that an order's shards or ranges are joined to, at most.
+FILES = 128
 START, END = np.uint64(0x5851F42D4C957F2D), np.uint64(0x14057B7EF767814F)
 _LEFT, _RIGHT = np.uint64(0xD1342543DE82EF95), np.uint64(0xA3B195354A39B70D)
 
@@ -242,6 +244,68 @@ class Model(NamedTuple):
     #: The three discounts of each order, single words first, and how many words were seen after 1, 2 and more words.
     off: tuple[tuple[float, float, float], ...]
     ones: tuple[int, int, int]
+    #: Shards, and ranges, that one file holds.
+    shards_a_file: int = 1
+    ranges_a_file: int = 1
+
+    def place(self, level: int) -> tuple[int, int]:
+        """Parts of an order, and how many of them a file holds."""
+        return (self.shards, self.shards_a_file) if level == self.order else (self.ranges, self.ranges_a_file)
+
+
+def _join(folder: str, level: int, file: int, parts: range, fields: tuple[str, ...]) -> None:
+    """Join the arrays of neighbouring parts to one file a field and then remove them.
+
+    A field's file appears under its name only when it is whole, and parts go only after that; so a repeated task goes on where the
+    former one was lost, and one that runs beside another finds the file there.
+    """
+    for field in fields:
+        to = f"{folder}/joined/{level}-{file:06d}.{field}.npy"
+        names = [f"{folder}/{level}-{k:06d}.{field}.npy" for k in parts]
+        if not os.path.exists(to):
+            os.makedirs(f"{folder}/joined", exist_ok=True)
+            attempt = f"{to}.{TaskContext.get().taskAttemptId()}"
+            try:
+                have = [np.load(n, mmap_mode="r") for n in names if os.path.exists(n)]
+                kind = max((x.dtype for x in have), key=lambda t: t.itemsize, default=np.dtype(np.uint8))
+                out = np.lib.format.open_memmap(attempt, "w+", kind, (sum(map(len, have)),)) if any(map(len, have)) else None
+                at = 0
+                for x in have:
+                    if len(x):
+                        out[at : at + len(x)] = x
+                    at += len(x)
+                if out is None:
+                    with open(attempt, "wb") as f:
+                        np.save(f, np.zeros(0, kind))
+                else:
+                    out.flush()
+                # parts only go once the file is there, so what was read is whole unless another attempt has made it
+                os.remove(attempt) if os.path.exists(to) else os.replace(attempt, to)
+            except FileNotFoundError:
+                if not os.path.exists(to):
+                    raise
+        for n in names:
+            if os.path.exists(n):
+                with contextlib.suppress(FileNotFoundError):
+                    os.remove(n)
+
+
+def _joined_files(spark: SparkSession, folder: str, order: int, shards: int, ranges: int) -> tuple[int, int]:
+    """Join what is more than FILES; parts that a file then holds, of the top order and of the lower ones."""
+    shards_a_file, ranges_a_file = -(-shards // FILES), -(-ranges // FILES)
+    work = [(level, k, n, a) for level in range(1, order + 1) for n, a in [(shards, shards_a_file) if level == order else (ranges, ranges_a_file)] if a > 1 for k in range(-(-n // a))]
+    if work:
+
+        def run(rows: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for p in rows:
+                for i in p.id:
+                    level, k, n, a = work[i]
+                    fields = ("keys", "counts") if level == order else ("keys", *(f for f in FIELDS if f != "count" or level == 1))
+                    _join(folder, level, k, range(k * a, min((k + 1) * a, n)), fields)
+                yield p
+
+        spark.range(0, len(work), 1, len(work)).mapInPandas(run, "id long").agg(F.count("id")).collect()
+    return shards_a_file, ranges_a_file
 
 
 def count(train: DataFrame, order: int = 2, text_col: str = "text") -> Model:
@@ -263,40 +327,39 @@ def count(train: DataFrame, order: int = 2, text_col: str = "text") -> Model:
     done = save(counted, f"{folder}/sums")
     r = done.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in done.columns]).first()
     off = tuple(discounts(*(r[f"n{j}_{k}"] for k in range(4))) for j in range(order))
-    return Model(place, order, shards, ranges, r.tokens, r.vocabulary, r.pairs, off, (r.n0_0, r.n0_1, r.vocabulary - r.n0_0 - r.n0_1))
+    held = _joined_files(spark, place, order, shards, ranges)
+    return Model(place, order, shards, ranges, r.tokens, r.vocabulary, r.pairs, off, (r.n0_0, r.n0_1, r.vocabulary - r.n0_0 - r.n0_1), *held)
 
 
 class Mapped:
-    """The model's arrays, mapped into memory when they are looked at; those not looked at for longest are let go."""
+    """The model's arrays, mapped into memory when they are first looked at: at most FILES of each field of an order."""
 
     def __init__(self, model: Model):
-        self.m, self.files = model, OrderedDict()
-
-    def array(self, name: str) -> np.ndarray | None:
-        if name in self.files:
-            self.files.move_to_end(name)
-        else:
-            at = f"{self.m.folder}/{name}.npy"
-            self.files[name] = np.load(at, mmap_mode="r") if os.path.exists(at) else None
-            if len(self.files) > MAPPED:
-                self.files.popitem(last=False)
-        return self.files[name]
+        self.m, self.files = model, {}
+
+    def array(self, level: int, file: int, field: str) -> np.ndarray | None:
+        key = (level, file, field)
+        if key not in self.files:
+            folder = self.m.folder if self.m.place(level)[1] == 1 else f"{self.m.folder}/joined"
+            at = f"{folder}/{level}-{file:06d}.{field}.npy"
+            self.files[key] = np.load(at, mmap_mode="r") if os.path.exists(at) else None
+        return self.files[key]
 
     def find(self, level: int, keys: np.ndarray, fields: tuple[str, ...]) -> list[np.ndarray]:
         """Fields of the n-grams of one order with these ascending keys; 0 where there is none."""
-        n = self.m.shards if level == self.m.order else self.m.ranges
+        n, a_file = self.m.place(level)
         out = [np.zeros(len(keys), np.int64) for _ in fields]
-        cut = np.searchsorted(_part(keys, n), np.arange(n + 1))
-        for k in np.flatnonzero(np.diff(cut)):
+        cut = np.searchsorted(_part(keys, n) // a_file, np.arange(-(-n // a_file) + 1))
+        for k in np.flatnonzero(np.diff(cut)).tolist():
             own = keys[cut[k] : cut[k + 1]]
-            have = self.array(f"{level}-{k:06d}.keys")
+            have = self.array(level, k, "keys")
             if have is None or not len(have):
                 continue
             place = np.searchsorted(have, own)
             hit = place < len(have)
             hit[hit] = have[place[hit]] == own[hit]
             for o, f in zip(out, fields, strict=True):
-                o[cut[k] : cut[k + 1]][hit] = self.array(f"{level}-{k:06d}.{f}")[place[hit]]
+                o[cut[k] : cut[k + 1]][hit] = self.array(level, k, f)[place[hit]]
         return out
 
     def low(self, before: np.ndarray) -> np.ndarray:

@@ -5,6 +5,8 @@ import re
 import zlib
 from collections import Counter, defaultdict
 
+import numpy as np
+import pyarrow as pa
 import pytest
 
 from gristmill.llm import ngram_lm
@@ -66,11 +68,11 @@ def rows_of(spark):
     return [(r.doc_id, r.text) for r in docs] + [(9001, None), (9002, ""), (None, "Is IS is is"), (9003, "a " * 3000), (9003, "a " * 3000)]
 
 
-@pytest.mark.parametrize("order", [2, 3])
-def test_scores_match_plain_model(spark, monkeypatch, order):
+@pytest.mark.parametrize(("order", "files"), [(2, 128), (2, 2), (3, 3)])
+def test_scores_match_plain_model(spark, monkeypatch, order, files):
     monkeypatch.setattr(ngram_lm, "SHARD_CHARS", 60_000)  # many shards and ranges
     monkeypatch.setattr(ngram_lm, "GATHER_BYTES", 200_000)
-    monkeypatch.setattr(ngram_lm, "MAPPED", 3)
+    monkeypatch.setattr(ngram_lm, "FILES", files)
     rows = rows_of(spark)
     got = ngram_lm.report(spark.createDataFrame([(i, t, None, None, None) for i, t in rows], DOCS).repartition(4), order).collect()
     want, p, count = plain(rows, order)
@@ -83,6 +85,29 @@ def test_scores_match_plain_model(spark, monkeypatch, order):
     assert sum(r.score for r in held) > sum(r.base_score for r in held)  # a better model than single words
 
 
+def test_files_dont_grow_with_the_input(spark, monkeypatch, tmp_path):
+    """Whatever the number of shards, a run of texts opens at most FILES arrays of each field of an order."""
+    rows = [(i, t) for i, t in rows_of(spark) if i is not None]
+    df = spark.createDataFrame([(i, t, None, None, None) for i, t in rows], DOCS)
+    text = [t or "" for _, t in rows]
+    monkeypatch.setattr(ngram_lm, "FILES", 4)
+    scores, opened = [], []
+    for chars in (200_000, 50_000, 12_000):
+        monkeypatch.setattr(ngram_lm, "SHARD_CHARS", chars)
+        model = ngram_lm.count(df, 2)
+        mapped = ngram_lm.Mapped(model)
+        for _, _, raw, offsets in ngram_lm.text_chunks(pa.array(text)):
+            scores.append(mapped.score(*ngram_lm.word_hashes(raw, offsets))[3].sum())
+        opened.append((model.shards, len(mapped.files)))
+        # a joining task that comes again finds its work done
+        parts = range(0, model.shards_a_file)
+        if model.shards_a_file > 1:
+            assert not any((tmp_path.__class__(model.folder) / f"2-{k:06d}.keys.npy").exists() for k in parts)
+    assert opened[-1][0] > 8 * ngram_lm.FILES / 4 and max(n for _, n in opened) <= ngram_lm.FILES * (2 + 7)
+    per = len(scores) // 3
+    assert np.allclose(scores[:per], scores[per : 2 * per]) and np.allclose(scores[:per], scores[2 * per :])
+
+
 def test_without_training_rows(spark):
     held = [i for i in range(200) if zlib.crc32(str(i).encode()) % 10 == 0][:3]
     got = ngram_lm.report(spark.createDataFrame([(i, "a b", None, None, None) for i in held], DOCS)).collect()
