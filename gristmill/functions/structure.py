@@ -117,3 +117,13 @@ def banned_places(df: DataFrame, column: str, categories: list[tuple[str, str, t
         places = x.select("id", F.lit(name).alias("category"), F.lit(severity).alias("severity"), (F.col("finish") - F.length("t")).alias("start"), "finish", F.col("t").alias("matched"))
         out = places if out is None else out.union(places)
     return out
+
+
+def source_chars(title: Column, body: Column, subtopics: Column) -> Column:
+    """What a record has to tell, in characters: its trimmed body, its title and its subtopics."""
+    return (F.length(strip(F.coalesce(body, F.lit("")))) + F.length(F.coalesce(title, F.lit(""))) + F.aggregate(subtopics, F.lit(0), lambda a, x: a + F.length(x))).cast("long")
+
+
+def chapter_count(subtopics: Column, records: Column) -> Column:
+    """A bundle's chapters: as many as its records have subtopics, or as records if they have none."""
+    return F.when(subtopics > 0, subtopics).otherwise(records).cast("long")

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from gristmill.operators.ordering import numbered
+
 
 def pending(contents: DataFrame, articles: DataFrame, status: str) -> DataFrame:
     """(id, articles) of contents (id, status, ids) in a status: ids, a list joined by commas, becomes the array of those
@@ -45,3 +47,16 @@ def draft_summary(df: DataFrame) -> DataFrame:
     """One row of averages over judged drafts (chars, lines, short, longest, banned, warnings, verdict)."""
     share = F.sum("short") / F.nullif(F.sum("lines"), F.lit(0))
     return df.agg(F.count(F.lit(1)).alias("drafts"), F.round(F.avg("chars"), 4).alias("chars"), F.round(share, 6).alias("short_share"), F.max("longest").alias("longest"), F.sum("banned").alias("banned"), F.count_if(F.col("verdict") == "blocked").alias("blocked"), F.sum(F.size("warnings")).alias("warnings"))
+
+
+def merged_options(have: DataFrame, wanted: DataFrame, renames: DataFrame) -> DataFrame:
+    """(pos, name, change) of a board's options: those there (name, pos), renamed by renames (pos, old, new), then those wanted (name, pos) that are new.
+
+    A name is changed only if nothing is called by the new one, there or by an earlier change; what people added stays. change: the old
+    name, '+' for a new option, null for what stays as it is. Options keep their order; names are told once each.
+    """
+    free = renames.join(have.select(F.col("name").alias("new")), "new", "left_anti").join(have.select(F.col("name").alias("old")), "old", "left_semi")
+    first = free.groupBy("new").agg(F.min_by("old", "pos").alias("old"), F.min("pos").alias("p")).groupBy("old").agg(F.min_by("new", "p").alias("new"))
+    kept = have.join(first, have["name"] == first["old"], "left").select(F.lit(0).alias("part"), "pos", F.coalesce("new", "name").alias("name"), F.col("old").alias("change"))
+    more = wanted.join(kept.select("name"), "name", "left_anti").select(F.lit(1).alias("part"), "pos", "name", F.lit("+").alias("change"))
+    return numbered(kept.unionByName(more), "part", "pos", "name", into="rn").select((F.col("rn") - 1).alias("pos"), "name", "change")

@@ -47,3 +47,22 @@ def styles(sentences: DataFrame, endings: Sequence[tuple[str, str]]) -> DataFram
 def lemma_hits(units: DataFrame, lemmas: DataFrame) -> DataFrame:
     """(id, start, finish, lemma, category, severity) of the units whose lemma is in (lemma, category, severity)."""
     return units.join(lemmas, "lemma").select("id", "start", "finish", "lemma", "category", "severity")
+
+
+def argument_polarity(units: DataFrame, directions: DataFrame, lexicon: DataFrame, valences: DataFrame, negations: Sequence[str], nouns: Sequence[str], particles: Sequence[str], reach: int = 8, turn: int = 2) -> DataFrame:
+    """(id, sentence, verb_at, verb, noun_at, noun, negated, score) of each verb of more or less in units (id, sentence, pos, lemma, tag).
+
+    Its argument is the nearest noun before it, `reach` units back at most, that a particle follows; a particle is a unit with one of the
+    tags particles. The score is the verb's direction (verb, direction) times the argument's valence: its own (word, valence), else
+    the sign of its score in the lexicon (word, score), else 0. One of the negations in the `turn` units behind the verb turns the
+    sign. A verb without an argument has no noun and scores 0. All of it is windows over a sentence and joins by word.
+    """
+    sentence = W.partitionBy("id", "sentence").orderBy("pos")
+    is_argument = F.col("tag").isin(*nouns) & F.coalesce(F.lead("tag").over(sentence).isin(*particles), F.lit(False))
+    u = units.select("id", "sentence", "pos", "lemma", "tag").withColumn("_arg", F.when(is_argument, F.struct("pos", "lemma")))
+    u = u.withColumns({"_noun": F.max("_arg").over(sentence.rowsBetween(-reach, -1)), "_not": F.max(F.col("lemma").isin(*negations)).over(sentence.rowsBetween(1, turn))})
+    v = u.join(directions.select(F.col("verb").alias("lemma"), "direction"), "lemma")
+    v = v.select("id", "sentence", F.col("pos").alias("verb_at"), F.col("lemma").alias("verb"), F.col("_noun.pos").alias("noun_at"), F.col("_noun.lemma").alias("noun"), F.coalesce("_not", F.lit(False)).alias("negated"), "direction")
+    v = v.join(valences.select(F.col("word").alias("noun"), "valence"), "noun", "left").join(lexicon.select(F.col("word").alias("noun"), F.signum(F.col("score").cast("double")).cast("int").alias("_sign")), "noun", "left")
+    score = F.coalesce("valence", "_sign", F.lit(0)) * F.col("direction") * F.when(F.col("negated"), -1).otherwise(1)
+    return v.select("id", "sentence", "verb_at", "verb", "noun_at", "noun", "negated", score.cast("int").alias("score"))

@@ -136,6 +136,15 @@ def lemma_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
     return units.lemma_hits(_units(spark, sf_dir), lemmas)
 
 
+def argument_polarity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words on tion are nouns with a valence, short words particles, de and und verbs of more and less, que and the negations."""
+    u = _sentences(spark, sf_dir).select("id", "sentence", F.posexplode(F.split("text", " ")).alias("pos", "lemma")).where("lemma <> ''")
+    u = u.withColumn("tag", F.when(F.col("lemma").rlike("(tion|ment|er|es)$"), "NN").when(F.length("lemma") < 5, "JK").otherwise("XX"))
+    of = lambda rows, kind: spark.createDataFrame(rows, kind)
+    lexicon = u.where("tag = 'NN'").select(F.col("lemma").alias("word"), (F.length("lemma") % 3 - 1).alias("score")).distinct()
+    return units.argument_polarity(u, of([("de", 1), ("und", -1), ("la", 1)], "verb string, direction int"), lexicon, of([("les", 1), ("der", -1)], "word string, valence int"), ("que", "the"), ("NN",), ("JK",))
+
+
 # --- lanes and bundles ----------------------------------------------------------------------------------------
 
 
@@ -179,5 +188,5 @@ def lane_sweep(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 ALL: tuple[Callable[[SparkSession, str], DataFrame], ...] = (
     picture_credits, alt_texts, filtered_prompts, lane_settings, reply_labels, labels_kept, realigned, skip_reasons, reset_notices, cached_texts,
-    unit_counts, unit_top_words, text_styles, lemma_hits, lane_bundles, lane_selection, lane_sweep,
+    unit_counts, unit_top_words, text_styles, lemma_hits, argument_polarity, lane_bundles, lane_selection, lane_sweep,
 )

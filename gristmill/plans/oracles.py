@@ -461,6 +461,15 @@ g AS (SELECT id, style, count(*) AS n, min(sentence) AS seen FROM t WHERE style
 b AS (SELECT id, style, n / sum(n) OVER (PARTITION BY id) AS share FROM g QUALIFY row_number() OVER (PARTITION BY id ORDER BY n DESC, seen) = 1)
 SELECT id, a.sentences, a.mean_length, coalesce(b.style, '') AS style, coalesce(round(b.share, 6), 0.0) AS consistency FROM (SELECT id, count(*) AS sentences, round(sum(length(text)) / count(*), 6) AS mean_length FROM t GROUP BY id) a LEFT JOIN b USING (id)"""
 LEMMA_HITS = f"""WITH {_UNITS} SELECT id, start, start + 1 AS finish, lemma, CASE lemma WHEN 'ing' THEN 'claims' ELSE 'filler' END AS category, CASE lemma WHEN 'ing' THEN 'block' ELSE 'warn' END AS severity FROM u WHERE lemma IN ('tion', 'the', 'ing')"""
+ARGUMENT_POLARITY = f"""
+WITH {_SENTENCES}, w AS (SELECT id, sentence, unnest(string_split(text, ' ')) AS lemma, generate_subscripts(string_split(text, ' '), 1) - 1 AS pos FROM s),
+u AS (SELECT *, CASE WHEN regexp_matches(lemma, '(tion|ment|er|es)$') THEN 'NN' WHEN length(lemma) < 5 THEN 'JK' ELSE 'XX' END AS tag, row_number() OVER (PARTITION BY id, sentence ORDER BY pos) AS nth FROM w WHERE lemma <> ''),
+a AS (SELECT u.*, u.tag = 'NN' AND coalesce(n.tag = 'JK', false) AS arg FROM u LEFT JOIN u n ON n.id = u.id AND n.sentence = u.sentence AND n.nth = u.nth + 1),
+v AS (SELECT *, CASE lemma WHEN 'und' THEN -1 ELSE 1 END AS direction FROM a WHERE lemma IN ('de', 'und', 'la')),
+f AS (SELECT v.id, v.sentence, v.nth, v.pos AS verb_at, v.lemma AS verb, v.direction, max(p.pos) FILTER (p.arg AND p.nth BETWEEN v.nth - 8 AND v.nth - 1) AS noun_at, coalesce(bool_or(p.lemma IN ('que', 'the')) FILTER (p.nth BETWEEN v.nth + 1 AND v.nth + 2), false) AS negated
+  FROM v JOIN a p ON p.id = v.id AND p.sentence = v.sentence GROUP BY ALL)
+SELECT f.id, f.sentence, verb_at, verb, noun_at, n.lemma AS noun, negated, (CASE WHEN n.lemma = 'les' THEN 1 WHEN n.lemma = 'der' THEN -1 WHEN n.lemma IS NULL THEN 0 ELSE sign(length(n.lemma) % 3 - 1) END * direction * CASE WHEN negated THEN -1 ELSE 1 END)::int AS score
+FROM f LEFT JOIN a n ON n.id = f.id AND n.sentence = f.sentence AND n.pos = f.noun_at"""
 LANE_BUNDLES = """
 WITH r AS (SELECT event_type AS lane, user_id, min(event_id) AS id, list(event_id) AS all_ids FROM events GROUP BY ALL),
 n AS (SELECT *, (row_number() OVER (PARTITION BY lane ORDER BY id) - 1) // 4 AS pack FROM r),
@@ -559,6 +568,72 @@ z AS (SELECT key, label FROM a QUALIFY row_number() OVER (PARTITION BY key ORDER
 SELECT label, count(*) AS n, count(DISTINCT key) AS keys FROM z GROUP BY label"""
 
 
+# --- archives, state files, marks and contexts
+
+CSV_ARCHIVE = f"""
+WITH u AS ({URL_KEYS}), p AS (SELECT pages.*, canonical FROM pages JOIN u ON u.page_id = pages.page_id)
+SELECT url, 'say "' || page_id || '",' || chr(10) || 'line' AS title, '1+2' AS subtopics, page_id % 9 AS search_rank, 0 AS score_norm FROM p QUALIFY row_number() OVER (PARTITION BY canonical ORDER BY page_id) = 1"""
+SEARCH_HITS = """
+WITH r AS (SELECT 'k' || (page_id % 3) AS search_keyword, row_number() OVER (PARTITION BY page_id % 3 ORDER BY page_id) AS search_rank, page_id, CASE WHEN page_id % 5 <> 0 THEN url WHEN page_id % 10 <> 0 THEN 'http://link/' || page_id END AS url FROM pages)
+SELECT search_keyword, search_rank, 'p ' || page_id AS title, url, 'd & e' AS summary, '2024-01-01T09:00:00+09:00' AS published FROM r WHERE url <> ''"""
+STATE_FILE = """
+WITH e AS (SELECT * FROM events WHERE user_id = 1)
+SELECT 0 AS file, 'processed' AS part, 'view/' || event_id AS item FROM e WHERE event_type = 'view' UNION ALL SELECT 0, 'event', 'click+click/' || event_id FROM e WHERE event_type = 'click' AND event_id % 2 = 0
+UNION ALL SELECT 0, 'held', 'error/' || event_id FROM e WHERE event_type = 'error' AND event_id % 3 > 0 UNION ALL SELECT 0, 'watermark', strftime(max(ts), '%Y-%m-%d') FROM e HAVING count(*) > 0"""
+LATEST_PUBLISHED = "SELECT event_type, strftime(max(ts), '%Y-%m-%d %H:%M:%S') AS latest FROM events WHERE event_id % 4 > 0 GROUP BY event_type"
+HISTORY_KEYS = "SELECT event_type || '/' || floor(value)::bigint AS key, 1 AS n FROM events GROUP BY ALL"
+WINDOWED_EVENTS = """
+WITH w AS (SELECT time_bucket(INTERVAL 6 HOUR, ts) AS s, event_type, count(*) AS n FROM events GROUP BY ALL)
+SELECT strftime(s, '%Y-%m-%d %H') AS start, event_type, n FROM w WHERE s + INTERVAL 6 HOUR <= (SELECT max(ts) FROM events) - INTERVAL 1 HOUR"""
+DECODED_TEXTS = "SELECT doc_id, md5('가나다라마바사아자차카타 ' || coalesce(text, '')) AS digest FROM documents"
+UNESCAPED_TEXTS = "SELECT conv_id, turn, md5(replace(text, 'e', 'éA&lt;')) AS digest FROM conversations"
+KEPT_RECORDS = r"""
+WITH b AS (SELECT doc_id, CASE WHEN doc_id % 3 > 0 THEN translate(text, 'eaionrtsdlu', '가나다라마바사아자차카') ELSE translate(text, 'e', '가') END AS b FROM documents),
+s AS (SELECT doc_id, b, regexp_replace(regexp_replace(b, 'https?://\S+|www\.\S+', ' ', 'g'), '[\p{L}\p{N}_.\-]+@[\p{L}\p{N}_.\-]+\.[\p{L}\p{N}_]+', ' ', 'g') AS t FROM b),
+c AS (SELECT doc_id, length(b) AS n, len(regexp_extract_all(t, '[가-힣]')) AS h, len(regexp_extract_all(t, '[A-Za-z]')) AS a FROM s)
+SELECT doc_id FROM c WHERE n >= 100 AND h + a > 0 AND h / (h + a) >= 0.5"""
+MATCH_CONTEXTS = f"""
+WITH p AS ({BANNED_PLACES}), q AS (SELECT id, start, text, greatest(start - 20, 0) AS a, least(finish + 20, length(text)) AS b FROM p JOIN documents ON doc_id = id)
+SELECT id, start, CASE WHEN a > 0 THEN '…' ELSE '' END || substr(text, a + 1, b - a) || CASE WHEN b < length(text) THEN '…' ELSE '' END AS context FROM q"""
+SECTION_HEADINGS = f"""
+WITH l AS (SELECT doc_id AS id, {_lines("coalesce(text, '')")} AS x FROM documents), i AS (SELECT id, x, unnest(range(len(x))) AS place FROM l),
+h AS (SELECT id, place, trim({_strip("x[place + 1]")} || ' ' || {_strip("coalesce(x[place + 2], '')")}) AS heading FROM i WHERE place % 5 = 1)
+SELECT id, place, md5(heading) AS digest FROM h WHERE heading <> ''"""
+SOURCE_SIZES = f"""
+WITH {RECORDS}, s AS (SELECT *, CASE WHEN id % 4 = 0 THEN list_filter(string_split(title, ' ')[1:3], lambda x: x <> '') ELSE [] END AS sub FROM rec),
+c AS (SELECT press, lane, len(sub) AS s, length({_strip("body")}) + length(title) + coalesce(list_sum(list_transform(sub, lambda x: length(x))), 0) AS chars FROM s)
+SELECT press, lane, CASE WHEN sum(s) > 0 THEN sum(s) ELSE count(*) END::bigint AS chapters, sum(chars)::bigint AS chars FROM c GROUP BY press, lane"""
+_GENERIC = tuple(w for w in LATIN.generic if w not in LATIN.core)
+GATE_REASONS = f"""
+WITH {_FACTS}, g AS (SELECT fact.id, {_gate()} AS gate, whole FROM fact JOIN sq ON sq.id = fact.id),
+w AS (SELECT unnest({list(LATIN.core)}) AS word, 'core' AS kind UNION ALL SELECT unnest({list(_GENERIC)}), 'generic'),
+f AS (SELECT g.id, kind, word, CASE WHEN kind = 'core' THEN replace(substr(whole, greatest(strpos(whole, word) - 1 - 12, 0) + 1, least(strpos(whole, word) - 1 + length(word) + 12, length(whole)) - greatest(strpos(whole, word) - 1 - 12, 0)), chr(10), ' ') END AS place FROM g JOIN w ON contains(whole, word))
+SELECT g.id, gate, f.kind, f.word, f.place FROM g LEFT JOIN f ON f.id = g.id"""
+_HOLDING = lambda x, words: f"len(list_filter(list_distinct({x}), lambda t: regexp_matches(t, '{'|'.join(words)}')))"
+COUNTING_DIFFERENCES = f"""
+WITH {_FACTS}, old AS (SELECT fact.* EXCLUDE (core, hits, titled), {_HOLDING(_tokens("whole"), LATIN.core)} AS core, {_HOLDING(_tokens("whole"), LATIN.core + _GENERIC)} AS hits, {_HOLDING(_tokens("title"), LATIN.core)} > 0 AS titled FROM fact JOIN sq ON sq.id = fact.id)
+SELECT a.id, a.core, b.core AS core_by_token, a.hits, b.hits AS hits_by_token, a.gate, b.gate AS gate_by_token FROM (SELECT *, {_gate()} AS gate FROM fact) a JOIN (SELECT *, {_gate()} AS gate FROM old) b ON a.id = b.id"""
+QUOTA_ERRORS = """
+SELECT event_id, CASE event_type WHEN 'view' THEN 'RequestsPerDayPerModel' WHEN 'click' THEN 'RequestsPerMinute' ELSE 'Tokens' END AS ids, event_type = 'view' AS daily, event_type = 'click' AS minute, event_id % 3 = 0 AS none_left,
+  CASE WHEN event_id % 2 = 0 THEN event_id % 50 + 1.5::double END AS wait FROM events"""
+MARK_VERDICTS = """
+WITH d AS (SELECT doc_id, doc_id % 6 AS m, CASE WHEN doc_id % 2 = 1 THEN 3 ELSE 0 END + CASE WHEN doc_id % 3 = 1 THEN 4 ELSE 0 END AS own, CASE WHEN doc_id % 5 = 1 THEN 5 ELSE 0 END AS rival FROM documents),
+v AS (SELECT *, CASE WHEN m = 2 THEN ['held', 'no mark'] WHEN m = 1 THEN ['rejected', CASE WHEN doc_id % 4 = 0 THEN 'blurred' ELSE 'no reason' END] WHEN m = 0 THEN ['accepted', 'seen'] WHEN doc_id % 11 = 3 THEN ['rejected', 'people'] WHEN doc_id % 13 = 5 THEN ['rejected', 'worn wrong']
+  WHEN own = 0 AND rival = 0 THEN ['held', 'no signals'] WHEN own >= 5 AND own - rival >= 3 THEN ['accepted', own || ' / ' || rival] WHEN own >= 3 THEN ['held', own || ' / ' || rival] ELSE ['rejected', own || ' / ' || rival] END AS r FROM d)
+SELECT doc_id, CASE m WHEN 0 THEN 'pass' WHEN 1 THEN 'fail' WHEN 2 THEN 'blank' ELSE 'doubt' END AS mark, r[1] AS verdict, r[2] AS reason FROM v"""
+MODEL_TURNS = """
+WITH c AS (SELECT event_id, event_type, user_id, CASE event_id % 3 WHEN 0 THEN ['m0', 'm1', 'm2'] WHEN 1 THEN ['m1', 'm2'] ELSE ['m2', 'm1'] END AS c FROM events)
+SELECT event_id, array_to_string(list_filter(c, lambda m: NOT (event_type = 'view' AND m = 'm1')), ',') AS tried, ['a', 'b', 'c'][((user_id - 70) % 3 + 3) % 3 + 1] AS turn FROM c"""
+SENTIMENT_LEXICON = """
+WITH d AS (SELECT doc_id, split_part(text, ' ', 1) AS word, (doc_id % 7 - 3)::int AS score, length(source) * 10 + doc_id % 3 AS priority FROM documents)
+SELECT word, score FROM d WHERE word NOT IN (SELECT word FROM d JOIN labels ON labels.doc_id = d.doc_id WHERE toxic = 1) QUALIFY row_number() OVER (PARTITION BY word ORDER BY priority DESC, abs(score) DESC, score DESC) = 1"""
+SELECT_OPTIONS = """
+WITH h AS (SELECT source AS old, CASE source WHEN 'src1' THEN 'de' WHEN 'src2' THEN 'fresh' WHEN 'src3' THEN CASE WHEN 'src2' NOT IN (SELECT source FROM documents) THEN 'fresh' END END AS fresh, min(doc_id) AS pos FROM documents GROUP BY source),
+k AS (SELECT 0 AS part, pos, coalesce(fresh, old) AS name, CASE WHEN fresh IS NOT NULL THEN old END AS change FROM h), w AS (SELECT lang AS name, min(doc_id) AS pos FROM documents GROUP BY lang),
+a AS (SELECT * FROM k UNION ALL SELECT 1, pos, name, '+' FROM w WHERE name NOT IN (SELECT name FROM k))
+SELECT row_number() OVER (ORDER BY part, pos, name) - 1 AS pos, name, change FROM a"""
+
+
 def oracle_sql() -> dict[str, str]:
     """Names without SQL: plain_markdown (back-references); flagship_select, lane_selection, lane_sweep and fallback_assignment
     (many rounds, tested against plain versions)."""

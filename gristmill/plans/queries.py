@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from gristmill.functions import cleaning, drafts, matching, sentiment, structure, text, wording
 from gristmill.operators import board, evaluation, events, greedy, ordering, scoring, sets, vectors
-from gristmill.plans import drafting, editorial, scans
+from gristmill.plans import archives, drafting, editorial, scans
 from gristmill.plans.flagship import TABLES, facts, records, selected
 from gristmill.sources.shared import shared_folder
 from gristmill.streaming import incremental
@@ -562,4 +562,4 @@ ALL: tuple[Callable[[SparkSession, str], DataFrame], ...] = (
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in ALL + editorial.ALL + scans.ALL + drafting.ALL}
+    return {f.__name__: f for f in ALL + editorial.ALL + scans.ALL + drafting.ALL + archives.ALL}

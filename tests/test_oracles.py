@@ -27,7 +27,7 @@ def _key(row):
 
 def test_names():
     assert set(SQL) <= set(QUERIES)
-    assert set(QUERIES) - set(SQL) == {"plain_markdown", "flagship_select", "lane_selection", "lane_sweep", "fallback_assignment"}
+    assert set(QUERIES) - set(SQL) == {"plain_markdown", "flagship_select", "lane_selection", "lane_sweep", "fallback_assignment", "chosen_scenes"}
 
 
 @pytest.mark.parametrize("name", sorted(SQL))

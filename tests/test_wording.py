@@ -71,3 +71,25 @@ def test_quota_and_budget(spark):
     items = spark.createDataFrame([([(1, 3, "a"), (3, 9, "c"), (2, 4, "b"), (3, 1, "d")],)], "i array<struct<priority:int,cost:int,text:string>>")
     fit = lambda n: items.select(wording.within_budget(F.col("i"), n).alias("t")).first().t
     assert fit(17) == ["a", "c", "b", "d"] and fit(16) == ["a", "b"] and fit(2) == []
+
+
+def test_argument_polarity_as_in_a_sentence(spark):
+    """The windows over units tell the same arguments as the loop over one sentence."""
+    import random
+
+    from gristmill.functions.sentiment import ARGUMENT_REACH, ARGUMENT_TAGS, NEGATION_REACH, NOUN_TAGS, Lexicon, score_units
+    from gristmill.operators import units
+
+    rng, rows, want = random.Random(5), [], []
+    lex = Lexicon({"good": 2, "bad": -1}, {"more": 1, "less": -1}, {"price": -1}, {}, ("not",))
+    for i in range(200):
+        tags = [*NOUN_TAGS, *ARGUMENT_TAGS, "XX"]
+        row = [{"lemma": rng.choice(["good", "bad", "price", "x", "more", "less", "not"]), "tag": rng.choice(tags), "start": k, "finish": k + 1} for k in range(rng.randrange(1, 25))]
+        rows += [(i, 0, k, u["lemma"], u["tag"]) for k, u in enumerate(row)]
+        found = score_units(row, lex)[1]
+        verbs = sum(u["lemma"] in lex.directions for u in row)
+        want += [(i, f) for f in found[:verbs]]
+    of = lambda rows, kind: spark.createDataFrame(rows, kind)
+    got = units.argument_polarity(of(rows, "id int, sentence int, pos int, lemma string, tag string"), of([("more", 1), ("less", -1)], "verb string, direction int"), of([("good", 2), ("bad", -1)], "word string, score int"), of([("price", -1)], "word string, valence int"), ("not",), tuple(NOUN_TAGS), tuple(ARGUMENT_TAGS), ARGUMENT_REACH, NEGATION_REACH)
+    told = [(r.id, f"{r.noun + '+' if r.noun else ''}{r.verb}{'!' if r.negated else ''}:{r.score:+d}") for r in got.orderBy("id", "verb_at").collect()]
+    assert told == want
