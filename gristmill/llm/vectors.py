@@ -130,8 +130,8 @@ def exact_topk(vectors: DataFrame, every: int = 50, k: int = 5, id_col: str = "v
 # --- approximate nearest neighbours ---------------------------------------------------------------------------
 
 #: Projections; half-width of the last window in units of the k-th distance; chance that a neighbour at that distance
-#: reaches the collision threshold; growth of a window.
-PROJECTIONS, REACH, CATCH, GROWTH = 160, 1.0, 0.975, 1.6
+#: reaches the collision threshold; growth of a window; times k vectors that a step may bring before k are found.
+PROJECTIONS, REACH, CATCH, GROWTH, MANY = 160, 1.0, 0.93, 1.6, 4
 
 
 def _collision_search(k: int) -> Callable:
@@ -161,14 +161,16 @@ def _collision_search(k: int) -> Callable:
             met[ids == own] = -2 * PROJECTIONS  # never enough
             lo = hi = ends(centre, "left")
             seen, far, near = np.zeros(n, bool), np.full(n, np.inf), float(y @ y)
-            left, half, found = int((ids != own).sum()), first, 0
+            left, half, found, before = int((ids != own).sum()), first, 0, 0.0
             while left:
                 a, b = np.minimum(ends(centre - half, "left"), lo), np.maximum(ends(centre + half, "right"), hi)
                 ring = [order[s:t] for s, t in zip(a.tolist(), lo.tolist(), strict=True) if s < t] + [order[s:t] for s, t in zip(hi.tolist(), b.tolist(), strict=True) if s < t]
-                if ring:
-                    met += np.bincount(np.concatenate(ring), minlength=n)
-                lo, hi = a, b
-                fresh = np.flatnonzero((met >= enough) & ~seen)
+                more = met + np.bincount(np.concatenate(ring), minlength=n) if ring else met
+                fresh = np.flatnonzero((more >= enough) & ~seen)
+                if found < k and found + len(fresh) > MANY * k and half > before * 1.01:
+                    half = np.sqrt(max(before, half / GROWTH**2) * half)  # too far at once: step back, nothing is verified yet
+                    continue
+                met, lo, hi, before = more, a, b, half
                 if len(fresh):
                     seen[fresh] = True
                     far[fresh] = np.sqrt(np.maximum(np.nan_to_num(squares[fresh] + near - 2 * (x[fresh] @ y), nan=np.inf), 0))
@@ -181,6 +183,7 @@ def _collision_search(k: int) -> Callable:
                 else:
                     half *= GROWTH
             at = np.flatnonzero(seen)
+            search.verified = len(at)  # for tests: distances that were computed
             if len(at) > k:  # what rounding of the quick distance may let in stays for the exact one
                 at = at[far[at] <= np.partition(far[at], k - 1)[k - 1] * (1 + 1e-6) + 1e-6 * np.sqrt(near + 1e-300)]
             exact = np.sqrt(((x[at] - y) ** 2).sum(1))

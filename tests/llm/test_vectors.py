@@ -66,3 +66,18 @@ def test_bounds_hold():
     for s in (1, 4, 7, 15):
         m = vectors.segment_statistics(x, s)
         assert (m @ m.T >= x @ x.T - 1e-6).all()
+
+
+def test_few_vectors_are_verified():
+    """Recall of the neighbours in one block, and the share of it whose distances are computed."""
+    rng = np.random.default_rng(3)
+    centres = rng.standard_normal((40, 64))
+    for x, most in ((rng.standard_normal((8192, 64)), 0.35), (centres[rng.integers(0, 40, 8192)] + 0.2 * rng.standard_normal((8192, 64)), 0.1)):
+        search, hit, verified = vectors._collision_search(10)(np.arange(len(x)), x), 0, 0
+        for i in range(0, len(x), 200):
+            _, found = search(i, x[i])
+            far = np.sort(np.delete(((x - x[i]) ** 2).sum(1), i))[:10]
+            hit += (found**2 <= far[-1] + 1e-9).sum()
+            verified += search.verified
+        asked = len(range(0, len(x), 200))
+        assert hit >= 0.95 * 10 * asked and verified <= most * asked * len(x)
