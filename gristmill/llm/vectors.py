@@ -98,6 +98,8 @@ def _exact_search(k: int) -> Callable:
             if wide or float(np.abs(y).max()) * top * dim >= 2.0**53:  # whole numbers of any size, held to the range of a long
                 z = [sum(int(a) * int(b) for a, b in zip(x[i], y, strict=True)) for i in at]
                 return np.array([min(max(s, -(2**63)), 2**63 - 1) for s in z], np.int64)
+            if 2 * len(at) > len(x):  # one product with the whole block costs less than to gather most of it
+                return np.rint(x @ y)[at].astype(np.int64)
             return np.rint(x[at] @ y).astype(np.int64)
 
         def search(own: int, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -110,7 +112,7 @@ def _exact_search(k: int) -> Callable:
                 slack = 1e-9 * float(np.sqrt((x * x).sum(1).max() * (y * y).sum())) + 1e-6
                 at = at[bound >= least - slack]
                 for s, m in zip(levels[1:], stats[1:], strict=True):
-                    if len(at) <= 4 * k:
+                    if len(at) <= 4 * k or 2 * len(at) > len(x):  # few are left, or bounds tell these vectors too little to pay for themselves
                         break
                     at = at[m[at] @ segment_statistics(y[None], s)[0] >= least - slack]
             scores = exact(at, y)
