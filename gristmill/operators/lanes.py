@@ -16,11 +16,6 @@ from gristmill.operators.greedy import cut
 from gristmill.operators.ordering import order_by_reports
 
 
-def told_before(new: DataFrame, history: DataFrame, events: Events | None = None) -> DataFrame:
-    """(id) of those in new that tell of the same event as one in history; both are (id, token)."""
-    return all_overlaps(new, history).where(same_event(events)).select(F.col("a").alias("id")).distinct()
-
-
 def select_by_lane(members: DataFrame, pairs: DataFrame, lanes: Iterable[str], top: int, least_reports: int = 3, known: DataFrame | None = None, events: Events | None = None) -> tuple[DataFrame, DataFrame]:
     """(lane, place, id, leader, report_count, score) of the best of each lane, and (lane, id, leader) of all records they stand for.
 

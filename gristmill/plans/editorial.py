@@ -170,7 +170,7 @@ def lane_members(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame
     tokens = cut(r.select("id", matching.signature_tokens(whole, w).alias("tokens")))
     sig = cut(events.signatures(tokens, F.col("tokens"), TABLES.events))
     before = _table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("id"), matching.signature_tokens(F.col("text"), w).alias("tokens"))
-    known = lanes.told_before(sig, events.signatures(before, F.col("tokens"), TABLES.events), TABLES.events)
+    known = events.told_before(sig, events.signatures(before, F.col("tokens"), TABLES.events), TABLES.events)
     return cut(m), cut(events.similar_pairs(sig, TABLES.events)), cut(known), tokens
 
 
