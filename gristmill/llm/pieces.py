@@ -10,8 +10,9 @@ characters of both merge to. So a text needs no merging of its own:
    same whatever follows, so no place fails twice and the work is linear in the text.
 4. Two pieces are compatible if their characters, merged again, give these two. Answers are kept, as most pairs come again.
 
-Where the vocabulary has no piece with a space behind another character, no merge crosses such a place: the text is cut there, and
-the ids of short stretches are kept in a bounded table. Characters that no piece holds become their UTF-8 bytes.
+Where no piece has a space behind another character, or a letter beside a mark, no merge crosses such a place: the text is cut there, and
+the ids of short stretches are kept in a bounded table. Which characters are told apart so is taken from the pieces. Characters that no
+piece holds become their UTF-8 bytes.
 
 The model's normaliser must be the identity, with a space in front of the text and no removal of spaces; others are refused.
 
@@ -104,6 +105,33 @@ def load(path: str) -> Vocabulary:
     return made
 
 
+def _stretches(whole: set[str]) -> str:
+    """A pattern of stretches that no merge leaves: spaces and what follows them, up to the next space or change of kind.
+
+    Characters that stand side by side in some piece are of one kind, and so on from one to the next. Marks are all kinds that
+    ASCII characters but no ASCII letters belong to, and ASCII characters without a piece; the rest is of the other kind.
+    """
+    if any(re.search(f"[^{SPACE}]{SPACE}", p) for p in whole):
+        return "(?s).+"
+    kind: dict[str, str] = {}
+
+    def of(c: str) -> str:
+        while kind.setdefault(c, c) != c:
+            c = kind[c]
+        return c
+
+    for p in whole:
+        for a, b in zip(p, p[1:], strict=False):
+            if SPACE not in (a, b):
+                kind[of(a)] = of(b)
+    known = set("".join(whole)) - {SPACE}
+    letters = {of(c) for c in known if c.isascii() and c.isalpha()}
+    plain = {of(c) for c in known if c.isascii()} - letters
+    marks = {c for c in known if of(c) in plain} | {chr(c) for c in range(128) if chr(c) not in known}
+    marks = "".join(map(re.escape, sorted(marks)))
+    return f"{SPACE}*[^{SPACE}{marks}]+|{SPACE}*[{marks}]+|{SPACE}+" if marks else f"{SPACE}*[^{SPACE}]+|{SPACE}+"
+
+
 class Encoder:
     """Encodes texts by backtracking; one a worker."""
 
@@ -112,13 +140,14 @@ class Encoder:
         self.known = set("".join(v.whole))
         self.size = [len(p) for p in v.pieces]
         self.automaton = ahocorasick.Automaton()
+        self.single = {p: v.ids[p] for p in v.whole if len(p) == 1}
         for piece in v.whole:
-            self.automaton.add_word(piece, v.ids[piece])
+            if len(piece) > 1:  # of single characters each place has one, which needs no search
+                self.automaton.add_word(piece, v.ids[piece])
         self.automaton.make_automaton()
         # the longest prefix of a piece that is a piece; -1: there is none
         self.shorter = [next((v.ids[p[:n]] for n in range(len(p) - 1, 0, -1) if p[:n] in v.whole), -1) if p in v.whole else -1 for p in v.pieces]
-        crossing = any(re.search(f"[^{SPACE}]{SPACE}", p) for p in v.whole)
-        self.stretches = re.compile("(?s).+" if crossing else f"{SPACE}*[^{SPACE}]+|{SPACE}+").findall
+        self.stretches = re.compile(_stretches(v.whole)).findall
         self.kept: dict[str, tuple[int, ...]] = {}
         self.pairs: dict[int, bool] = {}
 
@@ -126,14 +155,33 @@ class Encoder:
         """Whether the characters of two neighbours, merged again, give these two. The answer is kept."""
         if len(self.pairs) >= PAIRS:
             self.pairs.clear()
-        x, y = self.v.pieces[a], self.v.pieces[b]
-        found = self.pairs[a << 32 | b] = self.v.merged(x + y) == [x, y]
+        found = self.pairs[a << 32 | b] = self._apart(self.v.pieces[a], self.v.pieces[b])
         return found
 
+    def _apart(self, x: str, y: str) -> bool:
+        """Whether no merge of the characters of both joins the two sides. Each side alone merges to itself, so then both are left."""
+        order, parts, edge = self.v.order, [*x, *y], len(x)
+        none = len(order)
+        ranks = [order.get(a + b, none) for a, b in zip(parts, parts[1:], strict=False)]
+        while True:
+            best = min(ranks)
+            i = ranks.index(best)
+            if best == none:
+                return True
+            if i == edge - 1:
+                return False
+            parts[i] += parts.pop(i + 1)
+            del ranks[i]
+            if i:
+                ranks[i - 1] = order.get(parts[i - 1] + parts[i], none)
+            if i < len(ranks):
+                ranks[i] = order.get(parts[i] + parts[i + 1], none)
+            edge -= i < edge - 1
+
     def backtracked(self, text: str) -> list[int]:
         """The ids of a text whose characters are all pieces."""
         n, size, shorter, pairs = len(text), self.size, self.shorter, self.pairs
-        longest = [-1] * (n + 1)
+        longest = [*map(self.single.__getitem__, text), -1]
         for end, piece in self.automaton.iter(text):  # ends ascend, so the last one found from a place is the longest
             longest[end + 1 - size[piece]] = piece
         failed, any_failed, out, last, at, piece = bytearray(n // 8 + 1), False, [], -1, 0, longest[0]

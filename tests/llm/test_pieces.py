@@ -96,3 +96,16 @@ def test_columns(spark, own):
     assert pieces.report(df.limit(0), MODEL).count() == 0
     with pytest.raises(ValueError):
         pieces.encoded(df, MODEL, into="TEXT")
+
+
+def test_no_piece_is_cut(vocabulary):
+    """Stretches join to the text, and every piece is one stretch, also behind and before other pieces that it merges with."""
+    cut = pieces.Encoder(vocabulary).stretches
+    assert [p for p in vocabulary.whole if cut(p) != [p]] == []
+    rng, some = random.Random(3), list(vocabulary.order)
+    for _ in range(3000):
+        text = "".join(rng.choices(some + ODD, k=6)).replace(" ", "▁")
+        assert "".join(cut(text)) == text
+    assert len(cut("▁Well,▁it's▁3.\nYes")) > 6
+    assert pieces._stretches({"a", "b", "ab", "a▁b", "▁"}) == "(?s).+"
+    assert pieces._stretches({"a", ".", "a.", "▁"}).count("\\.") == 0  # a letter and a mark in one piece are one kind
