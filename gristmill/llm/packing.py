@@ -11,7 +11,7 @@ partly filled tail of bins a shard.
 Defined results: a text longer than a bin is cut into full bins and a rest that is packed like a document; an empty or
 null text gets one row without a bin; a null source or cluster conflicts with nothing; repeated rows are separate copies
 (numbered by copy) of one cluster; ties go by id, then copy, and the oldest of equally full bins. Null ids are packed too.
-An empty table gives an empty result.
+An empty table gives an empty result. Other columns, whatever their names, are ignored.
 """
 
 from __future__ import annotations

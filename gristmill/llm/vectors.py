@@ -9,7 +9,8 @@ bounded memory, and the best of each block are merged. Both searches share this
 Defined results for both: a vector that is null, empty or holds null or non-finite components takes no part (for nearest a
 zero vector neither), nor does one whose id is null; a query meets only vectors of its own length; rows with a query's own
 id aren't its candidates; rows that repeat an id each count as candidates, and of rows that repeat a query's id, the one with
-the smallest vector asks. With fewer candidates than k all are returned; an empty table gives an empty result.
+the smallest vector asks. With fewer candidates than k all are returned; an empty table gives an empty result. Other columns, whatever
+their names, are ignored.
 """
 
 from __future__ import annotations

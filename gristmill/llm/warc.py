@@ -8,7 +8,8 @@ Of records with equal payloads the one with the largest page_id is a response an
 of it and hold only headers. Payloads below least_bytes are always responses.
 
 Defined results: null html counts as empty; null page_id comes back as null and counts as the smallest; rows that repeat
-id, url and payload of the response are responses too; a null url is left out. An empty table gives an empty result.
+id, url and payload of the response are responses too; a null url is left out. Payloads of any length are whole: a member may be
+longer than a range. Other columns, whatever their names, are ignored. An empty table gives an empty result.
 """
 
 from __future__ import annotations
