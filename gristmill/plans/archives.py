@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gristmill.functions import cleaning, media, sentiment, structure, text, wording
+from gristmill.functions import article, cleaning, media, sentiment, structure, text, wording
 from gristmill.operators import board, explain
 from gristmill.plans.flagship import TABLES
 from gristmill.plans.flagship import records as documents_as_records
@@ -105,6 +105,16 @@ def decoded_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return d.select("doc_id", F.md5(text.decode_bytes(F.encode("t", "UTF-8"))).alias("digest"))
 
 
+def article_bodies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages with a meta element in front; records of every third page lack the press, of every second the date."""
+    k = F.col("page_id")
+    front = F.concat(F.lit('<meta content="Press '), (k % 7).cast("string"), F.lit('" property="og:site_name"><META name=\'article:published_time\' content=\'2024-01-0'), (k % 9 + 1).cast("string"), F.lit("'>"))
+    p = _table(spark, sf_dir, "pages").withColumn("html", F.concat(front, F.coalesce("html", F.lit(""))))
+    p = p.withColumn("blocks", article.blocks(F.col("html"))).withColumn("body", article.article_text(F.col("blocks")))
+    own = article.with_page(F.when(k % 3 > 0, "own"), F.when(k % 2 > 0, "then").otherwise(""), F.col("html"))
+    return p.select("page_id", F.size("blocks").cast("long").alias("blocks"), F.length("body").cast("long").alias("chars"), F.md5("body").alias("digest"), own["press"].alias("press"), own["published"].alias("published"))
+
+
 def unescaped_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = _table(spark, sf_dir, "conversations").withColumn("t", F.replace("text", F.lit("e"), F.lit("&eacute;&#65;&amp;lt;")))
     return c.select("conv_id", "turn", F.md5(text.unescape(F.col("t"))).alias("digest"))
@@ -193,6 +203,6 @@ def select_options(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ALL: tuple[Callable[[SparkSession, str], DataFrame], ...] = (
-    csv_archive, search_hits, state_file, latest_published, history_keys, windowed_events, decoded_texts, unescaped_texts, kept_records, match_contexts, section_headings,
+    csv_archive, search_hits, state_file, latest_published, history_keys, windowed_events, decoded_texts, article_bodies, unescaped_texts, kept_records, match_contexts, section_headings,
     source_sizes, gate_reasons, counting_differences, quota_errors, mark_verdicts, model_turns, sentiment_lexicon, select_options,
 )

@@ -586,6 +586,17 @@ WINDOWED_EVENTS = """
 WITH w AS (SELECT time_bucket(INTERVAL 6 HOUR, ts) AS s, event_type, count(*) AS n FROM events GROUP BY ALL)
 SELECT strftime(s, '%Y-%m-%d %H') AS start, event_type, n FROM w WHERE s + INTERVAL 6 HOUR <= (SELECT max(ts) FROM events) - INTERVAL 1 HOUR"""
 DECODED_TEXTS = "SELECT doc_id, md5('가나다라마바사아자차카타 ' || coalesce(text, '')) AS digest FROM documents"
+_BARE = "regexp_replace(html, '(?s)<!--.*?-->', '', 'g')"
+for _tag in ("head", "script", "style", "noscript", "nav", "header", "footer", "aside", "form"):
+    _BARE = rf"regexp_replace({_BARE}, '(?is)<{_tag}\b[^>]*>.*?</{_tag}\s*>', '', 'g')"
+_LINE = lambda x: _strip(rf"regexp_replace({_untagged(x)}, '\s+', ' ', 'g')")
+_KEPT = lambda least, links: f"array_to_string(list_transform(list_filter(bs, lambda b: length(b.text) >= {least} AND b.linked <= {links}::double * length(b.text)), lambda b: b.text), chr(10))"
+ARTICLE_BODIES = rf"""
+WITH s AS (SELECT page_id, regexp_split_to_array({_BARE}, '(?i)</?(?:p|div|li|ul|ol|h[1-6]|br|tr|td|table|section|article|main|blockquote|figure|figcaption|body|html)\b[^>]*>') AS parts FROM pages),
+b AS (SELECT page_id, list_filter(list_transform(parts, lambda x: {{'text': {_LINE("x")}, 'linked': coalesce(list_sum(list_transform(regexp_extract_all(x, '(?is)<a\b[^>]*>(.*?)</a\s*>', 1), lambda t: length({_LINE("t")}))), 0)}}), lambda b: b.text <> '') AS bs FROM s),
+k AS (SELECT page_id, len(bs) AS blocks, {_KEPT(40, 0.2)} AS strict, {_KEPT(10, 0.5)} AS loose FROM b),
+a AS (SELECT *, CASE WHEN length(strict) < 250 AND length(loose) > length(strict) THEN loose ELSE strict END AS body FROM k)
+SELECT page_id, blocks, length(body) AS chars, md5(body) AS digest, CASE WHEN page_id % 3 > 0 THEN 'own' ELSE 'Press ' || (page_id % 7) END AS press, CASE WHEN page_id % 2 > 0 THEN 'then' ELSE '2024-01-0' || (page_id % 9 + 1) END AS published FROM a"""
 UNESCAPED_TEXTS = "SELECT conv_id, turn, md5(replace(text, 'e', 'éA&lt;')) AS digest FROM conversations"
 KEPT_RECORDS = r"""
 WITH b AS (SELECT doc_id, CASE WHEN doc_id % 3 > 0 THEN translate(text, 'eaionrtsdlu', '가나다라마바사아자차카') ELSE translate(text, 'e', '가') END AS b FROM documents),
