@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from gristmill.functions.drafts import base_name
+from gristmill.functions.media import GENERATED, credit_by_name
 from gristmill.operators.ordering import numbered
 
 
@@ -60,3 +64,26 @@ def merged_options(have: DataFrame, wanted: DataFrame, renames: DataFrame) -> Da
     kept = have.join(first, have["name"] == first["old"], "left").select(F.lit(0).alias("part"), "pos", F.coalesce("new", "name").alias("name"), F.col("old").alias("change"))
     more = wanted.join(kept.select("name"), "name", "left_anti").select(F.lit(1).alias("part"), "pos", "name", F.lit("+").alias("change"))
     return numbered(kept.unionByName(more), "part", "pos", "name", into="rn").select((F.col("rn") - 1).alias("pos"), "name", "change")
+
+
+def with_credits(pictures: DataFrame, provenance: DataFrame, rules: Sequence[tuple[str, str]], services: dict[str, str], providers: dict[str, dict[str, str]], drawn: Sequence[str] = ("generated",)) -> DataFrame:
+    """pictures (source, original, ...) with credit: who is to be named for each; the empty string where nothing is known.
+
+    A generated picture (a source in drawn) says so; one without an original has no credit. Else the original's name, without folders, is looked up
+    in provenance (name, source, provider), a row a name: its service in services is the credit; a service in providers is told by its
+    provider, in any case, or else by the entry ''; a service in drawn is generated; and for all else, and for names that aren't there,
+    the first of rules (pattern, credit) that the name holds. Nothing is made up.
+    """
+    p = pictures.withColumn("_name", base_name(F.col("original")))
+    known = provenance.select(F.col("name").alias("_known"), F.col("source").alias("_service"), F.lower(F.coalesce("provider", F.lit(""))).alias("_provider"))
+    p = p.join(known, F.col("_name") == F.col("_known"), "left")
+    credit = F.when(F.col("source").isin(*drawn), GENERATED).when(F.coalesce("original", F.lit("")) == "", "")
+    for service, name in services.items():
+        credit = credit.when(F.col("_service") == service, name)
+    for service, names in providers.items():
+        told = F.lit(names.get("", service))
+        for provider, name in names.items():
+            told = F.when((F.col("_provider") == provider) & (F.lit(provider) != ""), name).otherwise(told)
+        credit = credit.when(F.col("_service") == service, told)
+    credit = credit.when(F.col("_service").isin(*drawn), GENERATED).otherwise(credit_by_name(F.col("_name"), rules))
+    return p.withColumn("credit", credit).drop("_name", "_known", "_service", "_provider")

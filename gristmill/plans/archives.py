@@ -193,6 +193,17 @@ def sentiment_lexicon(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentiment.merged_lexicon(d, good)
 
 
+def provenance_credits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages as pictures: every seventh is generated, every fifth has no original; of every third name the provenance is recorded."""
+    p, k = _table(spark, sf_dir, "pages"), F.col("page_id")
+    pictures = p.select("page_id", F.when(k % 7 == 0, "generated").otherwise("stock").alias("source"), F.when(k % 5 != 0, F.concat(F.lit("data\\\\"), "url")).alias("original"))
+    named = p.where(k % 3 == 0).groupBy(F.element_at(F.split("url", "/"), -1).alias("name")).agg(F.min("page_id").alias("at"))
+    at = F.col("at")
+    recorded = named.select("name", F.when(at % 4 == 0, "lens").when(at % 4 == 1, "commons").when(at % 4 == 2, "drawn").otherwise("odd").alias("source"), F.when(at % 8 == 1, "Museum").otherwise(F.lit(None)).alias("provider"))
+    made = board.with_credits(pictures, recorded, [("utm_source", "Feed"), (r"^\d", "Number")], {"lens": "Lens"}, {"commons": {"museum": "The Museum", "": "Commons"}}, ("generated", "drawn"))
+    return made.select("page_id", "credit")
+
+
 def select_options(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sources as the options of a board; wanted are languages; src1 is to be de, src2 to be fresh, src3 to be fresh too."""
     d = _table(spark, sf_dir, "documents")
@@ -204,5 +215,5 @@ def select_options(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 ALL: tuple[Callable[[SparkSession, str], DataFrame], ...] = (
     csv_archive, search_hits, state_file, latest_published, history_keys, windowed_events, decoded_texts, article_bodies, unescaped_texts, kept_records, match_contexts, section_headings,
-    source_sizes, gate_reasons, counting_differences, quota_errors, mark_verdicts, model_turns, sentiment_lexicon, select_options,
+    source_sizes, gate_reasons, counting_differences, quota_errors, mark_verdicts, model_turns, sentiment_lexicon, provenance_credits, select_options,
 )

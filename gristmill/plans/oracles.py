@@ -638,6 +638,10 @@ SELECT event_id, array_to_string(list_filter(c, lambda m: NOT (event_type = 'vie
 SENTIMENT_LEXICON = """
 WITH d AS (SELECT doc_id, split_part(text, ' ', 1) AS word, (doc_id % 7 - 3)::int AS score, length(source) * 10 + doc_id % 3 AS priority FROM documents)
 SELECT word, score FROM d WHERE word NOT IN (SELECT word FROM d JOIN labels ON labels.doc_id = d.doc_id WHERE toxic = 1) QUALIFY row_number() OVER (PARTITION BY word ORDER BY priority DESC, abs(score) DESC, score DESC) = 1"""
+PROVENANCE_CREDITS = """
+WITH p AS (SELECT page_id, string_split(url, '/')[-1] AS name FROM pages), r AS (SELECT name, min(page_id) AS pos FROM p WHERE page_id % 3 = 0 GROUP BY name)
+SELECT page_id, CASE WHEN page_id % 7 = 0 THEN 'AI 생성 이미지' WHEN page_id % 5 = 0 THEN '' WHEN pos % 4 = 0 THEN 'Lens' WHEN pos % 8 = 1 THEN 'The Museum' WHEN pos % 4 = 1 THEN 'Commons' WHEN pos % 4 = 2 THEN 'AI 생성 이미지'
+  WHEN contains(lower(p.name), 'utm_source') THEN 'Feed' WHEN regexp_matches(lower(p.name), '^[0-9]') THEN 'Number' ELSE '' END AS credit FROM p LEFT JOIN r ON r.name = p.name"""
 SELECT_OPTIONS = """
 WITH h AS (SELECT source AS old, CASE source WHEN 'src1' THEN 'de' WHEN 'src2' THEN 'fresh' WHEN 'src3' THEN CASE WHEN 'src2' NOT IN (SELECT source FROM documents) THEN 'fresh' END END AS fresh, min(doc_id) AS pos FROM documents GROUP BY source),
 k AS (SELECT 0 AS part, pos, coalesce(fresh, old) AS name, CASE WHEN fresh IS NOT NULL THEN old END AS change FROM h), w AS (SELECT lang AS name, min(doc_id) AS pos FROM documents GROUP BY lang),

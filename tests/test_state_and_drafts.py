@@ -38,3 +38,24 @@ def test_drafts(spark):
     df = spark.createDataFrame([("a /* 본문 */ \nb\u200b  \n끝\n", "C:\\x\\y/Some Set_012"), (None, None)], "t string, n string")
     rows = df.select(drafts.measured(F.col("t"), "끝").alias("m"), drafts.base_name(F.col("n")).alias("b"), drafts.set_name(drafts.base_name(F.col("n"))).alias("s")).collect()
     assert tuple(rows[0]) == ("a\nb", "Some Set_012", "some set") and rows[1].m is None
+
+
+def test_credits_by_provenance(spark):
+    from gristmill.functions.media import GENERATED
+    from gristmill.operators import board
+
+    rows = [("generated", "x/a.jpg"), ("stock", None), ("stock", ""), ("stock", "C:\\x\\a.jpg"), ("stock", "b.jpg"), ("stock", "c.jpg"), ("stock", "d.jpg"), ("stock", "pexels-1.jpg"), ("stock", "unknown.jpg"), (None, "e.jpg")]
+    known = [("a.jpg", "lens", None), ("b.jpg", "commons", "MUSEUM"), ("c.jpg", "commons", None), ("d.jpg", "drawn", None), ("e.jpg", "odd", None)]
+    df = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "i int, source string, original string")
+    made = board.with_credits(df, spark.createDataFrame(known, "name string, source string, provider string"), [("^pexels", "Pexels")], {"lens": "Lens"}, {"commons": {"museum": "The Museum", "": "Commons"}}, ("generated", "drawn"))
+    assert made.columns == [*df.columns, "credit"]
+    assert [r.credit for r in made.orderBy("i").collect()] == [GENERATED, "", "", "Lens", "The Museum", "Commons", GENERATED, "Pexels", "", ""]
+
+
+def test_options_are_merged_and_renamed(spark):
+    from gristmill.operators import board
+
+    of = lambda rows, kind: spark.createDataFrame(rows, kind)
+    have, wanted = of([("b", 2), ("a", 1), ("c", 3)], "name string, pos int"), of([("c", 1), ("new", 2), ("z", 0)], "name string, pos int")
+    renames = of([(1, "a", "c"), (2, "b", "new"), (3, "c", "new"), (4, "gone", "y")], "pos int, old string, new string")
+    assert [tuple(r) for r in board.merged_options(have, wanted, renames).orderBy("pos").collect()] == [(0, "a", None), (1, "new", "b"), (2, "c", None), (3, "z", "+")]
