@@ -103,3 +103,29 @@ def test_packs_and_pool(spark):
     b = events.representatives(spark.createDataFrame([(1, 1, True, 900, 9.0), (2, 1, False, 10, 2.0), (3, 3, False, 5, 1.0)], "id long, leader long, caption boolean, chars int, score double"))
     assert {(r.leader, r.id, r.report_count, r.score) for r in b.collect()} == {(1, 2, 2, 2.7), (3, 3, 1, 1.0)}
     assert b.where(F.col("report_count") > 1).count() == 1
+
+
+def test_similar_pairs_write_each_set_once(spark):
+    """What lies on disk beside the pairs is one copy of the sets, however many blocks there are; grouping makes no pairs at all."""
+    rng = random.Random(4)
+    held = {i: {f"w{k}" for k in rng.sample(range(70), rng.randint(1, 25))} | {"all"} for i in range(90)}
+    sig = spark.createDataFrame([(i, w, 1) for i, ws in held.items() for w in ws], "id long, token string, df long").repartition(5)
+    e, nodes = Events(jaccard=0.3, shared=5, overlap=0.7), spark.createDataFrame([(i,) for i in range(93)], "id long")
+    was = events.BLOCK, events.HEAD
+    events.BLOCK, events.HEAD = 8, 16
+    try:
+        pairs = events.similar_pairs(sig, e)
+        plan = pairs._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange" not in plan and "Generate" not in plan
+        got = {(r.id, r.leader) for r in events.grouped(nodes, sig, e).collect()}
+        assert got == {(r.id, r.leader) for r in events.clusters(nodes, pairs, e).collect()}
+    finally:
+        events.BLOCK, events.HEAD = was
+    led = []
+    for i in range(93):
+        mine = held.get(i, set())
+        tells = lambda j: (s := len(mine & held.get(j, set()))) and (s / len(mine | held[j]) >= 0.3 or (s >= 5 and s / min(len(mine), len(held[j])) >= 0.7))  # noqa: B023, E731
+        at = next((j for j in led if tells(j)), i)
+        led += [i] if at == i else []
+        assert (i, at) in got
+    assert 10 < len(led) < 90 and len(got) == 93
