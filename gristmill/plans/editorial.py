@@ -162,28 +162,34 @@ def lane_bundles(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.join(left, "lane", "left").select("lane", "nth", "bundle", "title", F.array_join("ids", ",").alias("ids"), F.array_join("members", ",").alias("members"), F.coalesce("held", F.lit(0)).alias("held"))
 
 
-def lane_members(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
-    """(members, pairs, known, tokens) of documents, each in the lanes of its language and of its source."""
+def lane_signatures(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """(members, signatures, known, tokens) of documents, each in the lanes of its language and of its source."""
     w, whole = TABLES.words, F.concat_ws("\n", "title", "body")
     r = records(spark, sf_dir)
     m = r.select("id", F.explode(F.array("lane", "press")).alias("lane"), text.title_key(F.col("title")).alias("key"), text.is_caption_title(F.col("title"), ("photo",)).alias("caption"), F.length("body").alias("chars"), matching.types_in(whole, w.core).cast("double").alias("score"))
     tokens = cut(r.select("id", matching.signature_tokens(whole, w).alias("tokens")))
     sig = cut(events.signatures(tokens, F.col("tokens"), TABLES.events))
     before = _table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("id"), matching.signature_tokens(F.col("text"), w).alias("tokens"))
-    known = events.told_before(sig, events.signatures(before, F.col("tokens"), TABLES.events), TABLES.events)
-    return cut(m), cut(events.similar_pairs(sig, TABLES.events)), cut(known), tokens
+    known = events.tell_of(sig, events.signatures(before, F.col("tokens"), TABLES.events), TABLES.events)
+    return cut(m), sig, known, tokens
+
+
+def lane_members(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """(members, pairs, known, tokens), for selections by pairs."""
+    members, sig, known, tokens = lane_signatures(spark, sf_dir)
+    return members, cut(events.similar_pairs(sig, TABLES.events)), cut(known), tokens
 
 
 def lane_selection(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ten records of each of four lanes, in turn (the bound is the feature)."""
-    members, pairs, known, _ = lane_members(spark, sf_dir)
-    return lanes.select_by_lane(members, pairs, LANES, 10, 2, known, TABLES.events)[0]
+    members, sig, known, _ = lane_signatures(spark, sf_dir)
+    return lanes.select_by_lane(members, None, LANES, 10, 2, cut(known), TABLES.events, sig)[0]
 
 
 def lane_sweep(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How alike the selected of two lanes are, by the reports that come first and the likeness that makes an event."""
-    members, pairs, _, tokens = lane_members(spark, sf_dir)
-    return lanes.lane_sweep(members, pairs, LANES[:2], 10, (1, 3), (0.15, 0.3), tokens)
+    members, sig, _, tokens = lane_signatures(spark, sf_dir)
+    return lanes.lane_sweep(members, None, LANES[:2], 10, (1, 3), (0.15, 0.3), tokens, sig)
 
 
 ALL: tuple[Callable[[SparkSession, str], DataFrame], ...] = (

@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from gristmill.config import Events
 from gristmill.functions import media
-from gristmill.operators import lanes, units, vectors
+from gristmill.operators import events, lanes, units, vectors
 from gristmill.plans import editorial
 
 SF = "/root/testdata/sf0.001"
@@ -129,3 +129,20 @@ def test_units_without_any(spark):
     s = spark.createDataFrame([(1, 0, "b."), (1, 1, "a!"), (1, 2, " "), (2, 0, "none")], "id long, sentence int, text string")
     got = {r.id: tuple(r)[1:] for r in units.styles(s, [("x", "a!$"), ("y", r"b\.$")]).collect()}
     assert got == {1: (2, 2.0, "y", 0.5), 2: (1, 4.0, "", 0.0)}
+
+
+def test_selection_without_pairs(spark, monkeypatch):
+    """By signatures alone the selection is the same, in rounds and blocks smaller than a lane, and no table of pairs is made."""
+    members, sig, known, tokens = editorial.lane_signatures(spark, SF)
+    pairs = events.similar_pairs(sig, E)
+    p, m, k = pairs.collect(), members.collect(), {r.id for r in known.collect()}
+    monkeypatch.setattr(events, "HEAD", 9)
+    monkeypatch.setattr(events, "BLOCK", 7)
+    monkeypatch.setattr(events, "similar_pairs", None)
+    order = editorial.LANES[:2]
+    want = plain_selection(m, p, k, order, 5, 2)
+    rows = sorted(lanes.select_by_lane(members, None, order, 5, 2, known, E, sig)[0].collect(), key=lambda r: r.place)
+    for lane in order:
+        assert [(r.id, r.leader, r.report_count, r.score) for r in rows if r.lane == lane] == want[lane]
+    new, old = sig.where("id % 3 = 0"), sig.where("id % 3 > 0")
+    assert {r.id for r in events.tell_of(new, old, E).collect()} == {x for r in p if _same(r, E.jaccard) for x, y in ((r.a, r.b), (r.b, r.a)) if x % 3 == 0 and y % 3}
