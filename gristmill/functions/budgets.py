@@ -66,10 +66,14 @@ def prompt_parts(scene: Column, person: Column, domain: Column, mood: Column, sh
 def negative_terms(fixed: Column, asked: Column, conflicts: Column, budget: int = BUDGET, least: int = LEAST_TERMS) -> Column:
     """The fixed terms, then those asked for that are new, whatever their case, and in no conflict; the tail is cut until the tokens
     fit, but `least` terms stay."""
+    named = lambda x, f: F.transform(F.array(x), f)[0]  # worked out once, where a lambda would do it again for each item
     asked = F.filter(F.transform(asked, strip), lambda t: t != "")
-    low, known = F.transform(asked, F.lower), F.concat(F.transform(fixed, F.lower), F.transform(conflicts, F.lower))
-    fresh = F.filter(asked, lambda t, i: (F.array_position(low, F.lower(t)) == i + 1) & ~F.array_contains(known, F.lower(t)))
-    terms = F.concat(fixed, fresh)
+    known = F.concat(F.transform(fixed, F.lower), F.transform(conflicts, F.lower))
+    rows = F.array_sort(F.transform(asked, lambda t, i: F.struct(F.lower(t).alias("low"), i.alias("i"), t.alias("t"))))
+    # sorted, the first place of a term is the one whose neighbour before is another term
+    first = lambda r, k: F.filter(r, lambda x, i: ((i == 0) | (F.get(r, i - 1)["low"] != x["low"])) & ~F.array_contains(k, x["low"]))
+    fresh = named(known, lambda k: named(rows, lambda r: F.array_sort(F.transform(first(r, k), lambda x: F.struct(x["i"], x["t"])))))
+    terms = F.concat(fixed, F.transform(fresh, lambda x: x["t"]))
     start = F.struct(F.lit(0).alias("n"), F.lit(0).alias("words"), F.lit(0).alias("points"), F.lit(0).alias("fits"))
 
     def step(a: Column, t: Column) -> Column:
@@ -78,7 +82,7 @@ def negative_terms(fixed: Column, asked: Column, conflicts: Column, budget: int
         return F.struct(n.alias("n"), words.alias("words"), points.alias("points"), F.when((n <= least) | (_cost(words, points) <= budget), n).otherwise(a["fits"]).alias("fits"))
 
     # costs never fall with a further term, so the last number that fits is where cutting from the tail stops
-    return F.slice(terms, F.lit(1), F.aggregate(terms, start, step, lambda a: a["fits"]))
+    return named(terms, lambda all_: F.slice(all_, F.lit(1), F.aggregate(all_, start, step, lambda a: a["fits"])))
 
 
 def chapter_share(target: Column, chapters: Column, frame: int = FRAME, least: int = LEAST_CHAPTER) -> Column:

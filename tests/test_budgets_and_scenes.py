@@ -3,6 +3,7 @@
 import difflib
 import random
 import re
+import time
 
 import pytest
 
@@ -106,3 +107,18 @@ def test_label_store(spark, tmp_path):
     assert told() == want | {"http://b/": ("new", "")}
     df = labels.load_labels(spark, folder).withColumn("search_keyword", F.when(F.col("label") == "new", " ").otherwise("k"))
     assert labels.labelled(df, ["new", "kept"]).count() == 2 and labels.labelled(df, ["new", "kept"], keyword_only=True).count() == 1
+
+
+def test_negative_terms_of_long_lists(spark):
+    """Twenty thousand terms a row, mostly new: work by the square of a row, each item anew, wouldn't end."""
+    words = [f"W{i % 15_000}" if i % 3 else f"w{i % 15_000} " for i in range(20_000)] + ["", None, "Fixed"]
+    df = spark.createDataFrame([(words, ["w0", "W7"]), ([], []), (None, [])], "asked array<string>, bad array<string>")
+    began = time.time()
+    got = [r.t for r in df.select(budgets.negative_terms(F.array(F.lit("fixed")), F.col("asked"), F.col("bad"), 10**6, 3).alias("t")).collect()]
+    assert time.time() - began < 60
+    seen, want = {"fixed", "w0", "w7"}, ["fixed"]
+    for w in words:
+        if w and w.strip().lower() not in seen:
+            seen.add(w.strip().lower())
+            want.append(w.strip())
+    assert got == [want, ["fixed"], None]
