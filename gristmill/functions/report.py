@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gristmill.functions.text import strip
+from gristmill.functions.text import WHITE, strip
 
 #: The settings of a report and what holds where a row says nothing.
 DEFAULTS: dict[str, str | int | float] = {
@@ -56,11 +56,12 @@ def _says(when: Column, what: str, *values: Column) -> Column:
     return F.when(when, F.concat_ws(" ", F.lit(what), *(v.cast("string") for v in values)))
 
 
-def measured_structure(df: DataFrame, text: str, keyword: str, settings: str) -> DataFrame:
+def measured_structure(df: DataFrame, text: str, keyword: str, settings: str, alt_white: str = WHITE) -> DataFrame:
     """df with title, chapters, body_chars, lines, short_share, longest_line, headings, bullets, images, paragraphs, longest_paragraph,
     in_title, in_head, in_intro, in_chapters and structure_warnings. settings: a column like settings_of's value.
 
     Places of the keyword are counted without blanks and are null where the row has no keyword. A draft without lines has a null title.
+    alt_white: the characters that don't count at the ends of a picture's text.
     """
     t, s = F.coalesce(F.col(text), F.lit("")), lambda name: F.col(settings)[name]
     longest = lambda a: F.coalesce(F.array_max(F.transform(a, F.length)), F.lit(0))
@@ -72,7 +73,7 @@ def measured_structure(df: DataFrame, text: str, keyword: str, settings: str) ->
         "body_chars": F.aggregate("_lines", F.lit(0).cast("long"), lambda a, x: a + F.length(x)), "lines": n.cast("long"),
         "short_share": F.when(n > 0, F.bround(F.size(F.filter("_lines", lambda x: F.length(x) <= s("max_line"))) / n, 4)).otherwise(0.0),
         "longest_line": longest("_lines").cast("long"), "headings": F.regexp_count(t, F.lit(HEADING)).cast("long"), "bullets": F.regexp_count(t, F.lit(BULLET)).cast("long"),
-        "_alts": F.transform(F.regexp_extract_all(t, F.lit(IMAGE), F.lit(1)), strip), "paragraphs": F.size("_blocks").cast("long"), "longest_paragraph": longest("_blocks").cast("long"),
+        "_alts": F.transform(F.regexp_extract_all(t, F.lit(IMAGE), F.lit(1)), lambda a: F.btrim(a, F.lit(alt_white))), "paragraphs": F.size("_blocks").cast("long"), "longest_paragraph": longest("_blocks").cast("long"),
         "_key": F.replace(strip(F.coalesce(F.col(keyword), F.lit(""))), F.lit(" "), F.lit("")),
     })
     close = lambda c: F.replace(c, F.lit(" "), F.lit(""))

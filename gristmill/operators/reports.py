@@ -6,11 +6,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gristmill.functions.report import measured_structure, settings_of
+from gristmill.functions.text import WHITE
 
 MEASURES = ["title", "chapters", "body_chars", "lines", "short_share", "longest_line", "headings", "bullets", "images", "paragraphs", "longest_paragraph", "in_title", "in_head", "in_intro", "in_chapters"]
 
 
-def quality_reports(drafts: DataFrame, words: DataFrame, top: DataFrame, styles: DataFrame, sentiment: DataFrame, banned: DataFrame) -> DataFrame:
+def quality_reports(drafts: DataFrame, words: DataFrame, top: DataFrame, styles: DataFrame, sentiment: DataFrame, banned: DataFrame, alt_white: str = WHITE) -> DataFrame:
     """(id, error, passed, banned, warnings, measures) of drafts (id, text, keyword, settings).
 
     words: (id, tokens, distinct_tokens, nouns, diversity). top: (id, rank, word, n, density). styles: (id, sentences, mean_length,
@@ -19,7 +20,7 @@ def quality_reports(drafts: DataFrame, words: DataFrame, top: DataFrame, styles:
     passed: no word of a blocking class; warnings never block. A warning tells what, and the figure that led to it.
     """
     d = drafts.where(F.coalesce("text", F.lit("")) != "").withColumn("_s", settings_of(F.col("settings"))).withColumns({"error": F.col("_s.error"), "_set": F.col("_s.value")}).drop("_s", "settings")
-    d = measured_structure(d, "text", "keyword", "_set").drop("text", "keyword")
+    d = measured_structure(d, "text", "keyword", "_set", alt_white).drop("text", "keyword")
     s = lambda name: F.col("_set")[name]
     d = d.join(words.select("id", "tokens", "nouns", "diversity"), "id", "left").join(styles.select("id", "mean_length", "style", "consistency"), "id", "left")
     d = d.join(sentiment.select("id", "negative"), "id", "left").join(banned.select("id", F.col("n").alias("banned"), "blocked"), "id", "left")

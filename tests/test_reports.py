@@ -88,3 +88,12 @@ def test_errors_are_rows(spark):
     assert rows[1].error == "settings" and all(rows[1][c] is None for c in got.columns[2:]) and rows[5].error == "settings" and rows[6].error == "settings"
     assert rows[2].error is None and rows[2].passed is False and rows[2].banned == 4
     assert rows[2].warnings == ["overused text 9", "few different words", "mixed style plain", "negative", "long sentences", "structure: body short 8", "structure: chapters 0"]
+
+
+def test_white_space_of_picture_texts(spark):
+    """By default any white space at the ends of a picture's text doesn't count; a caller may say which does, as the query's SQL does."""
+    from gristmill.functions.report import measured_structure, settings_of
+
+    df = spark.createDataFrame([("![ Wh erth at at.\n](p.jpg)",)], "text string").withColumns({"key": F.lit(""), "set": settings_of(F.lit('{"format": "markdown"}'))["value"]})
+    told = lambda **white: [w for w in measured_structure(df, "text", "key", "set", **white).first().structure_warnings if w.startswith("alt")]
+    assert told() == ["alt short 14"] and told(alt_white=" ") == ["alt short 15"]
