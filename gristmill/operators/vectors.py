@@ -32,11 +32,12 @@ def _best(df: DataFrame, id_col: str = "id") -> DataFrame:
     return r.where("rn = 1").select(id_col, F.col("candidate").alias("label"), F.col("sim").alias("score"), (F.col("sim") - F.coalesce("next", F.lit(0.0))).alias("margin"))
 
 
-BLOCK = 4096
+#: Vectors of a block; anchors of a block, as so many times more, and how many of them are compared at once.
+BLOCK, WIDE, STEP = 4096, 8, 2048
 
 
-def _blocks(df: DataFrame) -> tuple[DataFrame, int]:
-    n = max(1, -(-df.count() // BLOCK))
+def _blocks(df: DataFrame, times: int = 1) -> tuple[DataFrame, int]:
+    n = max(1, -(-df.count() // (BLOCK * times)))
     return df.withColumn("block", F.pmod(F.xxhash64("id"), F.lit(n)).cast("int")), n
 
 
@@ -46,23 +47,33 @@ def neighbours(queries: DataFrame, anchors: DataFrame, k: int, least: float | No
     Blocks of anchors meet blocks of queries, one task a pair of blocks, and the best of the blocks are merged. With least
     and k = 0 all pairs with sim > least and id < other.
     """
-    a, na = _blocks(anchors.select("id", "label", "v"))
+    a, na = _blocks(anchors.select("id", "label", "v"), WIDE)
     q, nq = _blocks(queries.select("id", "v"))
     q = q.select(F.col("id").alias("asked"), F.col("v").alias("asked_v"), "block")
     a = a.withColumn("with", F.explode(F.sequence(F.lit(0), F.lit(nq - 1))))
     q = q.withColumnRenamed("block", "with").withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(na - 1))))
 
     def run(x: pd.DataFrame, y: pd.DataFrame) -> pd.DataFrame:
-        out = []
         if len(x) and len(y):
-            sims = np.stack(x.asked_v).astype(float) @ np.stack(y.v).astype(float).T
-            ids, labels = y.id.to_numpy(), y.label.to_numpy()
-            for own, row in zip(x.asked.to_numpy(), sims, strict=True):
-                at = np.flatnonzero(ids != own) if k else np.flatnonzero((ids > own) & (row > least))
-                if k:
-                    at = at[np.lexsort((ids[at], -row[at]))[:k]]
-                out.append(pd.DataFrame({"id": own, "other": ids[at], "label": labels[at], "sim": row[at]}))
-        return pd.concat(out) if out else pd.DataFrame({"id": [], "other": [], "label": [], "sim": []})
+            asks, held = np.stack(x.asked_v).astype(float), np.stack(y.v).astype(float)
+            ids, labels, asked = y.id.to_numpy(), y.label.to_numpy(), x.asked.to_numpy()
+            edge, found = np.full((len(asked), 1), -np.inf), []
+            for start in range(0, len(ids), STEP):
+                sims, others = asks @ held[start : start + STEP].T, ids[start : start + STEP]
+                if k and not start and k + 1 < len(others):
+                    # the k best of all, without oneself, aren't below the k+1st of a part; ties stay too
+                    edge = np.partition(np.where(np.isnan(sims), -np.inf, sims), len(others) - k - 1, axis=1)[:, [len(others) - k - 1]]
+                row, at = np.nonzero(~(sims < edge) if k else sims > least)
+                fits = others[at] != asked[row] if k else others[at] > asked[row]
+                found.append((row[fits], at[fits] + start, sims[row[fits], at[fits]]))
+            row, at, sim = (np.concatenate(c) for c in zip(*found, strict=True))
+            if k:
+                order = np.lexsort((ids[at], -sim, row))
+                row, at, sim = row[order], at[order], sim[order]
+                first = np.arange(len(row)) - np.searchsorted(row, row) < k
+                row, at, sim = row[first], at[first], sim[first]
+            return pd.DataFrame({"id": asked[row], "other": ids[at], "label": labels[at], "sim": sim})
+        return pd.DataFrame({"id": [], "other": [], "label": [], "sim": []})
 
     found = q.groupBy("block", "with").cogroup(a.groupBy("block", "with")).applyInPandas(run, "id long, other long, label long, sim double")
     if not k:

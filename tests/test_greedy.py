@@ -129,3 +129,20 @@ def test_similar_pairs_write_each_set_once(spark):
         led += [i] if at == i else []
         assert (i, at) in got
     assert 10 < len(led) < 90 and len(got) == 93
+
+
+def test_neighbours_of_equal_vectors_across_blocks(spark, monkeypatch):
+    """Ties at the k-th place go to the smaller ids, also where a block holds many of them; less than k anchors give all."""
+    monkeypatch.setattr(vectors, "BLOCK", 3)
+    monkeypatch.setattr(vectors, "STEP", 8)
+    rng = random.Random(3)
+    rows = [(i, i % 3, [float(rng.randrange(2)), float(rng.randrange(3)), 1.0]) for i in range(40)]
+    df = spark.createDataFrame(rows, "id long, label long, v array<double>")
+    dots = {(a, b): sum(x * y for x, y in zip(v, w, strict=True)) for a, _, v in rows for b, _, w in rows}
+    for k in (1, 5, 60):
+        got = {}
+        for r in vectors.neighbours(df, df, k).collect():
+            got.setdefault(r.id, []).append((-r.sim, r.other))
+        assert {a: sorted(x) for a, x in got.items()} == {a: sorted((-dots[a, b], b) for b in range(40) if b != a)[:k] for a in range(40)}
+    near = {(r.a, r.b) for r in vectors.near_equal(df, 4.5).collect()}
+    assert near == {(a, b) for (a, b), d in dots.items() if a < b and d > 4.5}
