@@ -5,6 +5,7 @@ import random
 import re
 import time
 
+import pandas as pd
 import pytest
 
 from gristmill.functions import budgets
@@ -122,3 +123,32 @@ def test_negative_terms_of_long_lists(spark):
             seen.add(w.strip().lower())
             want.append(w.strip())
     assert got == [want, ["fixed"], None]
+
+
+def test_pairs_that_reach_no_ratio_are_not_compared():
+    """Lines with the same characters in another order pass the counts of characters; few of them get as far as the ratio."""
+    rng = random.Random(6)
+    letters = "".join(rng.choice("abcdefghij klmnop") for _ in range(60))
+    texts = ["".join(rng.sample(letters, 60)) for _ in range(80)] + [letters, letters[:58] + "zz", "", "é漢字", "x" * 64, "x" * 63 + "y", "w" * 65]
+    known, coded = similarity._coded(texts)
+
+    def longest(a, b):
+        row = [0] * (len(b) + 1)
+        for x in a:
+            new = [0]
+            for j, y in enumerate(b):
+                new.append(row[j] + 1 if x == y else max(row[j + 1], new[j]))
+            row = new
+        return row[-1]
+
+    for t in (texts[0], letters, "", "x" * 64, "字é"):
+        assert similarity.common(t, known, coded).tolist() == [longest(t, u) for u in texts]
+    seen, real = [], similarity.ratio
+    similarity.ratio = lambda a, b: seen.append((a, b)) or real(a, b)
+    try:
+        frame = pd.DataFrame({"seq": range(len(texts)), "scene": texts})
+        got = {(i, j) for i, j, _ in similarity._alike(frame, frame, "scene", 0.6)}
+    finally:
+        similarity.ratio = real
+    assert got == {(i, j) for i, a in enumerate(texts) for j, b in enumerate(texts[:i]) if real(a, b) >= 0.6} and (81, 80) in got
+    assert len(seen) < len(texts) ** 2 / 10
