@@ -38,7 +38,7 @@ def accepting_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def quota_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sources as categories that want 12 each, languages as queries with an equal share of that; a name counts once it was read."""
-    d = _table(spark, sf_dir, "documents").withColumns({"query": F.concat_ws("/", "source", "lang"), "name": F.col("n_chars") % 211})
+    d = _table(spark, sf_dir, "documents").select("doc_id", "source", "lang", "n_chars", F.concat_ws("/", "source", "lang").alias("query"), (F.col("n_chars") % 211).alias("name"))
     asked = [Quota("target", "source", 12, stops=True), Quota("quota", "query", 3, stops=True), Quota("duplicate", "name", 1, first=True, read=True)]
     return quotas.scanned(d, ["source", "lang", "doc_id"], asked, F.when(F.col("n_chars") % 5 == 0, "small")).select("doc_id", "verdict")
 

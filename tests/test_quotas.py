@@ -75,3 +75,13 @@ def test_running_sums(spark):
     assert {tuple(r) for r in got} == want
     same = ordering.numbered(spark.createDataFrame([(1,)] * 50, "x int").repartition(3), "x")
     assert sorted(r.rn for r in same.collect()) == list(range(1, 51))
+
+
+def test_scans_carry_no_texts(spark, monkeypatch):
+    """What a scan numbers and writes between its rounds are keys, not the texts of the table."""
+    from gristmill.plans import scans
+
+    seen, real = [], quotas.scanned
+    monkeypatch.setattr(quotas, "scanned", lambda df, *a: seen.append(df.columns) or real(df, *a))
+    scans.quota_scan(spark, "/root/testdata/sf0.001")
+    assert seen and "text" not in seen[0]
