@@ -57,3 +57,14 @@ def test_record_scores_of_long_titles(spark):
     got = {r.id: (r.score, r.matched) for r in scoring.record_scores(df, F.col("title"), F.coalesce("body", F.array().cast("array<string>")), weights).collect()}
     bonus = scoring.Trend().title_bonus
     assert got == {1: (1.5 * bonus + 0.25, ["a", "b", "c"]), 2: (0.5, ["b"])}
+
+
+def test_topics_make_no_row_for_a_word(spark, monkeypatch):
+    monkeypatch.setattr(events, "BLOCK", 16)
+    monkeypatch.setattr(events, "HUBS", 2)
+    rng = random.Random(5)
+    rows = [(i, [f"t{i % 6}w{rng.randrange(30)}" for _ in range(rng.randrange(9))] + ["all"], [f"h{rng.randrange(400)}"][: i % 2]) for i in range(150)]
+    df = spark.createDataFrame(rows + rows[:3], "id long, words array<string>, title array<string>").repartition(3)
+    told = events.topic_words(df, F.col("words"), F.col("title"))
+    assert told.columns == ["id", "words", "titled"] and told.count() == 150  # a record that comes twice is one
+    assert {r.id: r.root for r in events.topics(told).collect()} == roots(rows)
