@@ -66,13 +66,18 @@ def route(df: DataFrame, verdicts: DataFrame, key: str, seq: str, organisation:
     each lane the first record of a key stays. Adds moved_from.
     """
     v = last_wins(verdicts.withColumn("_s", F.monotonically_increasing_id()), key, "_s").select(key, "verdict") if verdicts.columns != [key, "verdict"] else verdicts
-    r = df.join(v, key, "left")
+    # Rows that are inside the same windows fare alike whatever their verdict, so of those of a key and lane the first is enough: aggregates
+    # without a sort, before anything is joined by key.
+    days = lanes.agg(F.collect_set("lookback_days").alias("_days"))
+    outside = F.when(F.col(published).isNotNull(), F.size(F.filter("_days", lambda d: F.col(published) < now - F.make_dt_interval(d))))
+    rest = [c for c in df.columns if c not in ("lane", key, seq)]
+    thin = df.join(F.broadcast(days)).groupBy(key, "lane", outside.alias("_outside")).agg(F.min(seq).alias(seq), *(F.min_by(c, seq).alias(c) for c in rest))
+    r = thin.join(v, key, "left")
     target = F.when(F.col("verdict") == organisation, F.lit(organisation)).when(F.col("lane") == organisation, F.col("verdict")).otherwise(F.col("lane"))
     r = r.withColumn("moved_from", F.col("lane")).withColumn("lane", target).join(lanes, "lane")
     fresh = (F.col("lane") == F.col("moved_from")) | F.col(published).isNull() | (F.col(published) >= now - F.make_dt_interval(F.col("lookback_days")))
-    r = r.where(fresh).drop("verdict", "lookback_days")
     w = W.partitionBy("lane", key).orderBy(seq)
-    return r.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn")
+    return r.where(fresh).withColumn("_rn", F.row_number().over(w)).where("_rn = 1").select(*df.columns, "moved_from")
 
 
 def upsert(old: DataFrame, new: DataFrame, key: str) -> DataFrame:

@@ -41,3 +41,20 @@ def test_lanes_and_policies_are_whole(spark):
     assert sets.retained(rows.withColumnRenamed("lane", "status"), policy, "ts", now).count() == 0
     held = incremental.held_status(rows, rows.where("false"), lanes, "key", "ts", now, 7)
     assert {(r.status, r["count"]) for r in held.groupBy("status").count().collect()} == {("expired", N)}
+
+
+def test_route_thins_rows_before_the_join(spark):
+    day = lambda d: f"2024-01-{d:02d}"
+    made = [(i, "abc"[i % 3], i % 5 if i % 11 else None, day(i * 7 % 30 + 1) if i % 4 else None) for i in range(240)]
+    rows = spark.createDataFrame(made, "seq long, lane string, key long, day string").withColumn("ts", F.to_timestamp_ntz("day")).drop("day")
+    lanes, windows = spark.createDataFrame([("a", 9), ("b", 2), ("c", 20)], "lane string, lookback_days int"), {"a": 9, "b": 2, "c": 20}
+    said = {0: "a", 1: "b", 2: "c", 3: "none"}
+    want = {}
+    for seq, lane, key, at in made:
+        to = "a" if said.get(key) == "a" else said.get(key) if lane == "a" else lane
+        if to in windows and (to == lane or at is None or at >= day(31 - windows[to])):
+            want.setdefault((to, key), (seq, lane, at))
+    got = sets.route(rows, spark.createDataFrame(list(said.items()), "key long, verdict string"), "key", "seq", "a", lanes, "ts", F.expr("timestamp_ntz'2024-01-31 00:00:00'"))
+    assert {(r.lane, r.key): (r.seq, r.moved_from, r.ts and f"{r.ts:%Y-%m-%d}") for r in got.collect()} == want
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Join LeftOuter") < plan.index("min(seq")  # what is joined by key is one row for each key, lane and windows
