@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -168,16 +169,26 @@ def cleaned(df: DataFrame, column: str, into: str = "body_clean", without: tuple
     return df
 
 
+def _without(text: Column, pattern: str, *hints: str) -> Column:
+    """text with a blank for each match of pattern; texts that hold none of the hints, one of which is in every match, are spared the search."""
+    any_hint = reduce(Column.__or__, [F.contains(text, F.lit(h)) for h in hints])
+    return F.when(any_hint, F.regexp_replace(text, pattern, " ")).otherwise(text)
+
+
 def home_share(text: Column) -> Column:
     """Hangul among Hangul and Latin letters, without addresses; 0 if there is neither."""
-    sample = F.regexp_replace(F.regexp_replace(text, URL, " "), EMAIL, " ")
-    home, latin = F.regexp_count(sample, F.lit("[가-힣]")), F.regexp_count(sample, F.lit("[A-Za-z]"))
-    return F.when(home + latin > 0, home / (home + latin)).otherwise(0.0)
+    # lambdas compute each step once, where an expression that is used twice may be computed twice; letters are counted without a list of them
+    once = lambda x, f: F.get(F.transform(F.array(x), f), F.lit(0))
+    letters = lambda t: F.struct(F.length(F.regexp_replace(t, "[^가-힣]+", "")).alias("home"), F.length(F.regexp_replace(t, "[^A-Za-z]+", "")).alias("latin"))
+    share = lambda n: F.when(n["home"] + n["latin"] > 0, n["home"] / (n["home"] + n["latin"])).otherwise(0.0)
+    sample = once(once(text, lambda t: _without(t, URL, "://", "www.")), lambda t: _without(t, EMAIL, "@"))
+    return once(once(sample, letters), share)
 
 
 def kept_records(df: DataFrame, column: str = "body_clean") -> DataFrame:
     """Records whose cleaned body is long enough and in the home script."""
-    return df.where((F.length(column) >= LEAST_CHARS) & (home_share(F.col(column)) >= HOME_SHARE))
+    judged = F.transform(F.array(column), lambda t: (F.length(t) >= LEAST_CHARS) & (home_share(t) >= HOME_SHARE))
+    return df.where(F.get(judged, F.lit(0)))
 
 
 # Markdown syntax, in the order in which it is taken off, and what stays of it.

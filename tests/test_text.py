@@ -79,3 +79,14 @@ def test_strip_takes_white_space_of_any_script(spark):
     rows = [(f"{a}{b}x {a}y{b}{a}",) for a in white for b in white[:4]] + [("",), (" ",), (None,), ("​z​",)]
     for r in spark.createDataFrame(rows, "t string").select("t", strip(F.col("t")).alias("s")).collect():
         assert r.s == (None if r.t is None else r.t.strip())
+
+
+def test_kept_records_compute_a_body_once(spark):
+    mail, site = "가.나-b@c.example.-다@e.fr", "www.가나.example https://b.example/가"
+    rows = [(1, "가" * 60 + "a" * 60), (2, "가" * 60 + "a" * 61), (3, None), (4, "가" * 99), (5, f"{'가a ' * 50}{mail}"), (6, f"{'가a' * 50} {site}"), (7, "." * 200), (8, f"{'가a ' * 50}b@c")]
+    df = spark.createDataFrame(rows, "id long, body string").withColumn("body_clean", F.translate("body", "z", "y"))
+    kept = cleaning.kept_records(df)
+    assert sorted(r.id for r in kept.collect()) == [1, 5, 6]
+    assert kept._jdf.queryExecution().optimizedPlan().toString().split("Filter")[1].split("\n")[0].count("translate(") == 1
+    got = {r.id: r.s for r in df.select("id", cleaning.home_share(F.col("body")).alias("s")).collect()}
+    assert got == {1: 0.5, 2: 60 / 121, 3: 0.0, 4: 1.0, 5: 0.5, 6: 0.5, 7: 0.0, 8: 50 / 102}
