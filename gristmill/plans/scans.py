@@ -99,7 +99,8 @@ def _kept(spark: SparkSession, sf_dir: str, name: str, fields: dict[str, Column]
         e.where(part == k).write.mode("append").parquet(f"{folder}/in")
     end = e.limit(1).select(F.lit(-1).cast("long").alias("user_id"), F.lit(span.b) + F.expr("interval 100 days"), F.lit(-1).cast("long").alias("event_id"), *(F.lit(None).cast(t).alias(n) for n, t in e.dtypes[3:]))
     end.toDF(*e.columns).write.mode("append").parquet(f"{folder}/in")
-    stream = spark.readStream.schema(e.schema).option("maxFilesPerTrigger", 8).parquet(f"{folder}/in")
+    # a batch is a part, however many files it has, so that a key isn't looked at more often in larger tables
+    stream = spark.readStream.schema(e.schema).option("maxFilesPerTrigger", max(8, e.rdd.getNumPartitions())).parquet(f"{folder}/in")
     days = (span.b - span.a).days // 4 + 3  # a part's length and the overlap: no row is late
     out = keyed.kept_by_key(stream, "user_id", "ts", "event_id", list(fields), processor, f"{days} days")
     out.writeStream.format("parquet").option("path", f"{folder}/out").option("checkpointLocation", f"{folder}/state").trigger(availableNow=True).start().awaitTermination()

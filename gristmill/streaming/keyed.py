@@ -23,7 +23,8 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-PENDING = T.StructType([T.StructField("at", T.LongType()), T.StructField("seq", T.LongType()), T.StructField("row", T.StringType())])
+#: The rows of a key that came in one batch, as one JSON list of (at, seq, row): a row by itself would be a call to the state's server each.
+PENDING = T.StructType([T.StructField("rows", T.StringType())])
 STATE = T.StructType([T.StructField("next", T.LongType()), T.StructField("state", T.StringType())])
 OUT = T.StructType([T.StructField("key", T.StringType()), T.StructField("at", T.TimestampType()), T.StructField("what", T.StringType()), T.StructField("detail", T.StringType()), T.StructField("since", T.TimestampType())])
 DAY_MS = 86_400_000
@@ -78,10 +79,8 @@ class InOrder(StatefulProcessor):
     # --- order ----------------------------------------------------------------------------------------------------
 
     def _load(self) -> tuple[int | None, dict]:
-        if not self.held.exists():
-            return None, {}
-        next_, state = self.held.get()
-        return next_, json.loads(state)
+        held = self.held.get()
+        return (held[0], json.loads(held[1])) if held else (None, {})
 
     def _store(self, was: int | None, next_: int | None, state: dict) -> None:
         if was != next_:
@@ -96,23 +95,24 @@ class InOrder(StatefulProcessor):
 
     def handleInputRows(self, key: Any, rows: Iterator[Row], timerValues: Any) -> Iterator[Row]:
         next_, state = self._load()
-        fresh = [(round(r["at"].timestamp() * 1000) if r["at"].tzinfo else round(r["at"].replace(tzinfo=UTC).timestamp() * 1000), r["seq"], r["row"]) for r in rows]
-        self.pending.appendList(fresh)
-        soonest = min(x[0] for x in fresh) + 1
-        self._store(next_, soonest if next_ is None else min(next_, soonest), state)
+        fresh = [r["row"] for r in rows]
+        self.pending.appendValue((f"[{','.join(fresh)}]",))
+        soonest = min(int(x[1 : x.index(",")]) for x in fresh) + 1
+        if next_ is None or soonest < next_:
+            self._store(next_, soonest, state)
         return iter(())
 
     def handleExpiredTimer(self, key: Any, timerValues: Any, expiredTimerInfo: Any) -> Iterator[Row]:
         now = timerValues.getCurrentWatermarkInMs()
         _, state = self._load()
-        rows = list(self.pending.get()) if self.pending.exists() else []
-        due, later = sorted(x for x in rows if x[0] < now), [tuple(x) for x in rows if x[0] >= now]
+        rows = [x for (part,) in self.pending.get() for x in json.loads(part)]
+        due, later = sorted((x for x in rows if x[0] < now), key=lambda x: (x[0], x[1], str(x[2]))), [x for x in rows if x[0] >= now]
         if due:
-            self.pending.put(later) if later else self.pending.clear()
+            self.pending.put([(json.dumps(later),)]) if later else self.pending.clear()
         made: list[Made] = []
         for at, _, row in due:
             self._settle(state, at, made)
-            made += self.step(state, at, json.loads(row))
+            made += self.step(state, at, row)
         self._settle(state, now, made)
         times = [x[0] + 1 for x in later]
         if (limit := self.deadline(state)) is not None:
@@ -219,5 +219,8 @@ def kept_by_key(stream: DataFrame, key: str, time: str, seq: str, fields: list[s
 
     seq orders rows of one time; fields are what the processor reads of a row. Times are kept in milliseconds.
     """
-    rows = stream.select(F.col(key).cast("string").alias("key"), F.col(time).cast("timestamp").alias("at"), F.col(seq).cast("long").alias("seq"), F.to_json(F.struct(*fields), {"ignoreNullFields": "false"}).alias("row"))
+    at = F.col(time).cast("timestamp")
+    # [ms, seq, fields] as text, so that Python reads a row only when its turn comes
+    row = F.concat(F.lit("["), F.round(F.unix_micros(at) / 1000).cast("long"), F.lit(","), F.coalesce(F.col(seq).cast("long").cast("string"), F.lit("null")), F.lit(","), F.to_json(F.struct(*fields), {"ignoreNullFields": "false"}), F.lit("]"))
+    rows = stream.select(F.col(key).cast("string").alias("key"), at.alias("at"), row.alias("row"))
     return rows.withWatermark("at", late).groupBy("key").transformWithState(statefulProcessor=processor, outputStructType=OUT, outputMode="append", timeMode="EventTime")

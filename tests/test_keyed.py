@@ -113,3 +113,30 @@ def test_daily_chain(stateful, tmp_path):
     rows = rows_of(2, 120)
     got = run(stateful, str(tmp_path), parts_of(rows), ["kind", "model"], keyed.DailyChain(("m0", "m1")), "8 days")
     assert got == sorted(chained(rows, ("m0", "m1")), key=str)
+
+
+class Counting:
+    """State that counts calls."""
+
+    def __init__(self):
+        self.calls, self.items, self.value = [], [], None
+
+    def getListState(self, *_):
+        return self
+
+    getValueState = getListState
+
+    def __getattr__(self, name):
+        def call(*args):
+            self.calls.append(name)
+            self.items += args if name == "appendValue" else []
+            return None
+
+        return call
+
+
+def test_rows_of_a_batch_are_one_call():
+    handle, processor = Counting(), keyed.WrittenEvents(2)
+    processor.init(handle)
+    list(processor.handleInputRows(("k",), iter([{"row": f'[{9 - i % 5},{i},{{"kind":"a"}}]'} for i in range(200)]), None))
+    assert len(handle.items) == 1 and len(handle.calls) <= 4
