@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 import unicodedata
+from array import array
+from functools import cache
 
-import pandas as pd
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -15,30 +18,49 @@ from gristmill.functions.text import mark_of, strip
 PLACES = T.ArrayType(T.StructType([T.StructField("word", T.StringType()), T.StructField("start", T.LongType()), T.StructField("finish", T.LongType())]))
 
 
-def folded(text: str) -> tuple[str, list[int]]:
+@cache
+def _fold(ch: str) -> str:
+    return "".join(low for low in unicodedata.normalize("NFKC", ch).lower() if low.isalnum())
+
+
+def folded(text: str) -> tuple[str, np.ndarray]:
     """Letters and digits of a text in compatible form and lower case, and the source place of each."""
-    out = [(low, i) for i, ch in enumerate(text) for low in unicodedata.normalize("NFKC", ch).lower() if low.isalnum()]
-    return "".join(c for c, _ in out), [i for _, i in out]
+    sizes = np.fromiter((len(_fold(ch)) for ch in text), np.int32, len(text))
+    return "".join(map(_fold, text)), np.repeat(np.arange(len(text), dtype=np.int32), sizes)
+
+
+def _hits(text: str, keys: list[tuple[str, str]]) -> list[tuple[int, int, int]]:
+    """(start, finish, place of the word in keys), in the order of start, the longest first, and of the word."""
+    flat, at = "".join(map(_fold, text)), None
+    out = []
+    for n, (_, key) in enumerate(keys):
+        k = flat.find(key) if key else -1
+        while k >= 0:
+            at = folded(text)[1] if at is None else at
+            out.append((int(at[k]), int(at[k + len(key) - 1]) + 1, n))
+            k = flat.find(key, k + 1)
+    return sorted(out, key=lambda x: (x[0], -x[1], keys[x[2]][0]))
+
+
+def places_of(texts: pa.Array, words: tuple[str, ...]) -> pa.Array:
+    """The places of folded_places for some texts. One text at a time is a Python value; places are kept as numbers."""
+    keys = [(w, folded(w)[0]) for w in words]
+    ends, word, start, finish = array("i", [0]), array("i"), array("q"), array("q")
+    for text in texts:
+        for first, last, n in _hits(text.as_py() or "", keys):
+            word.append(n), start.append(first), finish.append(last)
+        ends.append(len(word))
+    told = pa.DictionaryArray.from_arrays(pa.array(word, pa.int32()), pa.array([w for w, _ in keys], pa.string())).cast(pa.string())
+    places = pa.StructArray.from_arrays([told, pa.array(start, pa.int64()), pa.array(finish, pa.int64())], ["word", "start", "finish"])
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), places)
 
 
 def folded_places(text: Column, words: tuple[str, ...]) -> Column:
     """array(word, start, finish) in code points of the source: each word wherever its folded form stands, overlaps too."""
 
-    @F.pandas_udf(PLACES)
-    def find(column: pd.Series) -> pd.Series:
-        keys = [(w, folded(w)[0]) for w in words]
-
-        def one(t: str | None) -> list[dict]:
-            flat, at = folded(t or "")
-            out = []
-            for word, key in keys:
-                k = flat.find(key) if key else -1
-                while k >= 0:
-                    out.append({"word": word, "start": at[k], "finish": at[k + len(key) - 1] + 1})
-                    k = flat.find(key, k + 1)
-            return sorted(out, key=lambda x: (x["start"], -x["finish"], x["word"]))
-
-        return column.map(one)
+    @F.arrow_udf(PLACES)
+    def find(column: pa.Array) -> pa.Array:
+        return places_of(column, words)
 
     return find(text)
 

@@ -93,3 +93,31 @@ def test_argument_polarity_as_in_a_sentence(spark):
     got = units.argument_polarity(of(rows, "id int, sentence int, pos int, lemma string, tag string"), of([("more", 1), ("less", -1)], "verb string, direction int"), of([("good", 2), ("bad", -1)], "word string, score int"), of([("price", -1)], "word string, valence int"), ("not",), tuple(NOUN_TAGS), tuple(ARGUMENT_TAGS), ARGUMENT_REACH, NEGATION_REACH)
     told = [(r.id, f"{r.noun + '+' if r.noun else ''}{r.verb}{'!' if r.negated else ''}:{r.score:+d}") for r in got.orderBy("id", "verb_at").collect()]
     assert told == want
+
+
+def test_folding_holds_one_text_as_numbers(spark):
+    """Neither a text nor its places become a Python object a letter or a place."""
+    import random
+    import tracemalloc
+    import unicodedata
+
+    rng = random.Random(3)
+    texts = ["".join(rng.choice("abAB ﬁİßㅎ①.-é") for _ in range(rng.randrange(60))) for _ in range(300)] + [None, ""]
+    words = ("ab", "fi", "B a", "a", "ss", "1", "--")
+
+    def plain(t):
+        flat = [(low, i) for i, ch in enumerate(t or "") for low in unicodedata.normalize("NFKC", ch).lower() if low.isalnum()]
+        keys = [(w, "".join(low for ch in w for low in unicodedata.normalize("NFKC", ch).lower() if low.isalnum())) for w in words]
+        hits = [(w, flat[k][1], flat[k + len(key) - 1][1] + 1) for w, key in keys if key for k in range(len(flat) - len(key) + 1) if "".join(c for c, _ in flat[k : k + len(key)]) == key]
+        return sorted(hits, key=lambda x: (x[1], -x[2], x[0]))
+
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i long, t string").repartition(3)
+    got = {r.i: [tuple(p) for p in r.p] for r in df.select("i", wording.folded_places(F.col("t"), words).alias("p")).collect()}
+    assert got == {i: plain(t) for i, t in enumerate(texts)}
+    long_ = "Straße Nr. 12, " * 60_000
+    tracemalloc.start()
+    flat, at = wording.folded(long_)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert flat.startswith("straßenr12") and len(at) == len(flat) and at[-1] == len(long_) - 3
+    assert most < 24 * len(long_), most
