@@ -3,6 +3,9 @@
 import os
 import random
 
+from pyspark.sql import functions as F
+
+from gristmill.operators import events
 from gristmill.plans import queries
 
 
@@ -45,3 +48,31 @@ def test_bundles_shuffle_no_rows_of_words(spark, tmp_path):
     assert got == _packs([*topics, [600], [601], [602]])
     # 90,000 distinct words of 600 records: a row for each is some 0.7 MB of hashes alone, every time it is shuffled
     assert moved < 2_000_000, moved
+
+
+def test_bundles_write_words_once(spark, tmp_path):
+    rng, rows = random.Random(6), []
+    for i in range(600):
+        rows.append((i, "\n" + " ".join(["sharedone sharedtwo"] + [_word(i, k) for k in rng.sample(range(10, 400), 150)]), "en", "s"))
+    rows.append((600, "\nalone", "en", "s"))
+    path = os.fspath(tmp_path)
+    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string").repartition(3).write.parquet(f"{path}/documents.parquet")
+    before = set(_stages(spark))
+    got = {r.id: (r.bundle, r.kind) for r in queries.bundles(spark, path).collect()}
+    written = sum(s.outputBytes() for k, s in _stages(spark).items() if k not in before)
+    assert got == _packs([list(range(600)), [600]])
+    # 90,000 hashes that are all different are 0.72 MB; twice that, if records that have a label keep their words
+    assert written < 1_100_000, written
+
+
+def test_hashes_in_files_follow_the_rows(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(events, "shared_folder", lambda _, name: f"{os.fspath(tmp_path)}/{name}")
+    sizes = []
+    for n in (20_000, 100_000):
+        words = F.transform(F.sequence(F.lit(0), F.lit(19)), lambda k: F.xxhash64(F.pmod(F.xxhash64("id", k), F.lit(150_000))))
+        saved = events._saved(spark.range(0, n, 1, 1).select("id", words.alias("words")), f"words-{n}")
+        assert saved.select(F.sum(F.size("words"))).first()[0] == 20 * n
+        sizes.append(sum(f.stat().st_size for f in (tmp_path / f"words-{n}").glob("*.parquet")))
+    # 150,000 different hashes don't fit into a dictionary of 1 MB; then a place that is 18 bits costs 64
+    assert sizes[1] < 20 * 100_000 * 4, sizes
+    assert sizes[1] < 5 * sizes[0], sizes

@@ -68,3 +68,22 @@ def test_topics_make_no_row_for_a_word(spark, monkeypatch):
     told = events.topic_words(df, F.col("words"), F.col("title"))
     assert told.columns == ["id", "words", "titled"] and told.count() == 150  # a record that comes twice is one
     assert {r.id: r.root for r in events.topics(told).collect()} == roots(rows)
+
+
+def test_topics_of_hubs_outside_the_largest(spark, monkeypatch):
+    monkeypatch.setattr(events, "BLOCK", 16)
+    monkeypatch.setattr(events, "HUBS", 3)
+    seen, led = [], events._led_outside
+    monkeypatch.setattr(events, "_led_outside", lambda *a: seen.append(led(*a).cache()) or seen[-1])
+    for seed in range(3):
+        rng, rows = random.Random(seed), []
+        for i in range(160):
+            t = min(rng.randrange(12), 8)  # one topic is larger, but most records are outside it
+            some = [f"t{t}w{rng.randrange(14)}" for _ in range(rng.randrange(2, 7))]
+            if rng.random() < 0.04:  # holds two topics together
+                some += [f"t{rng.randrange(9)}w{k}" for k in (1, 2, 3)]
+            rows.append((1000 - i, some + ["all"], []))
+        df = spark.createDataFrame(rows, "id long, words array<string>, title array<string>").repartition(3)
+        told = events.topic_words(df, F.col("words"), F.col("title"))
+        assert {r.id: r.root for r in events.topics(told).collect()} == roots(rows)
+    assert {r.tokens is None for s in seen for r in s.collect()} == {True, False}  # records and links of hubs
