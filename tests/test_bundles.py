@@ -76,3 +76,28 @@ def test_hashes_in_files_follow_the_rows(spark, tmp_path, monkeypatch):
     # 150,000 different hashes don't fit into a dictionary of 1 MB; then a place that is 18 bits costs 64
     assert sizes[1] < 20 * 100_000 * 4, sizes
     assert sizes[1] < 5 * sizes[0], sizes
+
+
+def test_one_large_topic_is_not_one_task(spark, monkeypatch):
+    monkeypatch.setattr(events, "STRETCH", 64, raising=False)
+    ids = spark.range(0, 8000, 1, 4)
+    topic = ids.where("id >= 10").select("id", F.when(F.col("id") % 1000 == 999, F.lit(999)).otherwise(10).alias("root"))
+    sizes = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.shuffle.partitions": "16", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    was = {k: spark.conf.get(k) for k in sizes}
+    before = set(_stages(spark))
+    try:
+        for k, v in sizes.items():
+            spark.conf.set(k, v)
+        got = {r.id: (r.bundle, r.kind) for r in events.bundles(ids, topic).collect()}
+    finally:
+        for k, v in was.items():
+            spark.conf.set(k, v)
+    large, small = [i for i in range(10, 8000) if i % 1000 != 999], list(range(999, 8000, 1000))
+    assert got == _packs([[i] for i in range(10)] + [large, small])
+    most = 0
+    for k, s in _stages(spark).items():
+        if k not in before and s.shuffleReadRecords() > 8000:
+            tasks = spark.sparkContext._jsc.sc().statusStore().taskList(*k, 10_000)
+            read = sorted(tasks.apply(i).taskMetrics().get().shuffleReadMetrics().recordsRead() for i in range(tasks.size()))
+            most = max(most, read[-1])
+    assert 0 < most < 4000, most
