@@ -146,3 +146,31 @@ def test_neighbours_of_equal_vectors_across_blocks(spark, monkeypatch):
         assert {a: sorted(x) for a, x in got.items()} == {a: sorted((-dots[a, b], b) for b in range(40) if b != a)[:k] for a in range(40)}
     near = {(r.a, r.b) for r in vectors.near_equal(df, 4.5).collect()}
     assert near == {(a, b) for (a, b), d in dots.items() if a < b and d > 4.5}
+
+
+def test_pairs_of_blocks_and_least_shared():
+    """Every pair of blocks is one tile, tiles of a block follow each other, and only pairs that may reach a limit are looked at one by one."""
+    import numpy as np
+    from gristmill.operators.overlaps import Index, Sets, ratios
+
+    for blocks in range(1, 10):
+        tiles = [events._tile(k, blocks) for k in range(blocks * (blocks + 1) // 2)]
+        assert {tuple(sorted(t)) for t in tiles} == {(a, b) for b in range(blocks) for a in range(b + 1)} and len(set(tiles)) == len(tiles)
+        assert [a for a, _ in tiles] == sorted(a for a, _ in tiles)
+    rng, e = np.random.default_rng(5), Events()
+    held = [np.unique(rng.integers(0, 400, n)) for n in rng.integers(1, 120, 300)]
+    sets = Sets(np.arange(300), np.array([len(h) for h in held]), np.concatenate(held))
+    index, found, looked = Index(sets), set(), 0
+    for first, i, j, shared in index.near(sets, lambda a, b: events._least(a, b, e.jaccard, e.overlap, e.shared)):
+        looked += len(i)
+        assert all(len(np.intersect1d(held[first + x], held[y])) == n for x, y, n in zip(i[:50], j[:50], shared[:50], strict=True))
+    for i, j in events._alike(index, sets, e):
+        found |= set(zip(i.tolist(), j.tolist(), strict=True))
+    want = set()
+    for i, a in enumerate(held):
+        for j, b in enumerate(held):
+            s = len(np.intersect1d(a, b))
+            jaccard, overlap = ratios(s, len(a), len(b))
+            if s and (jaccard >= e.jaccard or (s >= e.shared and overlap >= e.overlap)):
+                want.add((i, j))
+    assert found == want and looked < len(held) ** 2 / 3
