@@ -5,13 +5,14 @@ from __future__ import annotations
 from collections.abc import Iterable
 from dataclasses import replace
 from functools import reduce
+from itertools import product
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from gristmill.config import Events
-from gristmill.operators.events import all_overlaps, clusters, representatives, same_event, signatures, tell_of
+from gristmill.operators.events import all_overlaps, clusters, first_groups, representatives, same_event, signatures, tell_of
 from gristmill.operators.events import grouped as in_events
 from gristmill.operators.greedy import cut
 from gristmill.operators.ordering import order_by_reports
@@ -22,33 +23,39 @@ def select_by_lane(members: DataFrame, pairs: DataFrame | None, lanes: Iterable[
 
     members: (id, lane, key, caption, chars, score), a record once for each of its lanes; pairs as similar_pairs gives them;
     lanes in the order in which they choose, a setting. A lane sees no record whose key, or whose event, an earlier lane
-    took, and none of known (id). Records below a lane's top take nothing away from later ones. Instead of pairs, sig (id, token)
-    may be given: then records are compared with leaders and with what was taken only, and no table of pairs is made.
+    took, and none of known (id). Records below a lane's top take nothing away from later ones. Instead of pairs, sig (id, token),
+    or (id, tokens), may be given: then no table of pairs is made. Records are compared with the leaders of the first groups, until
+    those that a lane chooses are known, and those of later lanes with what was taken.
     """
     e = events or Events()
     same = cut(pairs.where(same_event(e)).select("a", "b", "shared", "jaccard", "overlap")) if sig is None else None
     open_ = members if known is None else members.join(known.select("id").distinct(), "id", "left_anti")
     open_ = cut(open_)
-    chosen, stand = [], []
-    for lane in lanes:
+    chosen, stand, lanes = [], [], list(lanes)
+    for k, lane in enumerate(lanes):
         pool = open_.where(F.col("lane") == lane)
         if same is None:
-            grouped = cut(in_events(pool, sig.join(pool.select("id"), "id", "left_semi"), e))
+            own = sig.join(pool.select("id"), "id", "left_semi")
+            grouped = cut(in_events(pool, own, e) if least_reports <= 0 else first_groups(pool, own, top, least_reports, e))
         else:
             inside = same.join(pool.select(F.col("id").alias("a")), "a", "left_semi").join(pool.select(F.col("id").alias("b")), "b", "left_semi")
             grouped = cut(clusters(pool, inside, e))
         best = representatives(pool.join(grouped, "id"), e)
         placed = cut(order_by_reports(best.withColumn("seq", F.col("leader")), least_reports, "seq").where(F.col("place") <= top))
         of_those = cut(grouped.join(placed.select("leader"), "leader", "left_semi"))
-        taken = of_those.select("id").join(pool.select("id", "key"), "id")
+        chosen.append(placed.select(F.lit(lane).alias("lane"), "place", "id", "leader", "report_count", "score"))
+        stand.append(of_those.select(F.lit(lane).alias("lane"), "id", "leader"))
+        if k + 1 == len(lanes):
+            break
+        # what was taken matters to the lanes that have yet to choose
+        taken = cut(of_those.select("id").join(pool.select("id", "key"), "id"))
+        open_ = open_.where(F.col("lane").isin(lanes[k + 1 :])).join(taken.select("key").distinct(), "key", "left_anti").join(taken.select("id").distinct(), "id", "left_anti")
         if same is None:
-            rest = open_.select("id").distinct().join(taken.select("id"), "id", "left_anti")
-            met = tell_of(sig.join(rest, "id", "left_semi"), sig.join(taken.select("id"), "id", "left_semi"), e)
+            open_ = cut(open_)
+            met = tell_of(sig.join(open_.select("id"), "id", "left_semi"), sig.join(taken.select("id"), "id", "left_semi"), e)
         else:
             met = same.join(taken.select(F.col("id").alias("a")), "a").select(F.col("b").alias("id")).union(same.join(taken.select(F.col("id").alias("b")), "b").select(F.col("a").alias("id")))
-        open_ = cut(open_.join(taken.select("key").distinct(), "key", "left_anti").join(met.union(taken.select("id")).distinct(), "id", "left_anti"))
-        chosen.append(placed.select(F.lit(lane).alias("lane"), "place", "id", "leader", "report_count", "score"))
-        stand.append(of_those.select(F.lit(lane).alias("lane"), "id", "leader"))
+        open_ = cut(open_.join(met.distinct(), "id", "left_anti"))
     return reduce(DataFrame.union, chosen), reduce(DataFrame.union, stand)
 
 
@@ -68,12 +75,11 @@ def likeness(chosen: DataFrame, tokens: DataFrame, events: Events | None = None,
 
 def lane_sweep(members: DataFrame, pairs: DataFrame | None, lanes: list[str], top: int, reports: Iterable[int], jaccards: Iterable[float], tokens: DataFrame, sig: DataFrame | None = None) -> DataFrame:
     """(least_reports, jaccard, lane, n, most, alike) of a selection for each setting; pairs hold all down to the lowest jaccard, or sig is given."""
-    out = []
-    for least in reports:
-        for jaccard in jaccards:
-            chosen, _ = select_by_lane(members, pairs, lanes, top, least, events=replace(Events(), jaccard=jaccard), sig=sig)
-            out.append(likeness(chosen, tokens).select(F.lit(least).cast("long").alias("least_reports"), F.lit(jaccard).alias("jaccard"), "lane", "n", F.round("most", 6).alias("most"), "alike"))
-    return reduce(DataFrame.union, out)
+    chosen = {(least, jaccard): cut(select_by_lane(members, pairs, lanes, top, least, events=replace(Events(), jaccard=jaccard), sig=sig)[0]) for least, jaccard in product(reports, jaccards)}
+    # the tokens of all that were selected, so that the whole table isn't read for each setting and lane
+    own = cut(tokens.join(reduce(DataFrame.union, chosen.values()).select("id").distinct(), "id", "left_semi"))
+    named = lambda df, least, jaccard: df.select(F.lit(least).cast("long").alias("least_reports"), F.lit(jaccard).alias("jaccard"), "lane", "n", F.round("most", 6).alias("most"), "alike")
+    return reduce(DataFrame.union, (named(likeness(rows, own), *setting) for setting, rows in chosen.items()))
 
 
 def bundle_rows(packs: DataFrame, records: DataFrame, members: DataFrame, posts: int) -> tuple[DataFrame, DataFrame]:

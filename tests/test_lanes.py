@@ -146,3 +146,37 @@ def test_selection_without_pairs(spark, monkeypatch):
         assert [(r.id, r.leader, r.report_count, r.score) for r in rows if r.lane == lane] == want[lane]
     new, old = sig.where("id % 3 = 0"), sig.where("id % 3 > 0")
     assert {r.id for r in events.tell_of(new, old, E).collect()} == {x for r in p if _same(r, E.jaccard) for x, y in ((r.a, r.b), (r.b, r.a)) if x % 3 == 0 and y % 3}
+
+
+def test_groups_are_read_only_as_far_as_they_are_asked_for(spark, monkeypatch):
+    """The first groups are those of all groups, each whole, after fewer rounds; the records of a lane that has chosen are compared no more."""
+    members, sig, known, _ = editorial.lane_signatures(spark, SF)
+    monkeypatch.setattr(events, "FIRST", 8)
+    monkeypatch.setattr(events, "HEAD", 8)
+    seen, real, found = [], events.joined, {}
+    monkeypatch.setattr(events, "joined", lambda *a: seen.append(a) or real(*a))
+    pool = members.where("lane = 'en'").select("id")
+    own = sig.join(pool, "id", "left_semi")
+    for r in events.grouped(pool, own, E).collect():
+        found.setdefault(r.leader, set()).add(r.id)
+    rounds = len(seen)
+    for top, least in ((2, 2), (5, 1), (10**6, 1)):
+        seen.clear()
+        got = {}
+        for r in events.first_groups(pool, own, top, least, E).collect():
+            got.setdefault(r.leader, set()).add(r.id)
+        assert all(found[x] == ids for x, ids in got.items()) and set(got) == {x for x in found if x <= max(got)}
+        assert sum(len(ids) >= least for ids in got.values()) >= top or got == found
+        assert len(seen) < rounds or top == 10**6
+    seen.clear()
+    told = []
+    monkeypatch.setattr(lanes, "tell_of", lambda new, *a: told.append(new.count()) or events.tell_of(new, *a))
+    lanes.select_by_lane(members, None, ["en", "src0"], 2, 1, None, E, sig)
+    assert len(told) == 1 and told[0] <= members.where("lane = 'src0'").count() and len(seen) < rounds
+
+
+def test_what_is_known_is_known_by_its_tokens(spark):
+    """A record isn't known because a known event happens to have its number."""
+    of = lambda rows: spark.createDataFrame(rows, "id long, tokens array<long>")
+    got = events.tell_of(of([(1, [1, 2, 3]), (2, [7, 8, 9]), (3, [50])]), of([(1, [7, 8]), (3, [60])]), E)
+    assert [r.id for r in got.collect()] == [2]
