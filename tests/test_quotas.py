@@ -85,3 +85,20 @@ def test_scans_carry_no_texts(spark, monkeypatch):
     monkeypatch.setattr(quotas, "scanned", lambda df, *a: seen.append(df.columns) or real(df, *a))
     scans.quota_scan(spark, "/root/testdata/sf0.001")
     assert seen and "text" not in seen[0]
+
+
+def test_rows_behind_a_full_key_cost_no_rounds(spark, monkeypatch):
+    """Forty queries of many rows each, of which a few are taken: all are decided in a few rounds, not in as many as their rows fill heads."""
+    monkeypatch.setattr(quotas, "HEAD", 300)
+    monkeypatch.setattr(quotas, "_few", lambda most: 4 * most)
+    rng, rows = random.Random(8), []
+    for i in range(8000):
+        rows.append((i, f"q{i // 200}", f"c{i // 1000}", f"n{rng.randrange(90)}", rng.choice([None, None, None, "small"])))
+    limits = [("target", 9, {}, True, False, False), ("quota", 3, {}, True, False, False), ("duplicate", 1, {}, False, True, True)]
+    want = loop([(i, (c, q, name), reason) for i, q, c, name, reason in rows], limits)
+    seen, real = [], quotas._head
+    monkeypatch.setattr(quotas, "_head", lambda *a: seen.append(1) or real(*a))
+    df = spark.createDataFrame(rows, "i long, q string, c string, name string, reason string").repartition(3)
+    asked = [Quota("target", "c", 9, stops=True), Quota("quota", "q", 3, stops=True), Quota("duplicate", "name", 1, first=True, read=True)]
+    assert {r.i: r.verdict for r in quotas.scanned(df, ["i"], asked, F.col("reason")).collect()} == want
+    assert len(seen) < 10
