@@ -62,3 +62,11 @@ def test_selection(spark):
         got = selected(df, TABLES, top=top, least_reports=least).orderBy("place").collect()
         assert [(r.id, r.report_count) for r in got] == [(i, n) for i, n, _ in want]
         assert all(abs(r.score - s) < 2e-4 and abs(r.score_norm - 100 * s / most) <= 1 for r, (*_, s) in zip(got, want, strict=True))
+
+
+def test_no_more_groups_than_are_chosen(spark, monkeypatch):
+    """The best of the first groups need no others: not all of them are made."""
+    from gristmill.plans import flagship
+
+    monkeypatch.setattr(flagship.events, "grouped", None)
+    assert selected(records(spark, SF).where("id < 60"), TABLES, top=3, least_reports=1).count() == 3
