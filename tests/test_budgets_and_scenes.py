@@ -152,3 +152,53 @@ def test_pairs_that_reach_no_ratio_are_not_compared():
         similarity.ratio = real
     assert got == {(i, j) for i, a in enumerate(texts) for j, b in enumerate(texts[:i]) if real(a, b) >= 0.6} and (81, 80) in got
     assert len(seen) < len(texts) ** 2 / 10
+
+
+def test_whole_texts_are_scenes(spark, monkeypatch):
+    """The query compares whole texts, not their beginnings."""
+    from gristmill.plans import drafting
+
+    seen = []
+    monkeypatch.setattr(similarity, "chosen_scenes", lambda df, least: seen.append(df) or df.withColumns({"replaced": F.lit(False), "text": F.col("scene")}))
+    drafting.chosen_scenes(spark, "/root/testdata/sf0.001")
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    assert seen[0].join(docs, F.col("seq") == F.col("doc_id")).where(F.col("scene").eqNullSafe(docs["text"])).count() == docs.count()
+
+
+@pytest.mark.parametrize("least", [0.3, 0.6, 0.72])
+def test_long_texts_that_are_left_out_reach_no_ratio(least):
+    """Long texts in which words, halves or single characters differ: the pairs found are those of the plain ratio, which few pairs get to."""
+    rng = random.Random(7)
+    words = ["".join(rng.choice("etaoinshrdlucmfwypvbgkjqxz") for _ in range(rng.randrange(2, 9))) for _ in range(300)]
+    prose = lambda n: " ".join(rng.choice(words) for _ in range(n)).capitalize()
+    texts = [prose(n) for n in (30, 40, 45, 60, 60, 80, 90, 120, 120, 150)]
+    for t in texts[:6]:
+        own = t.split(" ")
+        texts += [" ".join(w if rng.random() > share else rng.choice(words) for w in own) for share in (0.1, 0.4, 0.7)]
+        texts += [" ".join(own[len(own) // 2 :] + own[: len(own) // 2]), t[: len(t) // 2] + prose(len(own) // 2), t.replace("e", "é"), t[1:], "#" + t]
+    texts += ["".join(chr(0x4E00 + rng.randrange(400)) for _ in range(300)) for _ in range(4)] + ["x" * 300, "x" * 299 + "y", "z" * 250 + "x" * 50]
+    rng.shuffle(texts)
+    seen, real = [], similarity.ratio
+    similarity.ratio = lambda a, b: seen.append((a, b)) or real(a, b)
+    try:
+        frame = pd.DataFrame({"seq": range(len(texts)), "scene": texts})
+        got = {(i, j) for i, j, _ in similarity._alike(frame, frame, "scene", least)}
+    finally:
+        similarity.ratio = real
+    low = [t.lower() for t in texts]
+    assert got == {(i, j) for i, a in enumerate(low) for j, b in enumerate(low[:i]) if real(a, b) >= least} and got
+    assert least < 0.5 or len(seen) < len(texts) ** 2 / 8
+
+
+def test_equal_scenes_and_spares_make_no_pairs(spark, monkeypatch):
+    """Of a hundred equal scenes with one spare text only the first is compared, and the choice is that of the loop."""
+    rows = [("g", i, "the same scene for all" if i % 3 else f"scene of its own {i * 7919}", "the same scene for all of them") for i in range(150)]
+    seen, real = [], similarity.alike_pairs
+    monkeypatch.setattr(similarity, "alike_pairs", lambda *a: seen.append(real(*a)) or seen[-1])
+    got = {r.seq: r.replaced for r in similarity.chosen_scenes(spark.createDataFrame(rows, "grp string, seq long, scene string, spare string"), 0.72).collect()}
+    used: list[str] = []
+    for _, i, scene, spare in rows:
+        alike = any(difflib.SequenceMatcher(None, scene, u).ratio() >= 0.72 for u in dict.fromkeys(used))
+        used.append(spare if alike else scene)
+        assert got[i] == alike
+    assert seen[0].count() < 51 * 51
