@@ -167,7 +167,7 @@ def lane_signatures(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFr
     w, whole = TABLES.words, F.concat_ws("\n", "title", "body")
     r = records(spark, sf_dir)
     m = r.select("id", F.explode(F.array("lane", "press")).alias("lane"), text.title_key(F.col("title")).alias("key"), text.is_caption_title(F.col("title"), ("photo",)).alias("caption"), F.length("body").alias("chars"), matching.types_in(whole, w.core).cast("double").alias("score"))
-    tokens = cut(r.select("id", matching.signature_tokens(whole, w).alias("tokens")))
+    tokens = r.select("id", matching.signature_tokens(whole, w).alias("tokens"))  # not written: whole words are asked of a few records only
     sig = cut(events.signature_sets(tokens, F.col("tokens"), TABLES.events))
     before = _table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("id"), matching.signature_tokens(F.col("text"), w).alias("tokens"))
     known = events.tell_of(sig, events.signatures(before, F.col("tokens"), TABLES.events), TABLES.events)
